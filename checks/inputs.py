@@ -8,9 +8,6 @@ the same arithmetic in SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetally.functions import geometry
-from placetally.sources.boundaries import with_bounds
-
 # Corners of an outline around its centre, counter-clockwise, in metres.
 CORNERS = ((-450_000, -200_000), (400_000, -250_000), (450_000, 200_000), (-400_000, 250_000))
 METRO_SCALE = 10
@@ -28,17 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lon_of(key: Column) -> Column:
-    return F.lit(-125.0) + (((key % 500) * 7919) % 58000) / F.lit(1000.0) + (key % 11) * F.lit(0.0003)
+def lon_of(key: str) -> Column:
+    return F.expr(f"-125D + ((({key} % 500) * 7919) % 58000) / 1000D + ({key} % 11) * 3e-4D")
 
 
-def lat_of(key: Column) -> Column:
-    return F.lit(25.0) + (((key % 500) * 104729) % 24500) / F.lit(1000.0) + (key % 7) * F.lit(0.0003)
+def lat_of(key: str) -> Column:
+    return F.expr(f"25D + ((({key} % 500) * 104729) % 24500) / 1000D + ({key} % 7) * 3e-4D")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A point per event."""
-    key = F.col("event_id")
+    key = "event_id"
     return table(spark, sf_dir, "events").select(
         "event_id", "event_type", "user_id", lon_of(key).alias("lon"), lat_of(key).alias("lat")
     )
@@ -46,14 +43,14 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as posts; the source follows from the event type and may be absent."""
-    key = F.col("event_id")
+    key = "event_id"
     source = F.lit(None).cast("string")
     for kind, anchor in SOURCES.items():
         source = F.when(F.col("event_type") == kind, F.lit(anchor)).otherwise(source)
     return table(spark, sf_dir, "events").select(
         "user_id",
         F.col("props").alias("description"),
-        key.cast("string").alias("tweet_id"),
+        F.col(key).cast("string").alias("tweet_id"),
         source.alias("source"),
         F.array(lon_of(key), lat_of(key)).alias("lonlat"),
     )
@@ -61,14 +58,14 @@ def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents and conversation turns as posts."""
-    key = F.col("doc_id")
+    key = "doc_id"
     documents = table(spark, sf_dir, "documents").select(
-        key.alias("user_id"),
-        F.when(key % 9 != 0, F.col("source")).alias("description"),
+        F.col(key).alias("user_id"),
+        F.when(F.col(key) % 9 != 0, F.col("source")).alias("description"),
         "text",
         F.array(lon_of(key), lat_of(key)).alias("lonlat"),
     )
-    turn = F.col("conv_id") * 31 + F.col("turn")
+    turn = "(conv_id * 31 + turn)"
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("user_id"),
         F.col("role").alias("description"),
@@ -87,49 +84,57 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         key % 7 != 0, F.map_concat(kind, F.map_from_arrays(F.array(F.lit("name")), F.array(F.col("p_name"))))
     ).otherwise(kind)
     return table(spark, sf_dir, "part").select(
-        key.alias("id"), tags.alias("tags"), F.array(lon_of(key), lat_of(key)).alias("coordinates")
+        key.alias("id"), tags.alias("tags"), F.array(lon_of("p_partkey"), lat_of("p_partkey")).alias("coordinates")
     )
 
 
-def _outlines(nations: DataFrame, fid: Column, shift: int, scale: int, properties: dict[str, Column]) -> DataFrame:
-    k = F.col("n_nationkey")
-    cx = F.lit(-2_000_000.0 + shift) + (k % 5) * F.lit(1_000_000.0)
-    cy = F.lit(-1_200_000.0) + F.floor(k / 5) * F.lit(600_000.0)
-    ring = F.array(*[F.array(cx + F.lit(dx / scale), cy + F.lit(dy / scale)) for dx, dy in CORNERS])
-    pairs = F.create_map(*[part for name, value in properties.items() for part in (F.lit(name), value)])
-    return nations.select(
-        fid.cast("bigint").alias("fid"),
-        pairs.alias("properties"),
-        F.lit(True).alias("areal"),
-        ring.alias("ring"),
-        geometry.ring_edges(ring).alias("edges"),
-    )
+def _centred(nations: DataFrame, shift: int = 0) -> DataFrame:
+    return nations.withColumns({
+        "cx": F.expr(f"{-2_000_000.0 + shift!r}D + (n_nationkey % 5) * 1000000D"),
+        "cy": F.expr("-1200000D + (n_nationkey div 5) * 600000D"),
+    })
 
 
-def _zone_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _outlines(
-        table(spark, sf_dir, "nation"), F.col("n_nationkey"), 0, 1,
-        {"STATE": F.col("n_regionkey").cast("string"), "COUNTY": F.col("n_name")},
+def _features(centred: DataFrame, fid: str, scale: int, properties: str) -> DataFrame:
+    corners = [(f"cx + ({dx / scale!r}D)", f"cy + ({dy / scale!r}D)") for dx, dy in CORNERS]
+    edges = ", ".join(
+        f"named_struct('x1', {x1}, 'y1', {y1}, 'x2', {x2}, 'y2', {y2})"
+        for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1])
     )
+    xs, ys = (", ".join(axis) for axis in zip(*corners))
+    return centred.selectExpr(
+        f"cast({fid} as bigint) as fid",
+        f"{properties} as properties",
+        "true as areal",
+        f"array({edges}) as edges",
+        f"least({xs}) as minx",
+        f"least({ys}) as miny",
+        f"greatest({xs}) as maxx",
+        f"greatest({ys}) as maxy",
+    )
+
+
+ZONE_PROPERTIES = "map('STATE', cast(n_regionkey as string), 'COUNTY', n_name)"
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A county-like outline per nation."""
-    return with_bounds(_zone_outlines(spark, sf_dir).drop("ring"))
+    return _features(_centred(table(spark, sf_dir, "nation")), "n_nationkey", 1, ZONE_PROPERTIES)
 
 
 def zone_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zone_outlines(spark, sf_dir).select("fid", "properties", "ring")
+    """The same outlines as rings of corners."""
+    ring = ", ".join(f"array(cx + ({dx}), cy + ({dy}))" for dx, dy in (*CORNERS, CORNERS[0]))
+    return _centred(table(spark, sf_dir, "nation")).selectExpr(
+        "cast(n_nationkey as bigint) as fid", f"{ZONE_PROPERTIES} as properties", f"array({ring}) as ring"
+    )
 
 
 def metros(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two metro areas per nation, near enough for their surroundings to overlap."""
     nations = table(spark, sf_dir, "nation")
-    first = _outlines(
-        nations, F.col("n_nationkey"), 0, METRO_SCALE, {"NAME10": F.concat(F.col("n_name"), F.lit(" A"))}
-    )
-    second = _outlines(
-        nations, F.col("n_nationkey") + 100, METRO_SHIFT, METRO_SCALE,
-        {"NAME10": F.concat(F.col("n_name"), F.lit(" B"))},
+    first = _features(_centred(nations), "n_nationkey", METRO_SCALE, "map('NAME10', concat(n_name, ' A'))")
+    second = _features(
+        _centred(nations, METRO_SHIFT), "n_nationkey + 100", METRO_SCALE, "map('NAME10', concat(n_name, ' B'))"
     )
-    return with_bounds(first.unionByName(second).drop("ring"))
+    return first.unionByName(second)

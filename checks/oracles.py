@@ -199,7 +199,7 @@ _px, _py = _project("lon", "lat")
 _sx, _sy = _project("cell_lon", "cell_lat")
 SPOTS = f"SELECT {_lon8} AS cell_lon, {_lat8} AS cell_lat, count(*) AS n FROM ({POINTS}) GROUP BY ALL"
 
-STATUS_SLOT = "strftime(time_bucket(INTERVAL '60 minutes', ts), '%Y-%m-%d_%H-%M')"
+STATUS_SLOT = "strftime(date_trunc('day', ts), '%Y-%m-%d_%H-%M')"
 
 ORACLES = {
     "word_extract_count": f"""

@@ -79,7 +79,7 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 89).cast("int").alias("followers_count"),
     )
     where = F.struct(
-        F.lit("Point").alias("type"), F.array(inputs.lon_of(key), inputs.lat_of(key)).alias("coordinates")
+        F.lit("Point").alias("type"), F.array(inputs.lon_of("event_id"), inputs.lat_of("event_id")).alias("coordinates")
     )
     return inputs.table(spark, sf_dir, "events").select(
         F.when(kind != "error", user).alias("user"),
@@ -352,11 +352,11 @@ def _write_statuses(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_to_log(spark, sf_dir):
-    """A stream of raw statuses filtered, flattened and logged by the hour."""
+    """A stream of raw statuses filtered, flattened and logged by the day."""
     log = scratch_path(spark, "log")
     flows.stream_to_log(
         spark, _write_statuses(spark, sf_dir), log, scratch_path(spark, "offsets"),
-        bbox="-120,26,-80,45", minutes=60,
+        bbox="-120,26,-80,45", minutes=1440,
     ).awaitTermination()
     logged_schema = T.StructType([*schemas.POST_SCHEMA.fields, T.StructField("slot", T.StringType())])
     logged = spark.read.schema(logged_schema).json(log)

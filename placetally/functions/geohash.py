@@ -2,9 +2,6 @@
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 SNAP_MODES = ("rounded", "center", "exact")
 
@@ -24,38 +21,33 @@ def known_decimals(extent: float, bits: int) -> int:
     return max(1, round(-math.log10(half_cell))) - 1
 
 
-def cell_index(coordinate: Column, axis: tuple[float, float], bits: int) -> Column:
+def cell_index(coordinate: str, axis: tuple[float, float], bits: int) -> str:
     """Position of the cell along one axis.
 
     A coordinate exactly on an edge belongs to the lower cell, and one beyond
     the axis to the outermost cell.
     """
     low, extent = axis
-    scaled = (coordinate - F.lit(low)) / F.lit(extent) * F.lit(float(1 << bits))
-    index = F.ceil(scaled) - F.lit(1)
-    clamped = F.greatest(F.least(index, F.lit((1 << bits) - 1)), F.lit(0)).cast("bigint")
-    return F.when(coordinate.isNotNull(), clamped)
+    cells = 1 << bits
+    scaled = f"({coordinate} - ({low}D)) / {extent}D * {float(cells)}D"
+    return f"if({coordinate} is null, null, greatest(least(ceil({scaled}) - 1L, {cells - 1}L), 0L))"
 
 
-def cell_id(lon: Column, lat: Column, precision: int) -> Column:
-    """Base-32 cell id: bits of both axes interleaved, longitude first."""
+def cell_id(lon_index: str, lat_index: str, precision: int) -> str:
+    """Base-32 cell id: bits of both positions interleaved, longitude first."""
     lon_bits, lat_bits = axis_bits(precision)
-    axes = (
-        (cell_index(lon, LON_AXIS, lon_bits), lon_bits),
-        (cell_index(lat, LAT_AXIS, lat_bits), lat_bits),
-    )
+    axes = ((lon_index, lon_bits), (lat_index, lat_bits))
     characters = []
     for first_bit in range(0, 5 * precision, 5):
-        digit = F.lit(0)
+        digit = []
         for bit in range(first_bit, first_bit + 5):
             index, bits = axes[bit % 2]
-            value = F.shiftright(index, bits - 1 - bit // 2).bitwiseAND(F.lit(1))
-            digit = digit + value * F.lit(1 << (first_bit + 4 - bit))
-        characters.append(F.substring(F.lit(ALPHABET), digit.cast("int") + F.lit(1), F.lit(1)))
-    return F.concat(*characters)
+            digit.append(f"(shiftright({index}, {bits - 1 - bit // 2}) & 1) * {1 << (first_bit + 4 - bit)}")
+        characters.append(f"substr('{ALPHABET}', int({' + '.join(digit)}) + 1, 1)")
+    return f"concat({', '.join(characters)})"
 
 
-def snapped(lon: Column, lat: Column, precision: int, snap: str = "rounded") -> tuple[Column, Column]:
+def snapped(lon: str, lat: str, precision: int, snap: str = "rounded") -> tuple[str, str]:
     """Coordinates at which a lookup is made for a point.
 
     ``rounded``: the centre of the point's cell, rounded to the decimals known
@@ -69,9 +61,8 @@ def snapped(lon: Column, lat: Column, precision: int, snap: str = "rounded") ->
     placed = []
     for coordinate, axis, bits in zip((lon, lat), (LON_AXIS, LAT_AXIS), axis_bits(precision)):
         low, extent = axis
-        index = cell_index(coordinate, axis, bits)
-        center = (index + F.lit(0.5)) * F.lit(extent / (1 << bits)) + F.lit(low)
+        center = f"({cell_index(coordinate, axis, bits)} + 0.5D) * {extent / (1 << bits)!r}D + ({low}D)"
         if snap == "rounded":
-            center = F.round(center, known_decimals(extent, bits))
+            center = f"round({center}, {known_decimals(extent, bits)})"
         placed.append(center)
     return placed[0], placed[1]

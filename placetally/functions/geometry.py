@@ -6,93 +6,70 @@ need no special care: a point is inside when a ray from it crosses an odd
 number of segments.  A lone point is a segment of length zero.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+_SEGMENT = "named_struct('x1', get({a}, 0), 'y1', get({a}, 1), 'x2', get({b}, 0), 'y2', get({b}, 1))"
+# Positive when the point lies left of the directed segment e.
+_TURN = "((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
 
 
-def _segment(a: Column, b: Column) -> Column:
-    return F.struct(
-        F.get(a, F.lit(0)).alias("x1"),
-        F.get(a, F.lit(1)).alias("y1"),
-        F.get(b, F.lit(0)).alias("x2"),
-        F.get(b, F.lit(1)).alias("y2"),
-    )
-
-
-def line_edges(points: Column) -> Column:
+def line_edges(points: str) -> str:
     """Segments between neighbouring ``[x, y]`` points."""
-    n = F.greatest(F.size(points) - F.lit(1), F.lit(0))
-    return F.zip_with(F.slice(points, F.lit(1), n), F.slice(points, F.lit(2), n), _segment)
+    n = f"greatest(size({points}) - 1, 0)"
+    segment = _SEGMENT.format(a="a", b="b")
+    return f"zip_with(slice({points}, 1, {n}), slice({points}, 2, {n}), (a, b) -> {segment})"
 
 
-def ring_edges(points: Column) -> Column:
+def ring_edges(points: str) -> str:
     """Segments of a closed ring; an unclosed ring gets its closing segment."""
-    first = F.get(points, F.lit(0))
-    closed = F.when(
-        F.get(points, F.size(points) - F.lit(1)) == first, points
-    ).otherwise(F.concat(points, F.array(first)))
+    closing = f"get({points}, 0) = get({points}, size({points}) - 1)"
+    closed = f"if({closing}, {points}, concat({points}, array(get({points}, 0))))"
     return line_edges(closed)
 
 
-def point_edges(point: Column) -> Column:
-    return F.array(_segment(point, point))
+def point_edges(point: str) -> str:
+    return f"array({_SEGMENT.format(a=point, b=point)})"
 
 
-def envelope(edges: Column) -> dict[str, Column]:
+def envelope(edges: str) -> dict[str, str]:
     """Bounds of the edges; null for an empty geometry."""
     return {
-        "minx": F.array_min(F.transform(edges, lambda e: F.least(e.x1, e.x2))),
-        "miny": F.array_min(F.transform(edges, lambda e: F.least(e.y1, e.y2))),
-        "maxx": F.array_max(F.transform(edges, lambda e: F.greatest(e.x1, e.x2))),
-        "maxy": F.array_max(F.transform(edges, lambda e: F.greatest(e.y1, e.y2))),
+        f"{end}{axis}": f"array_{end}(transform({edges}, e -> {pick}(e.{axis}1, e.{axis}2)))"
+        for end, pick in (("min", "least"), ("max", "greatest"))
+        for axis in ("x", "y")
     }
 
 
-def _turn(x: Column, y: Column, e: Column) -> Column:
-    """Positive when the point lies left of the directed segment."""
-    return (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
-
-
-def inside(x: Column, y: Column, edges: Column) -> Column:
+def inside(x: str, y: str, edges: str) -> str:
     """Odd number of crossings of the ray from the point towards larger x."""
+    turn = _TURN.format(x=x, y=y)
+    crossing = f"(e.y1 > {y}) != (e.y2 > {y}) and ({turn} > 0) = (e.y2 > e.y1)"
+    return f"aggregate({edges}, 0, (n, e) -> if({crossing}, n + 1, n)) % 2 = 1"
 
-    def crossing(e: Column) -> Column:
-        spans = (e.y1 > y) != (e.y2 > y)
-        right_of_point = (_turn(x, y, e) > 0) == (e.y2 > e.y1)
-        return F.when(spans & right_of_point, F.lit(1)).otherwise(F.lit(0))
 
-    crossings = F.aggregate(edges, F.lit(0), lambda n, e: n + crossing(e))
-    return crossings.bitwiseAND(F.lit(1)) == F.lit(1)
-
-
-def on_edge(x: Column, y: Column, edges: Column) -> Column:
-    return F.exists(
-        edges,
-        lambda e: (_turn(x, y, e) == 0)
-        & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
-        & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)),
+def on_edge(x: str, y: str, edges: str) -> str:
+    turn = _TURN.format(x=x, y=y)
+    in_box = (
+        f"{x} between least(e.x1, e.x2) and greatest(e.x1, e.x2)"
+        f" and {y} between least(e.y1, e.y2) and greatest(e.y1, e.y2)"
     )
+    return f"exists({edges}, e -> {turn} = 0 and {in_box})"
 
 
-def covers(x: Column, y: Column, edges: Column, areal: Column) -> Column:
+def covers(x: str, y: str, edges: str, areal: str) -> str:
     """True for a point inside the geometry or on its boundary."""
-    return (areal & inside(x, y, edges)) | on_edge(x, y, edges)
+    return f"(({areal} and {inside(x, y, edges)}) or {on_edge(x, y, edges)})"
 
 
-def edge_distance(x: Column, y: Column, edges: Column) -> Column:
+def edge_distance(x: str, y: str, edges: str) -> str:
     """Distance to the nearest segment; null for an empty geometry."""
-
-    def squared(e: Column) -> Column:
-        dx, dy = e.x2 - e.x1, e.y2 - e.y1
-        length = dx * dx + dy * dy
-        along = ((x - e.x1) * dx + (y - e.y1) * dy) / F.when(length > 0, length).otherwise(F.lit(1.0))
-        share = F.greatest(F.least(along, F.lit(1.0)), F.lit(0.0))
-        off_x, off_y = x - e.x1 - share * dx, y - e.y1 - share * dy
-        return off_x * off_x + off_y * off_y
-
-    return F.sqrt(F.array_min(F.transform(edges, squared)))
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    length = f"({dx} * {dx} + {dy} * {dy})"
+    along = f"(({x} - e.x1) * {dx} + ({y} - e.y1) * {dy}) / if({length} > 0, {length}, 1D)"
+    share = f"greatest(least({along}, 1D), 0D)"
+    offsets = f"named_struct('u', {x} - e.x1 - {share} * {dx}, 'v', {y} - e.y1 - {share} * {dy})"
+    squares = f"transform(transform({edges}, e -> {offsets}), o -> o.u * o.u + o.v * o.v)"
+    return f"sqrt(array_min({squares}))"
 
 
-def distance(x: Column, y: Column, edges: Column, areal: Column) -> Column:
+def distance(x: str, y: str, edges: str, areal: str) -> str:
     """0 inside an area, else the distance to the nearest segment."""
-    return F.when(areal & inside(x, y, edges), F.lit(0.0)).otherwise(edge_distance(x, y, edges))
+    return f"if({areal} and {inside(x, y, edges)}, 0D, {edge_distance(x, y, edges)})"

@@ -1,4 +1,4 @@
-"""USA Contiguous Equidistant Conic projection (GRS80) as column expressions.
+"""USA Contiguous Equidistant Conic projection (GRS80).
 
 Formulas: J. P. Snyder, "Map Projections - A Working Manual" (USGS, 1987),
 equidistant conic on the ellipsoid.  WGS84 and NAD83 are taken as identical.
@@ -6,9 +6,6 @@ equidistant conic on the ellipsoid.  WGS84 and NAD83 are taken as identical.
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Projection parameters (degrees) and ellipsoid.
 ORIGIN_LON = -96.0
 ORIGIN_LAT = 39.0
@@ -50,24 +47,19 @@ INVERSE_ARC = (
 )
 
 
-def project(lon: Column, lat: Column) -> tuple[Column, Column]:
+def project(lon: str, lat: str) -> tuple[str, str]:
     """Longitude and latitude in degrees to x and y in metres."""
-    latitude = F.radians(lat)
-    arc = latitude * F.lit(ARC[0])
-    for k, coefficient in enumerate(ARC[1:], start=1):
-        arc = arc + F.sin(latitude * F.lit(2.0 * k)) * F.lit(coefficient)
-    radius = F.lit(APEX) - arc * F.lit(SEMI_MAJOR)
-    angle = F.radians(lon - F.lit(ORIGIN_LON)) * F.lit(CONE)
-    return radius * F.sin(angle), F.lit(ORIGIN_RADIUS) - radius * F.cos(angle)
+    waves = "".join(f" + ({c!r}D) * sin({2 * k} * radians({lat}))" for k, c in enumerate(ARC[1:], start=1))
+    arc = f"({ARC[0]!r}D * radians({lat}){waves})"
+    radius = f"({APEX!r}D - {SEMI_MAJOR!r}D * {arc})"
+    angle = f"({CONE!r}D * radians({lon} - ({ORIGIN_LON!r}D)))"
+    return f"{radius} * sin({angle})", f"{ORIGIN_RADIUS!r}D - {radius} * cos({angle})"
 
 
-def unproject(x: Column, y: Column) -> tuple[Column, Column]:
+def unproject(x: str, y: str) -> tuple[str, str]:
     """x and y in metres back to longitude and latitude in degrees."""
-    from_apex = F.lit(ORIGIN_RADIUS) - y
-    radius = F.hypot(x, from_apex)
-    angle = F.atan2(x, from_apex)
-    rectifying = (F.lit(APEX) - radius) / F.lit(SEMI_MAJOR * ARC[0])
-    latitude = rectifying
-    for k, coefficient in enumerate(INVERSE_ARC, start=1):
-        latitude = latitude + F.sin(rectifying * F.lit(2.0 * k)) * F.lit(coefficient)
-    return F.degrees(angle / F.lit(CONE)) + F.lit(ORIGIN_LON), F.degrees(latitude)
+    from_apex = f"({ORIGIN_RADIUS!r}D - {y})"
+    rectifying = f"(({APEX!r}D - hypot({x}, {from_apex})) / {SEMI_MAJOR * ARC[0]!r}D)"
+    waves = "".join(f" + {c!r}D * sin({2 * k} * {rectifying})" for k, c in enumerate(INVERSE_ARC, start=1))
+    lon = f"degrees(atan2({x}, {from_apex}) / {CONE!r}D) + ({ORIGIN_LON!r}D)"
+    return lon, f"degrees({rectifying}{waves})"

@@ -1,16 +1,10 @@
 """Distances on the sphere."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 EARTH_RADIUS_M = 6378100.0
 
 
-def great_circle_m(
-    lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: float = EARTH_RADIUS_M
-) -> Column:
+def great_circle_m(lon1: str, lat1: str, lon2: str, lat2: str, radius: float = EARTH_RADIUS_M) -> str:
     """Haversine distance in metres between coordinates in degrees."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / F.lit(2.0))
-    half_lon = F.sin(F.radians(lon2 - lon1) / F.lit(2.0))
-    h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.asin(F.least(F.sqrt(h), F.lit(1.0))) * F.lit(2.0 * radius)
+    across = f"pow(sin(radians({lon2} - ({lon1})) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2}))"
+    along = f"pow(sin(radians({lat2} - ({lat1})) / 2), 2)"
+    return f"{2 * radius!r}D * asin(least(sqrt({along} + {across}), 1D))"

@@ -42,42 +42,37 @@ def near(
     The latitude band of the search is a plain range on the column, which
     reaches the scan.
     """
-    at_lon, at_lat = F.col(lon_column), F.col(lat_column)
     if max_m:
         band = math.degrees(max_m / EARTH_RADIUS_M) * (1 + 1e-9)
-        df = df.filter(at_lat.between(lat - band, lat + band))
-    measured = df.withColumn(distance, great_circle_m(F.lit(float(lon)), F.lit(float(lat)), at_lon, at_lat))
+        df = df.filter(F.col(lat_column).between(lat - band, lat + band))
+    apart = great_circle_m(f"{float(lon)!r}D", f"{float(lat)!r}D", lon_column, lat_column)
+    measured = df.withColumn(distance, F.expr(apart))
     if max_m:
         measured = measured.filter(F.col(distance) <= max_m)
     return measured.orderBy(distance)
 
 
-def _projected_literal(lon: float, lat: float) -> tuple[Column, Column]:
-    return projection.project(F.lit(float(lon)), F.lit(float(lat)))
+def _search_box(lon: float, lat: float, reach: float) -> tuple[str, str, str]:
+    """The coordinate in metres, and the test whether the grown bounds of a feature hold it."""
+    x, y = (f"({text})" for text in projection.project(f"{float(lon)!r}D", f"{float(lat)!r}D"))
+    box = f"{x} between minx - {reach!r}D and maxx + {reach!r}D and {y} between miny - {reach!r}D and maxy + {reach!r}D"
+    return x, y, box
 
 
 def near_features(features: DataFrame, lon: float, lat: float, max_m: float | None = None) -> DataFrame:
     """Boundary features by rising distance from a coordinate, in metres of the projection."""
-    x, y = _projected_literal(lon, lat)
+    x, y, box = _search_box(lon, lat, float(max_m or 0))
     if max_m:
-        features = features.filter(
-            (F.col("minx") - max_m <= x) & (F.col("maxx") + max_m >= x)
-            & (F.col("miny") - max_m <= y) & (F.col("maxy") + max_m >= y)
-        )
-    measured = features.withColumn(
-        "distance_m", geometry.distance(x, y, F.col("edges"), F.col("areal"))
-    ).filter(F.col("distance_m").isNotNull())
-    if max_m:
-        measured = measured.filter(F.col("distance_m") <= max_m)
-    return measured.orderBy("distance_m", "fid")
+        features = features.filter(box)
+    measured = features.withColumn("distance_m", F.expr(geometry.distance(x, y, "edges", "areal")))
+    limit = f"distance_m <= {float(max_m)!r}D" if max_m else "distance_m is not null"
+    return measured.filter(limit).orderBy("distance_m", "fid")
 
 
 def intersecting(features: DataFrame, lon: float, lat: float) -> DataFrame:
     """Boundary features that contain a coordinate, boundary included."""
-    x, y = _projected_literal(lon, lat)
-    return features.filter(
-        (F.col("minx") <= x) & (F.col("maxx") >= x) & (F.col("miny") <= y) & (F.col("maxy") >= y)
-    ).filter(geometry.covers(x, y, F.col("edges"), F.col("areal")))
+    x, y, box = _search_box(lon, lat, 0.0)
+    return features.filter(box).filter(geometry.covers(x, y, "edges", "areal"))
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ across tiles.
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placetally.functions import geohash, geometry, projection
@@ -38,7 +38,19 @@ TILE_SLACK_M = 1.0
 
 def with_cell(df: DataFrame, lon: str = "lon", lat: str = "lat", precision: int = AREA_PRECISION, name: str = "cell") -> DataFrame:
     """Add the id of the cell a point falls in."""
-    return df.withColumn(name, geohash.cell_id(F.col(lon), F.col(lat), precision))
+    lon_bits, lat_bits = geohash.axis_bits(precision)
+    return (
+        df.withColumns({
+            "lon_index": F.expr(geohash.cell_index(lon, geohash.LON_AXIS, lon_bits)),
+            "lat_index": F.expr(geohash.cell_index(lat, geohash.LAT_AXIS, lat_bits)),
+        })
+        .withColumn(name, F.expr(geohash.cell_id("lon_index", "lat_index", precision)))
+        .drop("lon_index", "lat_index")
+    )
+
+
+def _with_pair(df: DataFrame, names: Sequence[str], expressions: Sequence[str]) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in zip(names, expressions)})
 
 
 def with_snapped(
@@ -50,24 +62,34 @@ def with_snapped(
     names: Sequence[str] = CELL_KEYS,
 ) -> DataFrame:
     """Add the coordinates at which the point is looked up."""
-    columns = geohash.snapped(F.col(lon), F.col(lat), precision, snap)
-    return df.withColumns(dict(zip(names, columns)))
+    return _with_pair(df, names, geohash.snapped(lon, lat, precision, snap))
 
 
 def with_projected(df: DataFrame, lon: str = "lon", lat: str = "lat", names: Sequence[str] = ("x", "y")) -> DataFrame:
-    return df.withColumns(dict(zip(names, projection.project(F.col(lon), F.col(lat)))))
+    """Add the point in metres of the projection."""
+    return _with_pair(df, names, projection.project(lon, lat))
 
 
 def with_unprojected(df: DataFrame, x: str = "x", y: str = "y", names: Sequence[str] = ("lon", "lat")) -> DataFrame:
-    return df.withColumns(dict(zip(names, projection.unproject(F.col(x), F.col(y)))))
+    """Add longitude and latitude of a projected point."""
+    return _with_pair(df, names, projection.unproject(x, y))
 
 
-def _tile(coordinate: Column, size: float) -> Column:
-    return F.floor(coordinate / F.lit(float(size)))
+def _tile(coordinate: str, size: float) -> str:
+    return f"nvl(floor({coordinate} / {float(size)!r}D), 0L)"
+
+
+def _solid(df: DataFrame, *axes: str) -> DataFrame:
+    """Make coordinates non-nullable: an unknown one becomes NaN, which is near nothing.
+
+    Otherwise the optimizer derives null tests from the join, and these repeat
+    the whole projection formula for every record ahead of the distinct step.
+    """
+    return df.withColumns({axis: F.expr(f"nvl({axis}, double('NaN'))") for axis in axes})
 
 
-def _tiles_between(low: Column, high: Column, size: float) -> Column:
-    return F.sequence(_tile(low, size), _tile(high, size))
+def _tiles_between(low: str, high: str, size: float) -> str:
+    return f"explode(sequence({_tile(low, size)}, {_tile(high, size)}))"
 
 
 def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float, reach_m: float) -> DataFrame:
@@ -78,24 +100,20 @@ def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float,
     grown tile in y and not to end left of it.  Detailed outlines thus are
     spread over their tiles instead of being copied whole to each of them.
     """
-    margin = reach_m + TILE_SLACK_M
-    left, bottom = F.col("tx") * F.lit(float(tile_m)), F.col("ty") * F.lit(float(tile_m))
-
-    def matters(e: Column) -> Column:
-        return (
-            (F.greatest(e.y1, e.y2) >= bottom - F.lit(margin))
-            & (F.least(e.y1, e.y2) <= bottom + F.lit(tile_m + margin))
-            & (F.greatest(e.x1, e.x2) >= left - F.lit(margin))
-        )
-
+    reach, tile, margin = float(reach_m), float(tile_m), float(reach_m + TILE_SLACK_M)
+    matters = (
+        f"greatest(e.y1, e.y2) >= ty * {tile!r}D - {margin!r}D"
+        f" and least(e.y1, e.y2) <= (ty + 1) * {tile!r}D + {margin!r}D"
+        f" and greatest(e.x1, e.x2) >= tx * {tile!r}D - {margin!r}D"
+    )
     named = F.struct(*[F.col("properties")[key].alias(alias) for alias, key in props.items()])
     return (
-        features.filter(F.size("edges") > 0)
+        features.filter("size(edges) > 0")
         .withColumn("props", named)
-        .withColumn("tx", F.explode(_tiles_between(F.col("minx") - reach_m, F.col("maxx") + reach_m, tile_m)))
-        .withColumn("ty", F.explode(_tiles_between(F.col("miny") - reach_m, F.col("maxy") + reach_m, tile_m)))
-        .withColumn("edges", F.filter("edges", matters))
-        .filter(F.size("edges") > 0)
+        .withColumn("tx", F.expr(_tiles_between(f"(minx - {reach!r}D)", f"(maxx + {reach!r}D)", tile)))
+        .withColumn("ty", F.expr(_tiles_between(f"(miny - {reach!r}D)", f"(maxy + {reach!r}D)", tile)))
+        .withColumn("edges", F.expr(f"filter(edges, e -> {matters})"))
+        .filter("size(edges) > 0")
         .select("tx", "ty", "fid", "props", "areal", "edges", "minx", "miny", "maxx", "maxy")
     )
 
@@ -119,28 +137,31 @@ def nearest_feature(
     ``bounded`` says that places lie on a grid, so that a tile holds a fixed
     number of them at most.  Otherwise crowded tiles are split.
     """
-    x, y = F.col("x"), F.col("y")
-    placed = places.select(*keys, "x", "y", _tile(x, tile_m).alias("tx"), _tile(y, tile_m).alias("ty"))
+    reach = f"{float(reach_m)!r}D"
+    placed = _solid(places.select(*keys, "x", "y"), "x", "y").withColumns(
+        {"tx": F.expr(_tile("x", tile_m)), "ty": F.expr(_tile("y", tile_m))}
+    )
     tiles = feature_tiles(features, props, tile_m, reach_m)
     if bounded:
         pairs = placed.join(tiles, ["tx", "ty"])
     else:
         pairs = split_join(placed, tiles, ["tx", "ty"], spread_by=keys, rows_per_task=rows_per_task)
-    near = F.lit(float(reach_m))
     pairs = pairs.filter(
-        x.between(F.col("minx") - near, F.col("maxx") + near) & y.between(F.col("miny") - near, F.col("maxy") + near)
+        f"x between minx - {reach} and maxx + {reach} and y between miny - {reach} and maxy + {reach}"
     )
-    edges, areal = F.col("edges"), F.col("areal")
     if reach_m > 0:
-        matches = pairs.withColumn("dist", geometry.distance(x, y, edges, areal)).filter(F.col("dist") <= near)
+        matches = pairs.withColumn("dist", F.expr(geometry.distance("x", "y", "edges", "areal")))
     else:
-        matches = pairs.withColumn("dist", F.lit(0.0)).filter(geometry.covers(x, y, edges, areal))
+        matches = pairs.filter(geometry.covers("x", "y", "edges", "areal")).withColumn("dist", F.lit(0.0))
     # tx and ty follow from the keys; naming them lets the grouping reuse the
-    # partitioning of the join.
-    best = matches.groupBy("tx", "ty", *keys).agg(
-        F.min_by("props", F.struct("dist", "fid")).alias("props")
+    # partitioning of the join.  The reach is tested on the smallest distance
+    # only, so that each distance is computed once.
+    best = (
+        matches.groupBy("tx", "ty", *keys)
+        .agg(F.expr("min(struct(dist, fid, props))").alias("best"))
+        .filter(f"best.dist <= {reach}")
     )
-    return best.select(*keys, *[F.col(f"props.{alias}").alias(alias) for alias in props])
+    return best.select(*keys, *[F.col(f"best.props.{alias}").alias(alias) for alias in props])
 
 
 @dataclass(frozen=True)
@@ -264,26 +285,19 @@ def join_within(
     holds a fixed number of them, and the result grows with ``others`` only.
     Tiles crowded with ``others`` are split.
     """
-    tile_m = 2.0 * radius_m
-    reach = F.lit(float(radius_m))
-    x, y = F.col("x"), F.col("y")
-    searched = spots.withColumn("tx", F.explode(_tiles_between(x - reach, x + reach, tile_m))).withColumn(
-        "ty", F.explode(_tiles_between(y - reach, y + reach, tile_m))
-    )
-    placed = others.withColumn("tx", _tile(F.col("other_x"), tile_m)).withColumn(
-        "ty", _tile(F.col("other_y"), tile_m)
-    )
+    tile_m, reach = 2.0 * radius_m, f"{float(radius_m)!r}D"
+    searched = _solid(spots, "x", "y").withColumn(
+        "tx", F.expr(_tiles_between(f"(x - {reach})", f"(x + {reach})", tile_m))
+    ).withColumn("ty", F.expr(_tiles_between(f"(y - {reach})", f"(y + {reach})", tile_m)))
+    placed = _solid(others, "other_x", "other_y").withColumns({"tx": F.expr(_tile("other_x", tile_m)), "ty": F.expr(_tile("other_y", tile_m))})
     pairs = split_join(placed, searched, [*on, "tx", "ty"], spread_by, rows_per_task=rows_per_task)
-    return (
-        pairs.withColumn("dist", F.hypot(F.col("other_x") - x, F.col("other_y") - y))
-        .filter(F.col("dist") <= reach)
-        .drop("tx", "ty")
-    )
+    measured = pairs.withColumn("dist", F.expr("hypot(other_x - x, other_y - y)"))
+    return measured.filter(f"dist <= {reach}").drop("tx", "ty")
 
 
 def cell_reuse_stats(df: DataFrame, lon: str = "lon", lat: str = "lat", precision: int = AREA_PRECISION) -> DataFrame:
     """How many lookups find their cell already answered (hits) and how many are first (misses)."""
-    cells = df.select(geohash.cell_id(F.col(lon), F.col(lat), precision).alias("cell")).groupBy("cell").count()
+    cells = with_cell(df, lon, lat, precision).groupBy("cell").count()
     return cells.agg(
         F.coalesce(F.sum(F.col("count") - F.lit(1)), F.lit(0)).alias("hits"), F.count("cell").alias("misses")
     )

@@ -49,7 +49,3 @@ POI_SCHEMA = T.StructType(NODE_SCHEMA.fields[1:])
 
 # A log that holds posts and points of interest side by side.
 MIXED_SCHEMA = T.StructType(POST_SCHEMA.fields + POI_SCHEMA.fields)
-
-EDGES_TYPE = T.ArrayType(T.StructType([
-    T.StructField(name, T.DoubleType()) for name in ("x1", "y1", "x2", "y2")
-]))

@@ -1,10 +1,9 @@
 """Boundary layers: GeoJSON feature collections in projected metres."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placetally.functions import geometry
-from placetally.schemas import EDGES_TYPE
 
 DEFAULT_ENCODING = "ISO-8859-1"
 
@@ -19,25 +18,24 @@ _RINGS = f"array<{_LINE}>"
 _PARTS = f"array<{_RINGS}>"
 
 
-def _edges(kind: Column, coordinates: Column) -> Column:
-    def rings(parsed: Column) -> Column:
-        return F.flatten(F.transform(parsed, geometry.ring_edges))
+def _edges(kind: str, coordinates: str) -> str:
+    """Edges of any geometry; null where the type is unknown or the text is not of that type."""
 
-    by_kind = {
-        "Polygon": rings(F.from_json(coordinates, _RINGS)),
-        "MultiPolygon": rings(F.flatten(F.from_json(coordinates, _PARTS))),
-        "LineString": geometry.line_edges(F.from_json(coordinates, _LINE)),
-        "MultiLineString": F.flatten(F.transform(F.from_json(coordinates, _RINGS), geometry.line_edges)),
-        "Point": geometry.point_edges(F.from_json(coordinates, _POINT)),
-        "MultiPoint": F.flatten(F.transform(F.from_json(coordinates, _LINE), geometry.point_edges)),
-    }
-    chosen = F.lit(None).cast(EDGES_TYPE)
-    for name, edges in by_kind.items():
-        chosen = F.when(kind == name, edges).otherwise(chosen)
-    usable = F.filter(chosen, lambda e: (e.x1 + e.y1 + e.x2 + e.y2).isNotNull())
-    # An outline with an unreadable corner is no outline: such a feature matches nothing.
-    whole = F.size(usable) == F.size(chosen)
-    return F.when(whole, usable).otherwise(F.array().cast(EDGES_TYPE))
+    def parsed(shape: str) -> str:
+        return f"from_json({coordinates}, '{shape}')"
+
+    def each(parts: str, edges: str) -> str:
+        return f"flatten(transform({parts}, part -> {edges}))"
+
+    ring, line, point = geometry.ring_edges("part"), geometry.line_edges("part"), geometry.point_edges("part")
+    return f"""case {kind}
+        when 'Polygon' then {each(parsed(_RINGS), ring)}
+        when 'MultiPolygon' then {each(f"flatten({parsed(_PARTS)})", ring)}
+        when 'LineString' then {each(f"array({parsed(_LINE)})", line)}
+        when 'MultiLineString' then {each(parsed(_RINGS), line)}
+        when 'Point' then {each(f"array({parsed(_POINT)})", point)}
+        when 'MultiPoint' then {each(parsed(_LINE), point)}
+    end"""
 
 
 def as_features(raw: DataFrame) -> DataFrame:
@@ -46,20 +44,21 @@ def as_features(raw: DataFrame) -> DataFrame:
     ``coordinates`` is JSON text.  A feature whose geometry is missing or broken
     has no edges and no bounds, and so never matches.
     """
-    kind = F.col("geometry_type")
     built = raw.select(
         "fid",
         "id",
         "properties",
-        F.coalesce(kind.isin("Polygon", "MultiPolygon"), F.lit(False)).alias("areal"),
-        _edges(kind, F.col("coordinates")).alias("edges"),
+        F.expr("coalesce(geometry_type in ('Polygon', 'MultiPolygon'), false)").alias("areal"),
+        F.expr(_edges("geometry_type", "coordinates")).alias("edges"),
     )
-    return with_bounds(built)
+    # An outline with an unreadable corner is no outline.
+    broken = "exists(edges, e -> e.x1 is null or e.y1 is null or e.x2 is null or e.y2 is null)"
+    return with_bounds(built.withColumn("edges", F.expr(f"if({broken}, null, edges)")))
 
 
 def with_bounds(features: DataFrame) -> DataFrame:
     """Add the envelope of each feature's edges."""
-    return features.withColumns(geometry.envelope(F.col("edges")))
+    return features.withColumns({name: F.expr(text) for name, text in geometry.envelope("edges").items()})
 
 
 def read_features(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCODING) -> DataFrame:
