@@ -8,6 +8,8 @@ the same arithmetic in SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placetally.session import spread_over_cores
+
 # Corners of an outline around its centre, counter-clockwise, in metres.
 CORNERS = ((-450_000, -200_000), (400_000, -250_000), (450_000, 200_000), (-400_000, 250_000))
 METRO_SCALE = 10
@@ -25,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table with long texts."""
+    return spread_over_cores(table(spark, sf_dir, name).select(*columns))
+
+
 def lon_of(key: str) -> Column:
     return F.expr(f"-125D + ((({key} % 500) * 7919) % 58000) / 1000D + ({key} % 11) * 3e-4D")
 
@@ -59,14 +66,14 @@ def event_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents and conversation turns as posts."""
     key = "doc_id"
-    documents = table(spark, sf_dir, "documents").select(
+    documents = texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.col(key).alias("user_id"),
         F.when(F.col(key) % 9 != 0, F.col("source")).alias("description"),
         "text",
         F.array(lon_of(key), lat_of(key)).alias("lonlat"),
     )
     turn = "(conv_id * 31 + turn)"
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").select(
         F.col("conv_id").alias("user_id"),
         F.col("role").alias("description"),
         "text",

@@ -20,7 +20,7 @@ CITY = (-96.4, 39.2)
 
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inputs.table(spark, sf_dir, "documents").select("lang", "source", "text")
+    documents = inputs.texts(spark, sf_dir, "documents", "lang", "source", "text")
     return words.extract_words(documents, "text", STOP_WORDS)
 
 
@@ -30,19 +30,19 @@ def _lang_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_extract_count(spark, sf_dir):
     """Words of all documents, words of the benchmark items being the stop words."""
-    stop = words.extract_words(inputs.table(spark, sf_dir, "benchmark").select("text")).distinct()
-    found = words.extract_words(inputs.table(spark, sf_dir, "documents").select("text"), "text", stop)
+    stop = words.extract_words(inputs.texts(spark, sf_dir, "benchmark", "text")).distinct()
+    found = words.extract_words(inputs.texts(spark, sf_dir, "documents", "text"), "text", stop)
     return counts.count_groups(found, ["word"])
 
 
 def turn_words(spark, sf_dir):
-    found = words.extract_words(inputs.table(spark, sf_dir, "conversations").select("role", "text"), "text", STOP_WORDS)
+    found = words.extract_words(inputs.texts(spark, sf_dir, "conversations", "role", "text"), "text", STOP_WORDS)
     return counts.count_groups(found, ["role", "word"])
 
 
 def page_words(spark, sf_dir):
     """Raw pages hold URLs, entities and markup in plenty."""
-    return counts.count_groups(words.extract_words(inputs.table(spark, sf_dir, "pages").select("html"), "html"), ["word"])
+    return counts.count_groups(words.extract_words(inputs.texts(spark, sf_dir, "pages", "html"), "html"), ["word"])
 
 
 def exclude_terms(spark, sf_dir):
@@ -291,7 +291,7 @@ def intersecting_zone(spark, sf_dir):
 def insert_ignore(spark, sf_dir):
     """Word counts of the documents, then those of the conversations with a new word."""
     existing = _lang_counts(spark, sf_dir).groupBy("word").agg(F.sum("count").alias("count"))
-    turns = words.extract_words(inputs.table(spark, sf_dir, "conversations").select("role", "text"), "text", STOP_WORDS)
+    turns = words.extract_words(inputs.texts(spark, sf_dir, "conversations", "role", "text"), "text", STOP_WORDS)
     new = counts.count_groups(turns, ["role", "word"]).select("word", "count")
     return results.insert_ignore(existing, new, ["word"])
 
@@ -306,7 +306,7 @@ def result_sink_roundtrip(spark, sf_dir):
     """A result table written, then extended by the groups of another table."""
     path = scratch_path(spark, "results")
     sinks.write_results(_lang_counts(spark, sf_dir), path)
-    turns = words.extract_words(inputs.table(spark, sf_dir, "conversations").select("role", "text"), "text", STOP_WORDS)
+    turns = words.extract_words(inputs.texts(spark, sf_dir, "conversations", "role", "text"), "text", STOP_WORDS)
     by_role = counts.metro_word_count(turns.withColumnRenamed("role", "metro_area"))
     more = by_role.unionByName(_lang_counts(spark, sf_dir).withColumn("count", F.col("count") + 1))
     sinks.write_results(more, path, mode="append_ignore_duplicates")
@@ -318,7 +318,7 @@ def result_sink_roundtrip(spark, sf_dir):
 def stopword_roundtrip(spark, sf_dir):
     """Words of the conversations as a stop-word file, read back without repeats."""
     path = scratch_path(spark, "stopwords")
-    words.extract_words(inputs.table(spark, sf_dir, "conversations").select("text")).select("word").write.text(path)
+    words.extract_words(inputs.texts(spark, sf_dir, "conversations", "text")).select("word").write.text(path)
     return records.read_stopwords(spark, path)
 
 

@@ -3,13 +3,18 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the word rules.
-REMOVED_CHARACTERS = '#.!?,"(){}[]|'
-REMOVED_ENTITY = "&amp;"
+# Fixed values of the word rules, as regular expressions and trim sets.
+REMOVED = r'[#.!?,"(){}\[\]|]|&amp;'
 LEADING_TRIM = "@\\/~"
 TRAILING_TRIM = "\\/:~"
 URL_PREFIX = "http"
-ASCII_SPACE = r" \t\n\r\x0B\f"
+
+_SPACE = r" \t\n\r\x0B\f"
+_URL = rf"(?<![^{_SPACE}]){URL_PREFIX}[^{_SPACE}]*"
+# Whitespace together with the characters trimmed on both sides of it.  The
+# look-behind starts a trailing run only at its first character and the
+# quantifiers never give back, so that long runs stay linear.
+_GAP = rf"(?<![\\/:~])[\\/:~]*+[{_SPACE}]++[@\\/~]*+"
 
 
 def ascii_fold(text: Column) -> Column:
@@ -17,36 +22,39 @@ def ascii_fold(text: Column) -> Column:
 
     A no-break space vanishes too, so the words on both sides of it join up.
     """
-    return F.regexp_replace(F.lower(text), r"[^\x00-\x7F]+", "")
+    lowered = F.lower(text)
+    is_ascii = F.octet_length(text) == F.length(text)
+    return F.when(is_ascii, lowered).otherwise(F.regexp_replace(lowered, r"[^\x00-\x7F]+", ""))
 
 
-def clean_token(token: Column) -> Column:
-    """Remove punctuation anywhere in the token, then trim its two ends."""
-    return trim_token(remove_punctuation(token))
+def drop_urls(folded: Column) -> Column:
+    """Blank out whitespace-separated tokens that start with ``http``.
 
+    Runs before punctuation is removed, so ``(http://...`` is kept as a word.
+    """
+    return F.when(
+        F.contains(folded, F.lit(URL_PREFIX)), F.regexp_replace(folded, _URL, "")
+    ).otherwise(folded)
 
-def remove_punctuation(text: Column) -> Column:
-    without_entity = F.replace(text, F.lit(REMOVED_ENTITY), F.lit(""))
-    return F.translate(without_entity, REMOVED_CHARACTERS, "")
 
+def remove_punctuation(text: Column) -> Column:
+    return F.regexp_replace(text, REMOVED, "")
 
-def trim_token(token: Column) -> Column:
-    return F.rtrim(F.ltrim(token, F.lit(LEADING_TRIM)), F.lit(TRAILING_TRIM))
 
+def trim_ends(text: Column) -> Column:
+    return F.rtrim(F.ltrim(text, F.lit(LEADING_TRIM)), F.lit(TRAILING_TRIM))
 
-def drop_urls(folded: Column) -> Column:
-    """Blank out whitespace-separated tokens that start with ``http``.
 
-    Runs before punctuation is removed, so ``(http://...`` is kept as a word.
-    """
-    return F.regexp_replace(folded, rf"(?<![^{ASCII_SPACE}]){URL_PREFIX}[^{ASCII_SPACE}]*", "")
+def clean_token(token: Column) -> Column:
+    """Remove punctuation anywhere in the token, then trim its two ends."""
+    return trim_ends(remove_punctuation(token))
 
 
-def tokens(text: Column) -> Column:
-    """Array of cleaned but untrimmed tokens of a whole text.
+def tokens(folded: Column) -> Column:
+    """Array of the cleaned tokens of a folded text; some of them may be empty.
 
     Removed characters are never whitespace, so cleaning the text once before
-    the split gives the same tokens as cleaning each of them after it.
+    the split gives the same tokens as cleaning each of them after it.  Inner
+    token ends are trimmed by the split, the two outermost ones ahead of it.
     """
-    cleaned = remove_punctuation(drop_urls(ascii_fold(text)))
-    return F.split(cleaned, f"[{ASCII_SPACE}]+")
+    return F.split(trim_ends(remove_punctuation(drop_urls(folded))), _GAP)

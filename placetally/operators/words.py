@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetally.functions.text import tokens, trim_token
+from placetally.functions.text import ascii_fold, tokens
 
 MIN_WORD_LENGTH = 2
 # A stop list given as Python strings becomes a literal set up to this length.
@@ -15,9 +15,9 @@ MAX_LITERAL_WORDS = 5_000
 def explode_words(df: DataFrame, text: str = "text", name: str = "word") -> DataFrame:
     """One row per word occurrence, the text replaced by the word."""
     kept = [c for c in df.columns if c != text]
-    return df.select(*kept, F.explode(tokens(F.col(text))).alias("token")).select(
-        *kept, trim_token(F.col("token")).alias(name)
-    ).filter(F.length(name) >= MIN_WORD_LENGTH)
+    folded = df.select(*kept, ascii_fold(F.col(text)).alias(text))
+    words = folded.select(*kept, F.explode(tokens(F.col(text))).alias(name))
+    return words.filter(F.length(name) >= MIN_WORD_LENGTH)
 
 
 def exclude_stopwords(

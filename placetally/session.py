@@ -50,3 +50,13 @@ def materialized(df: DataFrame) -> DataFrame:
     """Write the rows to reliable storage once and go on from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread_over_cores(scan: DataFrame) -> DataFrame:
+    """Give a scan with fewer partitions than cores one partition per core.
+
+    For small files of few row groups with much work per row.  A large input
+    has enough partitions and stays where it is.  Apply it to a plain scan.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
