@@ -11,10 +11,6 @@ URL_PREFIX = "http"
 
 _SPACE = r" \t\n\r\x0B\f"
 _URL = rf"(?<![^{_SPACE}]){URL_PREFIX}[^{_SPACE}]*"
-# Whitespace together with the characters trimmed on both sides of it.  The
-# look-behind starts a trailing run only at its first character and the
-# quantifiers never give back, so that long runs stay linear.
-_GAP = rf"(?<![\\/:~])[\\/:~]*+[{_SPACE}]++[@\\/~]*+"
 
 
 def ascii_fold(text: Column) -> Column:
@@ -51,10 +47,9 @@ def clean_token(token: Column) -> Column:
 
 
 def tokens(folded: Column) -> Column:
-    """Array of the cleaned tokens of a folded text; some of them may be empty.
+    """Array of the tokens of a folded text, without punctuation but with untrimmed ends.
 
-    Removed characters are never whitespace, so cleaning the text once before
-    the split gives the same tokens as cleaning each of them after it.  Inner
-    token ends are trimmed by the split, the two outermost ones ahead of it.
+    Removed characters are never whitespace, so removing them from the text once
+    before the split gives the same tokens as cleaning each of them after it.
     """
-    return F.split(trim_ends(remove_punctuation(drop_urls(folded))), _GAP)
+    return F.split(remove_punctuation(drop_urls(folded)), f"[{_SPACE}]+")

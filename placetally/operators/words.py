@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetally.functions.text import ascii_fold, tokens
+from placetally.functions.text import ascii_fold, tokens, trim_ends
 
 MIN_WORD_LENGTH = 2
 # A stop list given as Python strings becomes a literal set up to this length.
@@ -16,7 +16,8 @@ def explode_words(df: DataFrame, text: str = "text", name: str = "word") -> Data
     """One row per word occurrence, the text replaced by the word."""
     kept = [c for c in df.columns if c != text]
     folded = df.select(*kept, ascii_fold(F.col(text)).alias(text))
-    words = folded.select(*kept, F.explode(tokens(F.col(text))).alias(name))
+    exploded = folded.select(*kept, F.explode(tokens(F.col(text))).alias("token"))
+    words = exploded.select(*kept, trim_ends(F.col("token")).alias(name))
     return words.filter(F.length(name) >= MIN_WORD_LENGTH)
 
 
