@@ -11,19 +11,22 @@ MAX_SPLIT_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
 
 
+def heaviest(counted: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK, amount: str = "count") -> DataFrame:
+    """The heaviest of counted keys and in how many parts each is to be split."""
+    return (
+        counted.filter(F.col(amount) > rows_per_task)
+        .orderBy(F.desc(amount))
+        .limit(MAX_SPLIT_KEYS)
+        .select(*on, F.ceil(F.col(amount) / F.lit(rows_per_task)).cast("int").alias("parts"))
+    )
+
+
 def heavy_keys(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The heaviest keys and in how many parts each is to be split.
+    """The heaviest keys of a frame.
 
     The count is combined before its shuffle, so a hot key costs one row per task.
     """
-    return (
-        df.groupBy(*on)
-        .count()
-        .filter(F.col("count") > rows_per_task)
-        .orderBy(F.desc("count"))
-        .limit(MAX_SPLIT_KEYS)
-        .select(*on, F.ceil(F.col("count") / F.lit(rows_per_task)).cast("int").alias("parts"))
-    )
+    return heaviest(df.groupBy(*on).count(), on, rows_per_task)
 
 
 def split_join(
@@ -33,16 +36,17 @@ def split_join(
     spread_by: Sequence[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join in which hot keys of ``large`` are cut into parts by a hash of ``spread_by``.
 
     Rows of ``small`` are repeated once per part, for hot keys only.  The part
     depends on nothing but the row, so a task that runs again gives the same
     rows.  The list of hot keys has at most ``MAX_SPLIT_KEYS`` rows, which is
-    why it may be broadcast.
+    why it may be broadcast; pass it as ``hot`` where counts are at hand.
     """
     on = list(on)
-    hot = F.broadcast(heavy_keys(large, on, rows_per_task))
+    hot = F.broadcast(heavy_keys(large, on, rows_per_task) if hot is None else hot)
     parts = F.coalesce(F.col("parts"), F.lit(1))
     spread = (
         large.join(hot, on, "left")

@@ -7,13 +7,13 @@ across tiles.
 """
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placetally.functions import geohash, geometry, projection
-from placetally.operators.skew import ROWS_PER_TASK, split_join
+from placetally.operators.skew import ROWS_PER_TASK, heaviest, split_join
 from placetally.session import materialized
 
 METERS_PER_MILE = 1609
@@ -128,53 +128,55 @@ def nearest_feature(
     bounded: bool = True,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """The nearest feature within reach of each place, as ``(*keys, *props)``.
+    """Each place with the properties of the nearest feature within reach, null if there is none.
 
-    ``places`` has one row per ``keys`` plus projected ``x, y``.  Reach 0 means
-    containment, boundary included.  Of equally near features the one with the
-    lowest ``fid`` wins; places without a feature are left out.
+    ``places`` has one row per ``keys`` with projected ``x, y``; other columns
+    are kept.  Reach 0 means containment, boundary included.  Of equally near
+    features the one with the lowest ``fid`` wins.
 
     ``bounded`` says that places lie on a grid, so that a tile holds a fixed
     number of them at most.  Otherwise crowded tiles are split.
     """
     reach = f"{float(reach_m)!r}D"
-    placed = _solid(places.select(*keys, "x", "y"), "x", "y").withColumns(
-        {"tx": F.expr(_tile("x", tile_m)), "ty": F.expr(_tile("y", tile_m))}
-    )
+    kept = [c for c in places.columns if c not in ("x", "y")]
+    placed = _solid(places, "x", "y").withColumns({"tx": F.expr(_tile("x", tile_m)), "ty": F.expr(_tile("y", tile_m))})
     tiles = feature_tiles(features, props, tile_m, reach_m)
     if bounded:
-        pairs = placed.join(tiles, ["tx", "ty"])
+        pairs = placed.join(tiles, ["tx", "ty"], "left")
     else:
-        pairs = split_join(placed, tiles, ["tx", "ty"], spread_by=keys, rows_per_task=rows_per_task)
-    pairs = pairs.filter(
-        f"x between minx - {reach} and maxx + {reach} and y between miny - {reach} and maxy + {reach}"
-    )
+        pairs = split_join(placed, tiles, ["tx", "ty"], spread_by=keys, how="left", rows_per_task=rows_per_task)
+    in_bounds = f"x between minx - {reach} and maxx + {reach} and y between miny - {reach} and maxy + {reach}"
     if reach_m > 0:
-        matches = pairs.withColumn("dist", F.expr(geometry.distance("x", "y", "edges", "areal")))
+        measured = f"if({in_bounds}, {geometry.distance('x', 'y', 'edges', 'areal')}, null)"
     else:
-        matches = pairs.filter(geometry.covers("x", "y", "edges", "areal")).withColumn("dist", F.lit(0.0))
+        measured = f"if({in_bounds} and {geometry.covers('x', 'y', 'edges', 'areal')}, 0D, null)"
     # tx and ty follow from the keys; naming them lets the grouping reuse the
-    # partitioning of the join.  The reach is tested on the smallest distance
-    # only, so that each distance is computed once.
+    # partitioning of the join.
     best = (
-        matches.groupBy("tx", "ty", *keys)
-        .agg(F.expr("min(struct(dist, fid, props))").alias("best"))
-        .filter(f"best.dist <= {reach}")
+        pairs.withColumn("dist", F.expr(measured))
+        .groupBy("tx", "ty", *kept)
+        .agg(F.expr(f"min(if(dist <= {reach}, struct(dist, fid, props), null))").alias("best"))
     )
-    return best.select(*keys, *[F.col(f"best.props.{alias}").alias(alias) for alias in props])
+    return best.select(*kept, *[F.col(f"best.props.{alias}").alias(alias) for alias in props])
 
 
 @dataclass(frozen=True)
 class PlaceLookup:
-    """One stored row per distinct lookup point that has a place."""
+    """One stored row per distinct lookup point: its keys, properties and number of records ``n``.
+
+    ``found`` counts the points that have a place.
+    """
 
     frame: DataFrame
-    rows: int
+    found: int
     keys: tuple[str, ...]
     names: tuple[str, ...]
 
     def fits_broadcast(self, limit: int) -> bool:
-        return self.rows <= limit
+        return self.found <= limit
+
+    def places(self) -> DataFrame:
+        return self.frame.filter(F.col(self.names[0]).isNotNull()).drop("n")
 
 
 def lookup_places(
@@ -185,23 +187,26 @@ def lookup_places(
     tile_m: float,
     keys: Sequence[str] = CELL_KEYS,
     snap: str = "rounded",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> PlaceLookup:
     """Look up every distinct point once and keep the answers for all its records.
 
     A record is looked up at its snapped coordinates, so the work grows with the
-    number of occupied cells and not with the number of records.  The distinct
-    step is combined before its shuffle; a crowded cell is one row per task.
-    A place whose properties are missing or empty counts as no place.
+    number of occupied cells and not with the number of records.  The count per
+    cell is combined before its shuffle; a crowded cell is one row per task.
+    A place with a missing or empty property counts as no place.
     """
-    distinct = cells.select(*keys).distinct()
-    lon, lat = keys
-    found = nearest_feature(
-        with_projected(distinct, lon, lat), features, props, reach_m, tile_m, keys, bounded=snap != "exact"
+    counted = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    located = nearest_feature(
+        with_projected(counted, *keys), features, props, reach_m, tile_m, keys,
+        bounded=snap != "exact", rows_per_task=rows_per_task,
+    )
+    complete = " and ".join(f"{name} != ''" for name in props)
+    stored = materialized(
+        located.select(*keys, "n", *[F.expr(f"if({complete}, {name}, null)").alias(name) for name in props])
     )
-    for name in props:
-        found = found.filter(F.col(name) != "")
-    stored = materialized(found)
-    return PlaceLookup(stored, stored.count(), tuple(keys), tuple(props))
+    lookup = PlaceLookup(stored, 0, tuple(keys), tuple(props))
+    return replace(lookup, found=lookup.places().count())
 
 
 def attach_places(
@@ -215,13 +220,14 @@ def attach_places(
     """Give each record the place of its lookup point.
 
     A lookup table of counted, small size is broadcast and the records stay
-    where they are.  A larger one is joined by shuffle, crowded cells split.
+    where they are.  A larger one is joined by shuffle.  Crowded points, known
+    from the lookup, are split then, whether they have a place or not.
     """
+    keys = list(lookup.keys)
     if lookup.fits_broadcast(broadcast_rows):
-        return df.join(F.broadcast(lookup.frame), list(lookup.keys), how)
-    return split_join(
-        df, lookup.frame, lookup.keys, spread_by or df.columns, how=how, rows_per_task=rows_per_task
-    )
+        return df.join(F.broadcast(lookup.places()), keys, how)
+    hot = heaviest(lookup.frame, keys, rows_per_task, amount="n")
+    return split_join(df, lookup.places(), keys, spread_by or df.columns, how, rows_per_task, hot)
 
 
 def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_rows):
@@ -289,7 +295,9 @@ def join_within(
     searched = _solid(spots, "x", "y").withColumn(
         "tx", F.expr(_tiles_between(f"(x - {reach})", f"(x + {reach})", tile_m))
     ).withColumn("ty", F.expr(_tiles_between(f"(y - {reach})", f"(y + {reach})", tile_m)))
-    placed = _solid(others, "other_x", "other_y").withColumns({"tx": F.expr(_tile("other_x", tile_m)), "ty": F.expr(_tile("other_y", tile_m))})
+    placed = _solid(others, "other_x", "other_y").withColumns(
+        {"tx": F.expr(_tile("other_x", tile_m)), "ty": F.expr(_tile("other_y", tile_m))}
+    )
     pairs = split_join(placed, searched, [*on, "tx", "ty"], spread_by, rows_per_task=rows_per_task)
     measured = pairs.withColumn("dist", F.expr("hypot(other_x - x, other_y - y)"))
     return measured.filter(f"dist <= {reach}").drop("tx", "ty")

@@ -41,22 +41,23 @@ SPOT_KEYS = ("spot_lon", "spot_lat")
 
 def _words_by_place(
     posts: DataFrame, lookup: PlaceLookup, stopwords: StopWords, broadcast_rows: int, rows_per_task: int
-) -> DataFrame:
-    """Counts ``n`` by place and word of posts that carry their lookup point.
+) -> tuple[DataFrame, str | None]:
+    """Place and word of posts that carry their lookup point, and the weight column if there is one.
 
     With a small lookup table posts get their place without moving, and only
-    partial counts are shuffled.  With a large one, words are first counted per
-    lookup point: texts never move, copies collapse, and a crowded point is
+    partial counts are shuffled later.  With a large one, words are first counted
+    per lookup point: texts never move, copies collapse, and a crowded point is
     spread by its words.
     """
     if lookup.fits_broadcast(broadcast_rows):
-        words = extract_words(attach_places(posts, lookup, broadcast_rows=broadcast_rows), "text", stopwords)
-        return count_groups(words, [*lookup.names, "word"]).withColumnRenamed("count", "n")
+        placed = attach_places(posts, lookup, broadcast_rows=broadcast_rows)
+        return extract_words(placed, "text", stopwords), None
     words = extract_words(posts, "text", stopwords)
     counted = count_groups(words, [*lookup.keys, "word"]).withColumnRenamed("count", "n")
-    return attach_places(
+    placed = attach_places(
         counted, lookup, spread_by=["word"], broadcast_rows=broadcast_rows, rows_per_task=rows_per_task
-    ).select(*lookup.names, "word", "n")
+    )
+    return placed, "n"
 
 
 def _located_texts(posts: DataFrame, terms: Iterable[str], precision: int, snap: str) -> DataFrame:
@@ -82,9 +83,9 @@ def state_county_words(
     A post outside every county does not count at any level.
     """
     texts = _located_texts(posts, terms, precision, snap)
-    lookup = lookup_places(texts, counties, COUNTY_PROPS, 0, tile_m, snap=snap)
-    counted = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
-    return word_rollup(counted, min_count=min_count, weight="n")
+    lookup = lookup_places(texts, counties, COUNTY_PROPS, 0, tile_m, snap=snap, rows_per_task=rows_per_task)
+    words, weight = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
+    return word_rollup(words, min_count=min_count, weight=weight)
 
 
 def metro_words(
@@ -103,9 +104,9 @@ def metro_words(
 ) -> DataFrame:
     """``(metro_area, word, count)`` of posts within reach of a metro area."""
     texts = _located_texts(posts, terms, precision, snap)
-    lookup = lookup_places(texts, metros, METRO_PROPS, max_distance_m, tile_m, snap=snap)
-    counted = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
-    return metro_word_count(counted, min_count=min_count, weight="n")
+    lookup = lookup_places(texts, metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task)
+    words, weight = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
+    return metro_word_count(words, min_count=min_count, weight=weight)
 
 
 def poi_nearby(
@@ -142,7 +143,7 @@ def poi_nearby(
 
     lookup = lookup_places(
         spots.select(*CELL_KEYS).unionByName(places.select(*CELL_KEYS)),
-        metros, METRO_PROPS, max_distance_m, tile_m, snap=snap,
+        metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task,
     )
     spots = with_projected(attach_places(spots, lookup, broadcast_rows=broadcast_rows), *SPOT_KEYS)
     places = with_projected(

@@ -138,7 +138,7 @@ def test_nearest_against_all_pairs(spark, reach, bounded):
         distance, _, name = min((ring_distance(x, y, ring), i, n) for i, (n, ring) in enumerate(rings.items()))
         if distance <= reach:
             expected[key] = name
-    assert {r.cell_lon: r.name for r in got.collect()} == expected
+    assert {r.cell_lon: r.name for r in got.collect()} == {key: expected.get(key) for key, *_ in places}
     assert len(expected) > 50
 
 
@@ -179,16 +179,15 @@ def test_plans_compare_no_pairs_across_tiles(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_distinct_cells_do_not_repeat_the_projection(spark, tmp_path):
-    """The scan below the distinct step filters on no trigonometry."""
+def test_records_are_not_projected_ahead_of_the_distinct_step(spark, tmp_path):
     points(spark, [WITHIN, AT_3200]).write.parquet(str(tmp_path / "p"))
     df = spatial.with_snapped(spark.read.parquet(str(tmp_path / "p")))
     cells = spatial.with_projected(df.select("cell_lon", "cell_lat").distinct(), "cell_lon", "cell_lat")
-    text = plan(spatial.nearest_feature(cells, polygons(spark, polygon1=POLYGON_1), {"name": "NAME"}, 0, 50_000))
-    below = text[text.index("partial" if "partial" in text else "HashAggregate(keys=[knownfloatingpoint"):]
-    scan = below[below.rindex("HashAggregate(keys=[knownfloatingpoint"):]
-    scan = scan[:scan.index("FileScan")]
-    assert "SIN" not in scan.upper().replace("USING", "")
+    located = spatial.nearest_feature(cells, polygons(spark, polygon1=POLYGON_1), {"name": "NAME"}, 0, 50_000)
+    lines = located._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    scan = next(i for i, line in enumerate(lines) if "parquet" in line)
+    distinct = max(i for i, line in enumerate(lines[:scan]) if "Aggregate [" in line)
+    assert "SIN(" in lines[distinct] and not any("SIN(" in line for line in lines[distinct + 1:scan])
 
 
 def test_cell_reuse(spark):
@@ -197,6 +196,16 @@ def test_cell_reuse(spark):
     assert rows(spatial.cell_reuse_stats(df.limit(0))) == [(0, 0)]
 
 
+def test_crowded_points_are_split_from_lookup_counts(spark):
+    df = spatial.with_snapped(points(spark, [WITHIN] * 50 + [(-80.0, 30.0)] * 60 + [AT_3200]))
+    lookup = spatial.lookup_places(df, polygons(spark, polygon1=POLYGON_1), {"name": "NAME"}, 0, 50_000)
+    assert sorted(r.n for r in lookup.frame.collect()) == [1, 50, 60] and lookup.found == 1
+    joined = spatial.attach_places(df, lookup, broadcast_rows=0, spread_by=["id"], rows_per_task=10)
+    assert rows(joined) == rows(spatial.attach_places(df, lookup)) and joined.count() == 50
+    left = spatial.attach_places(df, lookup, "left", broadcast_rows=0, spread_by=["id"], rows_per_task=10)
+    assert rows(left) == rows(spatial.attach_places(df, lookup, "left")) and left.count() == 111
+
+
 def test_split_join_spreads_a_hot_key(spark):
     large = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id"
