@@ -121,20 +121,10 @@ def _features(centred: DataFrame, fid: str, scale: int, properties: str) -> Data
     )
 
 
-ZONE_PROPERTIES = "map('STATE', cast(n_regionkey as string), 'COUNTY', n_name)"
-
-
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A county-like outline per nation."""
-    return _features(_centred(table(spark, sf_dir, "nation")), "n_nationkey", 1, ZONE_PROPERTIES)
-
-
-def zone_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same outlines as rings of corners."""
-    ring = ", ".join(f"array(cx + ({dx}), cy + ({dy}))" for dx, dy in (*CORNERS, CORNERS[0]))
-    return _centred(table(spark, sf_dir, "nation")).selectExpr(
-        "cast(n_nationkey as bigint) as fid", f"{ZONE_PROPERTIES} as properties", f"array({ring}) as ring"
-    )
+    properties = "map('STATE', cast(n_regionkey as string), 'COUNTY', n_name)"
+    return _features(_centred(table(spark, sf_dir, "nation")), "n_nationkey", 1, properties)
 
 
 def metros(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,3 +135,38 @@ def metros(spark: SparkSession, sf_dir: str) -> DataFrame:
         _centred(nations, METRO_SHIFT), "n_nationkey + 100", METRO_SCALE, "map('NAME10', concat(n_name, ' B'))"
     )
     return first.unionByName(second)
+
+
+# Size of a customer's area, and how many areas one boundary file holds.
+AREA_SCALE = 4
+AREAS_PER_FILE = 500
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey",
+        "c_name",
+        "-2000000D + ((c_custkey * 7919) % 4000) * 1000D as cx",
+        "-1200000D + ((c_custkey * 104729) % 2400) * 1000D as cy",
+    )
+
+
+def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overlapping area per customer."""
+    return _features(_customers(spark, sf_dir), "c_custkey", AREA_SCALE, "map('NAME', c_name)")
+
+
+def area_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same areas as GeoJSON documents of a limited number of features each."""
+    ring = ", ".join(f"array(cx + ({dx / AREA_SCALE!r}D), cy + ({dy / AREA_SCALE!r}D))" for dx, dy in (*CORNERS, CORNERS[0]))
+    feature = (
+        "to_json(named_struct('type', 'Feature', 'id', cast(c_custkey as string), 'properties', map('NAME', c_name),"
+        f" 'geometry', named_struct('type', 'Polygon', 'coordinates', array(array({ring})))))"
+    )
+    files = (
+        _customers(spark, sf_dir)
+        .withColumn("feature", F.expr(feature))
+        .groupBy(F.expr(f"c_custkey div {AREAS_PER_FILE}"))
+        .agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
+    )
+    return files.selectExpr("concat('{\"type\":\"FeatureCollection\",\"features\":[', features, ']}') as value")

@@ -6,7 +6,7 @@ corner, and every spatial question compares all pairs.
 
 import math
 
-from checks.inputs import CORNERS, METRO_SCALE, METRO_SHIFT, SOURCES, TAG_KEYS
+from checks.inputs import AREA_SCALE, CORNERS, METRO_SCALE, METRO_SHIFT, SOURCES, TAG_KEYS
 from checks.queries import CITY, EXCLUDED, STOP_WORDS
 from placetally.functions import geohash
 from placetally.functions import projection as P
@@ -70,20 +70,29 @@ NODES = f"""SELECT p_partkey AS id, {TAG} AS tag, CASE WHEN p_partkey % 7 <> 0 T
 POIS = f"SELECT * FROM ({NODES}) WHERE tag <> 'building'"
 
 
-def _outline(fid: str, shift: int, scale: int, properties: str) -> str:
+def _outline(fid: str, rows: str, scale: int, properties: str) -> str:
     corners = ", ".join(
         f"cx + {dx / scale!r} AS x{i}, cy + {dy / scale!r} AS y{i}" for i, (dx, dy) in enumerate(CORNERS)
     )
-    return f"""SELECT CAST({fid} AS BIGINT) AS fid, {properties}, {corners} FROM (
-        SELECT *, {-2_000_000 + shift}e0 + (n_nationkey % 5) * 1e6 AS cx,
-               -1200000e0 + (n_nationkey // 5) * 6e5 AS cy FROM nation)"""
+    return f"SELECT CAST({fid} AS BIGINT) AS fid, {properties}, {corners} FROM ({rows})"
 
 
-ZONES = _outline("n_nationkey", 0, 1, "CAST(n_regionkey AS VARCHAR) AS state, n_name AS county")
+def _nations(shift: int = 0) -> str:
+    return f"""SELECT *, {-2_000_000 + shift}e0 + (n_nationkey % 5) * 1e6 AS cx,
+        -1200000e0 + (n_nationkey // 5) * 6e5 AS cy FROM nation"""
+
+
+ZONES = _outline("n_nationkey", _nations(), 1, "CAST(n_regionkey AS VARCHAR) AS state, n_name AS county")
 METROS = (
-    _outline("n_nationkey", 0, METRO_SCALE, "n_name || ' A' AS metro_area")
+    _outline("n_nationkey", _nations(), METRO_SCALE, "n_name || ' A' AS metro_area")
     + " UNION ALL "
-    + _outline("n_nationkey + 100", METRO_SHIFT, METRO_SCALE, "n_name || ' B' AS metro_area")
+    + _outline("n_nationkey + 100", _nations(METRO_SHIFT), METRO_SCALE, "n_name || ' B' AS metro_area")
+)
+AREAS = _outline(
+    "c_custkey",
+    """SELECT *, -2000000e0 + ((c_custkey * 7919) % 4000) * 1e3 AS cx,
+       -1200000e0 + ((c_custkey * 104729) % 2400) * 1e3 AS cy FROM customer""",
+    AREA_SCALE, "c_name AS name",
 )
 SIDES = tuple((i, (i + 1) % 4) for i in range(4))
 INSIDE = " AND ".join(f"(x{b} - x{a}) * (y - y{a}) - (x - x{a}) * (y{b} - y{a}) >= 0" for a, b in SIDES)
@@ -282,10 +291,10 @@ ORACLES = {
         f"SELECT 2, event_id, lon, lat FROM ({POINTS})", 'type_tag, record')})""",
     "near_points": f"""SELECT event_id, round(d, 1) AS distance_m
         FROM (SELECT event_id, {_haversine(*CITY)} AS d FROM ({POINTS})) WHERE d <= 400000""",
-    "near_zones": f"""SELECT fid, round({DISTANCE}, 2) AS distance_m
-        FROM (SELECT *, {_city_x} AS x, {_city_y} AS y FROM ({METROS}))""",
-    "intersecting_zone": f"""SELECT fid, county
-        FROM (SELECT *, {_city_x} AS x, {_city_y} AS y FROM ({ZONES})) WHERE {INSIDE}""",
+    "near_areas": f"""SELECT fid, round(d, 2) AS distance_m FROM (SELECT fid, {DISTANCE} AS d
+        FROM (SELECT *, {_city_x} AS x, {_city_y} AS y FROM ({AREAS}))) WHERE d <= 150000""",
+    "intersecting_areas": f"""SELECT fid, name
+        FROM (SELECT *, {_city_x} AS x, {_city_y} AS y FROM ({AREAS})) WHERE {INSIDE}""",
     "insert_ignore": f"""
         WITH old AS (SELECT word, CAST(sum(count) AS BIGINT) AS count FROM ({LANG_COUNTS}) GROUP BY word)
         SELECT * FROM old UNION ALL
@@ -295,9 +304,9 @@ ORACLES = {
     "result_sink_roundtrip": f"""SELECT * FROM ({LANG_COUNTS}) UNION ALL
         SELECT role, word, count FROM ({ROLE_COUNTS}) WHERE count >= 2""",
     "stopword_roundtrip": f"SELECT DISTINCT word FROM ({_words('conversations', stop=None)})",
-    "feature_roundtrip": f"""SELECT fid, state, county, CAST(4 AS INTEGER) AS n_edges,
+    "feature_roundtrip": f"""SELECT fid AS custkey, name, CAST(4 AS INTEGER) AS n_edges,
         least(x0, x1, x2, x3) AS minx, least(y0, y1, y2, y3) AS miny,
-        greatest(x0, x1, x2, x3) AS maxx, greatest(y0, y1, y2, y3) AS maxy FROM ({ZONES})""",
+        greatest(x0, x1, x2, x3) AS maxx, greatest(y0, y1, y2, y3) AS maxy FROM ({AREAS})""",
     "stream_to_log": f"""SELECT CAST(event_id AS VARCHAR) AS tweet_id, user_id, {STATUS_SLOT} AS slot,
         CAST(epoch_us(ts) // 1000 AS VARCHAR) AS timestamp FROM events
         WHERE event_type NOT IN ('error', 'signup')

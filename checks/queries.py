@@ -278,14 +278,14 @@ def near_points(spark, sf_dir):
     return found.select("event_id", F.round("distance_m", 1).alias("distance_m"))
 
 
-def near_zones(spark, sf_dir):
-    found = results.near_features(inputs.metros(spark, sf_dir), *CITY)
+def near_areas(spark, sf_dir):
+    found = results.near_features(inputs.areas(spark, sf_dir), *CITY, max_m=150_000)
     return found.select("fid", F.round("distance_m", 2).alias("distance_m"))
 
 
-def intersecting_zone(spark, sf_dir):
-    found = results.intersecting(inputs.zones(spark, sf_dir), *CITY)
-    return found.select("fid", F.col("properties")["COUNTY"].alias("county"))
+def intersecting_areas(spark, sf_dir):
+    found = results.intersecting(inputs.areas(spark, sf_dir), *CITY)
+    return found.select("fid", F.col("properties")["NAME"].alias("name"))
 
 
 def insert_ignore(spark, sf_dir):
@@ -323,23 +323,13 @@ def stopword_roundtrip(spark, sf_dir):
 
 
 def feature_roundtrip(spark, sf_dir):
-    """The outlines as a feature collection (one document of 25 nations), read back."""
+    """The areas as boundary files, read back with their edges and bounds."""
     path = scratch_path(spark, "layer")
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        "properties",
-        F.struct(F.lit("Polygon").alias("type"), F.array("ring").alias("coordinates")).alias("geometry"),
-    )
-    texts = inputs.zone_rings(spark, sf_dir).select("fid", F.to_json(feature).alias("feature"))
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("fid", "feature"))), lambda f: f["feature"])
-    texts.agg(
-        F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(in_order, ","), F.lit("]}"))
-    ).write.text(path)
+    inputs.area_collections(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(path)
     layer = boundaries.read_features(spark, path)
     return layer.select(
-        "fid",
-        F.col("properties")["STATE"].alias("state"),
-        F.col("properties")["COUNTY"].alias("county"),
+        F.col("id").cast("bigint").alias("custkey"),
+        F.col("properties")["NAME"].alias("name"),
         F.size("edges").alias("n_edges"),
         "minx", "miny", "maxx", "maxy",
     )
@@ -390,7 +380,7 @@ QUERIES = {
         county_join, county_join_exact, nearest_metro, nearest_metro_shuffled, poi_within,
         state_county_words, metro_words, poi_nearby,
         poi_nodes, named_pois, mixed_split, metro_sort,
-        near_points, near_zones, intersecting_zone, insert_ignore,
+        near_points, near_areas, intersecting_areas, insert_ignore,
         tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip,
         stream_to_log, ingest_archived,
     )

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placetally.operators.results import fresh_rows
@@ -64,6 +64,6 @@ def _existing(df: DataFrame, path: str) -> DataFrame | None:
         raise
 
 
-def read_results(df_or_session, path: str, schema: str) -> DataFrame:
+def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read a result table back with its declared schema."""
-    return df_or_session.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
