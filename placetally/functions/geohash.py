@@ -33,17 +33,30 @@ def cell_index(coordinate: str, axis: tuple[float, float], bits: int) -> str:
     return f"if({coordinate} is null, null, greatest(least(ceil({scaled}) - 1L, {cells - 1}L), 0L))"
 
 
+def _digit(three: int, two: int) -> int:
+    """Value of a character whose bits alternate between three of one axis and two of the other."""
+    bits = (three >> 2, two >> 1, three >> 1, two, three)
+    return sum((bit & 1) << (4 - i) for i, bit in enumerate(bits))
+
+
+# Characters by the bits of the axis that comes first, then those of the other.
+_CHARACTERS = "".join(ALPHABET[_digit(three, two)] for three in range(8) for two in range(4))
+
+
 def cell_id(lon_index: str, lat_index: str, precision: int) -> str:
-    """Base-32 cell id: bits of both positions interleaved, longitude first."""
+    """Base-32 cell id of two ``int`` positions: their bits interleaved, longitude first.
+
+    Each character takes three bits of one axis and two of the other; the axes
+    swap roles from one character to the next.
+    """
     lon_bits, lat_bits = axis_bits(precision)
     axes = ((lon_index, lon_bits), (lat_index, lat_bits))
     characters = []
-    for first_bit in range(0, 5 * precision, 5):
-        digit = []
-        for bit in range(first_bit, first_bit + 5):
-            index, bits = axes[bit % 2]
-            digit.append(f"(shiftright({index}, {bits - 1 - bit // 2}) & 1) * {1 << (first_bit + 4 - bit)}")
-        characters.append(f"substr('{ALPHABET}', int({' + '.join(digit)}) + 1, 1)")
+    for k in range(precision):
+        (leading, leading_bits), (other, other_bits) = axes[k % 2], axes[1 - k % 2]
+        three = f"(shiftright({leading}, {leading_bits - 5 * k // 2 - 3}) & 7)"
+        two = f"(shiftright({other}, {other_bits - (5 * k + 1) // 2 - 2}) & 3)"
+        characters.append(f"substr('{_CHARACTERS}', (shiftleft({three}, 2) | {two}) + 1, 1)")
     return f"concat({', '.join(characters)})"
 
 

@@ -41,8 +41,8 @@ def with_cell(df: DataFrame, lon: str = "lon", lat: str = "lat", precision: int
     lon_bits, lat_bits = geohash.axis_bits(precision)
     return (
         df.withColumns({
-            "lon_index": F.expr(geohash.cell_index(lon, geohash.LON_AXIS, lon_bits)),
-            "lat_index": F.expr(geohash.cell_index(lat, geohash.LAT_AXIS, lat_bits)),
+            "lon_index": F.expr(geohash.cell_index(lon, geohash.LON_AXIS, lon_bits)).cast("int"),
+            "lat_index": F.expr(geohash.cell_index(lat, geohash.LAT_AXIS, lat_bits)).cast("int"),
         })
         .withColumn(name, F.expr(geohash.cell_id("lon_index", "lat_index", precision)))
         .drop("lon_index", "lat_index")
