@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 # ten-thousandth of all rows, so it is joined whole like any other key.
 MAX_SPLIT_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
+# Helper columns of the join; they do not reach its result.
+PART, PARTS = "_split_part", "_split_parts"
 
 
 def heaviest(counted: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK, amount: str = "count") -> DataFrame:
-    """The heaviest of counted keys and in how many parts each is to be split."""
+    """The heaviest of counted keys and in how many parts each is to be split.
+
+    Equal counts are ordered by key, so that both sides of a join see one list.
+    """
     return (
         counted.filter(F.col(amount) > rows_per_task)
-        .orderBy(F.desc(amount))
+        .orderBy(F.desc(amount), *on)
         .limit(MAX_SPLIT_KEYS)
-        .select(*on, F.ceil(F.col(amount) / F.lit(rows_per_task)).cast("int").alias("parts"))
+        .select(*on, F.ceil(F.col(amount) / F.lit(rows_per_task)).cast("int").alias(PARTS))
     )
 
 
@@ -47,15 +52,15 @@ def split_join(
     """
     on = list(on)
     hot = F.broadcast(heavy_keys(large, on, rows_per_task) if hot is None else hot)
-    parts = F.coalesce(F.col("parts"), F.lit(1))
+    parts = F.coalesce(F.col(PARTS), F.lit(1))
     spread = (
         large.join(hot, on, "left")
-        .withColumn("part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
-        .drop("parts")
+        .withColumn(PART, F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+        .drop(PARTS)
     )
     repeated = (
         small.join(hot, on, "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - F.lit(1))))
-        .drop("parts")
+        .withColumn(PART, F.explode(F.sequence(F.lit(0), parts - F.lit(1))))
+        .drop(PARTS)
     )
-    return spread.join(repeated, [*on, "part"], how).drop("part")
+    return spread.join(repeated, [*on, PART], how).drop(PART)

@@ -32,6 +32,8 @@ METRO_PROPS = {"metro_area": "NAME10"}
 BROADCAST_ROWS = 500_000
 
 CELL_KEYS = ("cell_lon", "cell_lat")
+# Helper columns of a join; they do not reach its result.
+LOOKUP_KEYS = ("_lookup_lon", "_lookup_lat")
 # Slack for rounding where a point sits on the edge of its tile.
 TILE_SLACK_M = 1.0
 
@@ -231,13 +233,11 @@ def attach_places(
 
 
 def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_rows):
-    snapped = with_snapped(points, lon, lat, precision, snap).filter(
-        F.col(CELL_KEYS[0]).isNotNull() & F.col(CELL_KEYS[1]).isNotNull()
-    )
-    lookup = lookup_places(snapped, features, props, reach_m, tile_m, snap=snap)
-    if how == "left":
-        snapped = with_snapped(points, lon, lat, precision, snap)
-    return attach_places(snapped, lookup, how, broadcast_rows=broadcast_rows).drop(*CELL_KEYS)
+    snapped = with_snapped(points, lon, lat, precision, snap, LOOKUP_KEYS)
+    valid = snapped.filter(" and ".join(f"{key} is not null" for key in LOOKUP_KEYS))
+    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap)
+    records = snapped if how == "left" else valid
+    return attach_places(records, lookup, how, broadcast_rows=broadcast_rows).drop(*LOOKUP_KEYS)
 
 
 def join_containing(

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placetally.operators import results, spatial
+from placetally.operators import results, skew, spatial
 from placetally.operators.skew import heavy_keys, split_join
 from placetally.sources.boundaries import as_features, read_features
 from tests.conftest import plan, rows
@@ -208,7 +208,7 @@ def test_crowded_points_are_split_from_lookup_counts(spark):
 
 def test_split_join_spreads_a_hot_key(spark):
     large = spark.range(10_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id"
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id",
     )
     small = large.select("k").distinct().withColumn("v", F.length("k"))
     assert rows(heavy_keys(large, ["k"], 100)) == [("hot", 34)]
@@ -236,3 +236,31 @@ def test_read_features(spark, tmp_path):
     assert len(got[2].edges) == 8 and got[2].maxx == 6.0
     path.write_bytes(text.encode("utf-8"))
     assert read_features(spark, str(path), "UTF-8").filter("fid = 0").first().properties["NAME"] == "Doña Ana"
+
+
+def test_heavy_key_list_is_limited_and_the_rest_is_joined_whole(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_SPLIT_KEYS", 2)
+    large = spark.range(600).selectExpr("id % 6 as k", "id")
+    small = spark.range(6).selectExpr("id as k", "id * 10 as v")
+    assert rows(heavy_keys(large, ["k"], 10)) == [(0, 10), (1, 10)]
+    assert rows(split_join(large, small, ["k"], ["id"], rows_per_task=10)) == rows(large.join(small, "k"))
+
+
+def test_hot_key_lands_in_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        large = spark.range(9_000).selectExpr("if(id % 3 = 0, -1, id) as k", "id")
+        small = large.selectExpr("k", "k as v").distinct()
+        for joined, busiest in ((large.join(small, "k"), 3000), (split_join(large, small, ["k"], ["id"], rows_per_task=100), 1500)):
+            by_partition = joined.groupBy(F.spark_partition_id().alias("p")).count()
+            sizes = [r["count"] for r in by_partition.collect()]
+            assert sum(sizes) == 9_000
+            assert (max(sizes) >= 3000) == (busiest == 3000)
+            assert max(sizes) <= busiest + 600
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
