@@ -152,14 +152,14 @@ def _project(lon: str, lat: str) -> tuple[str, str]:
     return f"{radius} * sin({angle})", f"{P.ORIGIN_RADIUS!r}::DOUBLE - {radius} * cos({angle})"
 
 
-def _looked_up(rows: str, columns: str, precision: int = 7, snap: bool = True) -> str:
+def _looked_up(rows: str, columns: str, snap: str = "rounded") -> str:
     """Rows with the projected point at which they are looked up, as x and y."""
-    lon, lat = _snapped(precision) if snap else ("lon", "lat")
+    lon, lat = ("lon", "lat") if snap == "exact" else _snapped(7, rounded=snap == "rounded")
     x, y = _project("at_lon", "at_lat")
     return f"SELECT *, {x} AS x, {y} AS y FROM (SELECT {columns}, {lon} AS at_lon, {lat} AS at_lat FROM ({rows}))"
 
 
-def _in_county(rows: str, columns: str, how: str = "JOIN", snap: bool = True) -> str:
+def _in_county(rows: str, columns: str, how: str = "JOIN", snap: str = "rounded") -> str:
     """Rows with the state and county whose outline holds their lookup point."""
     points = _looked_up(rows, columns, snap=snap)
     return f"""
@@ -169,9 +169,9 @@ def _in_county(rows: str, columns: str, how: str = "JOIN", snap: bool = True) ->
       SELECT p.* EXCLUDE (x, y), state, county FROM p {how} c USING (at_lon, at_lat)"""
 
 
-def _in_metro(rows: str, columns: str) -> str:
+def _in_metro(rows: str, columns: str, snap: str = "rounded") -> str:
     """Rows with the nearest metro area within 80,450 m of their lookup point."""
-    points = _looked_up(rows, columns)
+    points = _looked_up(rows, columns, snap)
     return f"""
       WITH p AS ({points}),
       d AS (SELECT at_lon, at_lat, fid, metro_area, {DISTANCE} AS dist
@@ -208,6 +208,14 @@ _px, _py = _project("lon", "lat")
 _sx, _sy = _project("cell_lon", "cell_lat")
 SPOTS = f"SELECT {_lon8} AS cell_lon, {_lat8} AS cell_lat, count(*) AS n FROM ({POINTS}) GROUP BY ALL"
 
+
+def _metro_words(snap: str) -> str:
+    return f"""
+        SELECT metro_area, word, count(*) AS count
+        FROM ({_words(f"({_in_metro(KEPT_POSTS, 'text', snap)})", 'metro_area')})
+        GROUP BY ALL HAVING count(*) >= 2"""
+
+
 STATUS_SLOT = "strftime(date_trunc('day', ts), '%Y-%m-%d_%H-%M')"
 
 ORACLES = {
@@ -251,7 +259,7 @@ ORACLES = {
         FROM (SELECT {_cell(7)} AS cell FROM ({POINTS}))""",
     "county_join": f"SELECT event_id, state, county FROM ({_in_county(POINTS, 'event_id')})",
     "county_join_exact": f"""SELECT event_id, state, county
-        FROM ({_in_county(POINTS, 'event_id', 'LEFT JOIN', snap=False)})""",
+        FROM ({_in_county(POINTS, 'event_id', 'LEFT JOIN', snap='exact')})""",
     "nearest_metro": f"SELECT event_id, metro_area FROM ({_in_metro(POINTS, 'event_id')})",
     "nearest_metro_shuffled": f"""SELECT metro_area, event_type, count(*) AS n
         FROM ({_in_metro(POINTS, 'event_type')}) GROUP BY ALL""",
@@ -265,10 +273,8 @@ ORACLES = {
         SELECT word, state, county, count(*) AS count
         FROM ({_words(f"({_in_county(KEPT_POSTS, 'text')})", 'state, county')})
         GROUP BY GROUPING SETS ((word), (word, state), (word, state, county)) HAVING count(*) >= 5""",
-    "metro_words": f"""
-        SELECT metro_area, word, count(*) AS count
-        FROM ({_words(f"({_in_metro(KEPT_POSTS, 'text')})", 'metro_area')})
-        GROUP BY ALL HAVING count(*) >= 2""",
+    "metro_words": _metro_words("rounded"),
+    "metro_words_shuffled": _metro_words("center"),
     "poi_nearby": f"""
         WITH t AS ({_in_metro(EVENT_POSTS, 'tweet_id, source, lon, lat')}),
         tweets AS (SELECT tweet_id, metro_area, {_lon8} AS cell_lon, {_lat8} AS cell_lat FROM t
@@ -314,3 +320,5 @@ ORACLES = {
     "ingest_archived": f"""SELECT tweet_id, user_id, source, round(lon, 4) AS lon, round(lat, 4) AS lat
         FROM ({EVENT_POSTS})""",
 }
+ORACLES["state_county_words_shuffled"] = ORACLES["state_county_words"]
+ORACLES["poi_nearby_shuffled"] = ORACLES["poi_nearby"]

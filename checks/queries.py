@@ -225,6 +225,28 @@ def poi_nearby(spark, sf_dir):
     )
 
 
+def state_county_words_shuffled(spark, sf_dir):
+    """The same job with no broadcast lookup and with crowded points split."""
+    return jobs.state_county_words(
+        inputs.text_posts(spark, sf_dir), inputs.zones(spark, sf_dir), STOP_WORDS, terms=EXCLUDED,
+        broadcast_rows=0, rows_per_task=2,
+    )
+
+
+def metro_words_shuffled(spark, sf_dir):
+    return jobs.metro_words(
+        inputs.text_posts(spark, sf_dir), inputs.metros(spark, sf_dir), STOP_WORDS, terms=EXCLUDED,
+        snap="center", broadcast_rows=0, rows_per_task=2,
+    )
+
+
+def poi_nearby_shuffled(spark, sf_dir):
+    return jobs.poi_nearby(
+        inputs.event_posts(spark, sf_dir), inputs.nodes(spark, sf_dir), inputs.metros(spark, sf_dir),
+        broadcast_rows=0, rows_per_task=2,
+    )
+
+
 def poi_nodes(spark, sf_dir):
     pois = jobs.extract_pois(inputs.nodes(spark, sf_dir))
     tag = F.array_join(F.array_sort(F.map_keys("tags")), ",")
@@ -379,6 +401,7 @@ QUERIES = {
         geohash_cells, snap_points, project_points, unproject_points, cell_reuse,
         county_join, county_join_exact, nearest_metro, nearest_metro_shuffled, poi_within,
         state_county_words, metro_words, poi_nearby,
+        state_county_words_shuffled, metro_words_shuffled, poi_nearby_shuffled,
         poi_nodes, named_pois, mixed_split, metro_sort,
         near_points, near_areas, intersecting_areas, insert_ignore,
         tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip,

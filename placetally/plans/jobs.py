@@ -34,6 +34,7 @@ from placetally.operators.spatial import (
     with_snapped,
 )
 from placetally.operators.words import extract_words
+from placetally.session import materialized
 
 StopWords = DataFrame | Iterable[str] | None
 SPOT_KEYS = ("spot_lon", "spot_lat")
@@ -133,23 +134,24 @@ def poi_nearby(
     if snap == "exact":
         raise ValueError("posts are searched from their cell: snap must be 'rounded' or 'center'")
     sent = filters.with_lonlat(filters.allow_sources(posts, "source", domains))
-    spots = (
-        with_snapped(with_snapped(sent, precision=metro_precision, snap=snap), precision=poi_precision, snap=snap, names=SPOT_KEYS)
-        .groupBy(*CELL_KEYS, *SPOT_KEYS)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    named = filters.with_lonlat(filters.named_pois(pois, tag_keys), "coordinates").select("name", "lon", "lat").distinct()
-    places = with_snapped(named, precision=metro_precision, snap=snap)
+    sent = with_snapped(sent, precision=metro_precision, snap=snap)
+    sent = with_snapped(sent, precision=poi_precision, snap=snap, names=SPOT_KEYS)
+    # Both are far smaller than their inputs and needed more than once: stored,
+    # they spare further passes over all posts and points.
+    spots = materialized(sent.groupBy(*CELL_KEYS, *SPOT_KEYS).agg(F.count(F.lit(1)).alias("n")))
+    named = filters.with_lonlat(filters.named_pois(pois, tag_keys), "coordinates").select("name", "lon", "lat")
+    places = with_snapped(materialized(named.distinct()), precision=metro_precision, snap=snap)
 
     lookup = lookup_places(
         spots.select(*CELL_KEYS).unionByName(places.select(*CELL_KEYS)),
         metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task,
     )
-    spots = with_projected(attach_places(spots, lookup, broadcast_rows=broadcast_rows), *SPOT_KEYS)
-    places = with_projected(
-        attach_places(places, lookup, spread_by=["name", "lon", "lat"], broadcast_rows=broadcast_rows, rows_per_task=rows_per_task),
-        names=("other_x", "other_y"),
-    ).select("metro_area", "name", "other_x", "other_y")
+    spots = attach_places(spots, lookup, broadcast_rows=broadcast_rows, rows_per_task=rows_per_task)
+    spots = with_projected(spots, *SPOT_KEYS)
+    places = attach_places(
+        places, lookup, spread_by=["name", "lon", "lat"], broadcast_rows=broadcast_rows, rows_per_task=rows_per_task
+    )
+    places = with_projected(places, names=("other_x", "other_y")).select("metro_area", "name", "other_x", "other_y")
     pairs = join_within(
         spots, places, radius_m, on=["metro_area"],
         spread_by=["name", "other_x", "other_y"], rows_per_task=rows_per_task,
