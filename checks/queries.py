@@ -87,7 +87,7 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string").alias("id_str"),
         kind.alias("source"),
         F.lit(None).cast("string").alias("created_at"),
-        F.expr("cast(unix_millis(cast(ts as timestamp)) as string)").alias("timestamp_ms"),
+        F.expr("cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as string)").alias("timestamp_ms"),
         F.when(kind != "signup", where).alias("coordinates"),
     )
 

@@ -9,7 +9,7 @@ from placetally.functions.text import ascii_fold, tokens, trim_ends
 
 MIN_WORD_LENGTH = 2
 # A stop list given as Python strings becomes a literal set up to this length.
-MAX_LITERAL_WORDS = 5_000
+MAX_LITERAL_WORDS = 1_000
 
 
 def explode_words(df: DataFrame, text: str = "text", name: str = "word") -> DataFrame:
