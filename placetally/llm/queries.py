@@ -4,16 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetally.llm import simhash
+from placetally.llm import simhash, substring_dedup
 from placetally.llm.common import table
 
+OP9_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS path
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)
+), f AS (SELECT path, min(doc_id) AS least FROM w GROUP BY path),
+h AS (
+  SELECT DISTINCT doc_id, place FROM (
+    SELECT w.doc_id, unnest(range(w.i, w.i + 13)) AS place FROM w JOIN f USING (path) WHERE w.doc_id > f.least)
+), p AS (SELECT doc_id, words[i] AS word, i FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM d)),
+k AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept, count(*) AS n
+  FROM p LEFT JOIN h ON p.doc_id = h.doc_id AND p.i = h.place WHERE h.place IS NULL GROUP BY p.doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("bits").alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
+}
+ORACLES: dict[str, str] = {
+    "op9_substring_dedup": OP9_SQL,
 }
-ORACLES: dict[str, str] = {}
