@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetally.llm import decontamination, simhash, substring_dedup
+from placetally.llm import decontamination, mixing, simhash, substring_dedup
 from placetally.llm.common import table
 
 OP5_SQL = r"""
@@ -54,6 +54,10 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("bits").alias("fingerprint"), "component_id")
@@ -68,6 +72,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
