@@ -19,7 +19,7 @@ from placetally.llm.common import stored
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
-GROUP_ROWS = 50_000
+GROUP_ROWS = 4_096
 FAN_IN = 64
 SEED = 17
 # A group plays again, so many times at most, while what one document is left with is over this share of the group.

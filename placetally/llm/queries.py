@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetally.llm import decontamination, mixing, simhash, substring_dedup
+from placetally.llm import decontamination, mixing, simhash, substring_dedup, toxicity
 from placetally.llm.common import table
 
 OP5_SQL = r"""
@@ -58,6 +58,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_on(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("bits").alias("fingerprint"), "component_id")
@@ -73,6 +78,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
