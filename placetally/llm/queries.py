@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetally.llm import decontamination, mixing, simhash, substring_dedup, toxicity
+from placetally.llm import decontamination, language_id, mixing, simhash, substring_dedup, toxicity
 from placetally.llm.common import table
 
 OP5_SQL = r"""
@@ -68,6 +68,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("bits").alias("fingerprint"), "component_id")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit_on(docs))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_digest(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
+    "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
 }
 ORACLES: dict[str, str] = {
