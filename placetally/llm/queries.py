@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from placetally.llm import decontamination, language_id, mixing, simhash, substring_dedup, toxicity
+from pyspark.sql import functions as F
+
+from placetally.llm import (
+    decontamination,
+    language_id,
+    licenses,
+    mixing,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from placetally.llm.common import table
 
 OP5_SQL = r"""
@@ -68,6 +78,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("bits").alias("fingerprint"), "component_id")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.read_vocabulary(token_counts.VOCABULARY)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit_on(docs))
@@ -81,13 +96,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licences(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join("licences", ",").alias("licences")
+    )
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
+    "op6_token_counts": op6_token_counts,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
     "op5_decontamination": OP5_SQL,
