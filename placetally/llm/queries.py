@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placetally.llm import (
     decontamination,
+    html_text,
     language_id,
     licenses,
     mixing,
@@ -83,6 +84,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, html_text.fit_on(pages))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.fit_on(docs))
@@ -109,6 +115,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_html_text": op7_html_text,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
