@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placetally.llm import (
     decontamination,
+    embedding_dedup,
     html_text,
     language_id,
     licenses,
@@ -18,6 +19,24 @@ from placetally.llm import (
 )
 from placetally.llm.common import table
 
+OP1_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), u AS MATERIALIZED (
+  SELECT vec_id, label, e FROM v WHERE label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), p AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), r AS (SELECT vec_id, vec_id AS root FROM u UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.vec_id),
+c AS (SELECT vec_id, min(root) AS root FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.root, v.vec_id) AS component_id,
+  v.vec_id = coalesce(c.root, v.vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.vec_id = v.vec_id
+"""
+
+
 OP5_SQL = r"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -65,6 +84,10 @@ FROM d LEFT JOIN k USING (doc_id)
 """
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -110,6 +133,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
@@ -121,6 +145,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
+    "op1_embedding_dedup": OP1_SQL,
     "op5_decontamination": OP5_SQL,
     "op9_substring_dedup": OP9_SQL,
 }
