@@ -60,6 +60,17 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that is not taken."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
+def replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index(name), batch.schema.field(name), values)
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch with about ``limit`` bytes of text; a longer text is a piece of its own."""
     if not batch.num_rows:

@@ -26,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetally.llm.common import mixed, slices, stored, texts_of
+from placetally.llm.common import fresh, mixed, replaced, slices, stored, texts_of
 from placetally.llm.wordhash import gram_hashes, sliding_least, word_hashes
 
 WINDOW = 13
 KEY_WORDS = 5
-TEXT_BYTES = 4 << 20
-BATCH_WORDS = 1_000_000
+TEXT_BYTES = 1 << 20
+BATCH_WORDS = 400_000
 GROUP_BYTES = 4 << 20
 # A key is extended if it is in more than this share of the documents.  The share is looked up in every 32nd document;
 # it decides where suffixes meet, not what is found, and bounds the list of keys by (keys a document) / share.
@@ -242,34 +242,49 @@ def _without(text: bytes, spans: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return words, np.cumsum(change[:-1]) == 0
 
 
-def _kept(batches: Iterator[pa.RecordBatch], extra: list[str], with_text: bool) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text", TEXT_BYTES):
-            total, removed, digest, kept = [], [], [], []
-            absent = piece.column("text").is_null().to_pylist()
-            for text, null, spans in zip(texts_of(piece.column("text")), absent, piece.column("found").to_pylist()):
+            total, removed, digest = [], [], []
+            for text, spans in zip(texts_of(piece.column("text")), piece.column("found").to_pylist()):
                 words, keep = _without(text, spans or [])
                 rest = words if keep.all() else [w for w, k in zip(words, keep.tolist()) if k]
                 total.append(len(words))
                 removed.append(len(words) - len(rest))
-                if with_text:
-                    kept.append(None if null else (b" ".join(rest) if len(rest) < len(words) else text).decode())
-                else:
-                    digest.append(hashlib.sha256(b" ".join(rest)).hexdigest())
-            arrays = [piece.column(c) for c in extra]
+                digest.append(hashlib.sha256(b" ".join(rest)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept if with_text else digest, pa.string())],
-                [*extra, "n_words", "n_removed", "kept" if with_text else "kept_sha256"],
+                [piece.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest)],
+                ["doc_id", "n_words", "n_removed", "kept_sha256"],
             )
 
 
-def _with_spans(docs: DataFrame, columns: list[str], window: int) -> DataFrame:
+def _shortened(batches: Iterator[pa.RecordBatch], found: str, n_chars: str | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in slices(batch, "text", TEXT_BYTES):
+            all_spans = piece.column(found).to_pylist()
+            piece = piece.drop_columns([found])
+            texts, lengths, stay = [], piece.column(n_chars).to_pylist() if n_chars else [], []
+            for i, (text, spans) in enumerate(zip(piece.column("text").to_pylist(), all_spans)):
+                if spans:
+                    words, keep = _without(text.encode(), spans)
+                    text = b" ".join(w for w, k in zip(words, keep.tolist()) if k).decode()
+                    if n_chars:
+                        lengths[i] = len(text)
+                stay.append(text != "" or not spans)
+                texts.append(text)
+            piece = replaced(piece, "text", pa.array(texts, piece.schema.field("text").type))
+            if n_chars:
+                piece = replaced(piece, n_chars, pa.array(lengths, piece.schema.field(n_chars).type))
+            yield piece.filter(pa.array(stay, pa.bool_()))
+
+
+def _with_spans(docs: DataFrame, columns: list[str], window: int) -> tuple[DataFrame, str]:
+    """The columns of ``docs`` and one more with the spans of each row, and its name."""
+    found, key, of = (fresh(n, docs.columns) for n in ("found", "text_hash", "found_id"))
     spans = stored(repeated_spans(docs, window), "spans")
-    found = spans.groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("found"))
-    found = found.withColumnRenamed("doc_id", "found_id")
-    some = docs.select(*columns, F.col("text").cast("string").alias("text"))
-    on = (F.col("doc_id").cast("long") == F.col("found_id")) & (F.xxhash64("text") == F.col("text_hash"))
-    return some.join(found, on, "left").select(*columns, "text", "found")
+    spans = spans.groupBy(F.col("doc_id").alias(of), F.col("text_hash").alias(key)).agg(F.collect_list("spans").alias(found))
+    on = (F.col("doc_id").cast("long") == F.col(of)) & (F.xxhash64(F.col("text").cast("string")) == F.col(key))
+    return docs.select(*columns).join(spans, on, "left").select(*columns, found), found
 
 
 def substring_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -279,12 +294,9 @@ def substring_digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     no words.  Rows that repeat a doc_id do not count as earlier than each
     other; a row without doc_id loses nothing and takes nothing away.
     """
-    joined = _with_spans(docs, ["doc_id"], window)
+    joined, _ = _with_spans(docs.select("doc_id", F.col("text").cast("string").alias("text")), ["doc_id", "text"], window)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(
-        partial(_kept, extra=["doc_id"], with_text=False),
-        f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string",
-    )
+    return joined.mapInArrow(_digests, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -293,22 +305,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A document that loses all its words goes.  ``n_chars``, where there is such
     a column, follows the new text.  Other columns stay as they are.
     """
-    others = [c for c in docs.columns if c != "text"]
-    packed = docs.select("doc_id", "text", F.struct(*(F.col(c) for c in others)).alias("row"))
-    joined = _with_spans(packed, ["doc_id", "row"], window)
-    shape = packed.schema["row"].dataType.simpleString()
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = joined.mapInArrow(
-        partial(_kept, extra=["doc_id", "row"], with_text=True),
-        f"doc_id {kind}, row {shape}, n_words long, n_removed long, kept string",
-    ).filter("n_removed < n_words or n_removed = 0")
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.col("kept").alias(c))
-        elif c == "n_chars":
-            columns.append(F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars"))
-                           .cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col("row").getField(c).alias(c))
-    return out.select(*columns)
+    joined, found = _with_spans(docs, docs.columns, window)
+    n_chars = "n_chars" if "n_chars" in docs.columns else None
+    return joined.mapInArrow(partial(_shortened, found=found, n_chars=n_chars), docs.schema)

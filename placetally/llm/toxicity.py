@@ -202,8 +202,13 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
     for batch in batches:
         for piece in slices(batch, "text", TEXT_BYTES):
             scores = pa.array(model.scores(texts_of(piece.column("text"))), pa.float64())
-            names = [n for n in piece.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in names), scores], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), scores], ["doc_id", "score"])
+
+
+def _harmless(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in slices(batch, "text", TEXT_BYTES):
+            yield piece.filter(pa.array(model.scores(texts_of(piece.column("text"))) < 0.5))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -218,10 +223,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without those that score 0.5 or more."""
-    others = [c for c in docs.columns if c != "text"]
-    packed = docs.select(F.col("text").cast("string").alias("text"), F.struct("text", *others).alias("row"))
-    scored = packed.mapInArrow(
-        partial(_scored, model=model), f"row {packed.schema['row'].dataType.simpleString()}, score double"
-    )
-    return scored.filter("score < 0.5").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    """``docs``, with all columns, without those that score 0.5 or more."""
+    return docs.mapInArrow(partial(_harmless, model=model), docs.schema)

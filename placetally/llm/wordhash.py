@@ -30,7 +30,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.flatnonzero(letter[:-1] & ~letter[1:]) + 1
     lengths = ends - starts
     first = np.cumsum(lengths) - lengths
-    within = np.arange(first[-1] + lengths[-1], dtype=np.int64) - np.repeat(first, lengths)
+    within = np.arange(first[-1] + lengths[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
     values = _BYTE[data[letter]] * powers(_STEP, int(lengths.max()))[within]
     return mixed(np.add.reduceat(values, first) ^ lengths.astype(np.uint64)), counts
 
