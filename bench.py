@@ -3,6 +3,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +34,7 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
-            "spark.ui.enabled": "false",
+            "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="placetally-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

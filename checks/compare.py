@@ -2,6 +2,7 @@
 
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -54,7 +55,8 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark = build_session("compare", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8",
-                                        "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+                                        "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="placetally-"),
+                                        "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)
     failed = 0

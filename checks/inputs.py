@@ -8,12 +8,11 @@ the same arithmetic in SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placetally.session import spread_over_cores
-
 # Corners of an outline around its centre, counter-clockwise, in metres.
 CORNERS = ((-450_000, -200_000), (400_000, -250_000), (450_000, 200_000), (-400_000, 250_000))
 METRO_SCALE = 10
 METRO_SHIFT = 150_000
+# The tag keys of points of interest, and one that does not count.
 TAG_KEYS = ("amenity", "builing", "shop", "office", "tourism", "building")
 SOURCES = {
     "view": '<a href="http://twitter.com">Web</a>',
@@ -28,8 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table with long texts."""
-    return spread_over_cores(table(spark, sf_dir, name).select(*columns))
+    """Columns of a table with long texts.
+
+    The small tables are a single file of one row group, which only one task can
+    read; its rows are dealt to the cores.  Tables of several files stay put.
+    """
+    scan = table(spark, sf_dir, name).select(*columns)
+    return scan.repartition(spark.sparkContext.defaultParallelism) if len(scan.inputFiles()) == 1 else scan
 
 
 def lon_of(key: str) -> Column:
@@ -170,3 +174,25 @@ def area_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_join(F.collect_list("feature"), ",").alias("features"))
     )
     return files.selectExpr("concat('{\"type\":\"FeatureCollection\",\"features\":[', features, ']}') as value")
+
+
+def area_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The areas as one feature per line."""
+    ring = ", ".join(f"array(cx + ({dx / AREA_SCALE!r}D), cy + ({dy / AREA_SCALE!r}D))" for dx, dy in (*CORNERS, CORNERS[0]))
+    feature = (
+        "to_json(named_struct('type', 'Feature', 'id', cast(c_custkey as string), 'properties', map('NAME', c_name),"
+        f" 'geometry', named_struct('type', 'Polygon', 'coordinates', array(array({ring})))))"
+    )
+    return _customers(spark, sf_dir).select(F.expr(feature).alias("value"))
+
+
+def write_layer(features: DataFrame, path: str) -> None:
+    """Boundary features with one outline each as one GeoJSON collection."""
+    ring = "concat(transform(edges, e -> array(e.x1, e.y1)), array(array(edges[0].x1, edges[0].y1)))"
+    feature = (
+        "to_json(named_struct('type', 'Feature', 'properties', properties,"
+        f" 'geometry', named_struct('type', 'Polygon', 'coordinates', array({ring}))))"
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("fid", F.expr(feature).alias("feature"))))
+    joined = features.agg(F.array_join(F.transform(ordered, lambda f: f["feature"]), ",").alias("features"))
+    joined.selectExpr("concat('{\"type\":\"FeatureCollection\",\"features\":[', features, ']}') as value").write.text(path)

@@ -1,6 +1,8 @@
 """SQL equivalents of the queries, written independently of the Spark code.
 
-Words are cleaned token by token, containment is tested by the side of each
+Nothing here comes from the package: cells are found by halving intervals, the
+projection uses another series with constants of its own.  Words are cleaned
+token by token, containment is tested by the side of each
 corner, and every spatial question compares all pairs.
 """
 
@@ -8,8 +10,6 @@ import math
 
 from checks.inputs import AREA_SCALE, CORNERS, METRO_SCALE, METRO_SHIFT, SOURCES, TAG_KEYS
 from checks.queries import CITY, EXCLUDED, STOP_WORDS
-from placetally.functions import geohash
-from placetally.functions import projection as P
 
 
 def _list(values) -> str:
@@ -109,6 +109,13 @@ DISTANCE = f"CASE WHEN {INSIDE} THEN 0e0 ELSE least({', '.join(_side_distance(a,
 
 # --- cells and projection -----------------------------------------------------
 
+ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+# Lowest coordinate and extent of the axes, and bits of each at a precision.
+LON, LAT = (-180, 360), (-90, 180)
+BITS = {7: (18, 17), 8: (20, 20)}
+HALVINGS = 20
+
+
 def _index(coordinate: str, axis, bits: int) -> str:
     low, extent = axis
     return (
@@ -124,44 +131,82 @@ def _snap(coordinate: str, axis, bits: int, digits: int | None) -> str:
 
 
 def _snapped(precision: int, rounded: bool = True) -> tuple[str, str]:
-    lon_bits, lat_bits = geohash.axis_bits(precision)
+    lon_bits, lat_bits = BITS[precision]
     digits = {7: 2, 8: 3}[precision] if rounded else None
-    return _snap("lon", geohash.LON_AXIS, lon_bits, digits), _snap("lat", geohash.LAT_AXIS, lat_bits, digits)
+    return _snap("lon", LON, lon_bits, digits), _snap("lat", LAT, lat_bits, digits)
+
+
+def _halved(rows: str) -> str:
+    """Rows with ``lon_i`` and ``lat_i``: the halves chosen in 20 halvings of each axis, as bits."""
+    sql = f"SELECT *, -180e0 AS lon_lo, 180e0 AS lon_hi, -90e0 AS lat_lo, 90e0 AS lat_hi, 0 AS lon_i, 0 AS lat_i FROM ({rows})"
+    for _ in range(HALVINGS):
+        new = ", ".join(
+            f"CASE WHEN {x} > ({x}_lo + {x}_hi) / 2 THEN ({x}_lo + {x}_hi) / 2 ELSE {x}_lo END AS {x}_lo, "
+            f"CASE WHEN {x} > ({x}_lo + {x}_hi) / 2 THEN {x}_hi ELSE ({x}_lo + {x}_hi) / 2 END AS {x}_hi, "
+            f"2 * {x}_i + CASE WHEN {x} > ({x}_lo + {x}_hi) / 2 THEN 1 ELSE 0 END AS {x}_i"
+            for x in ("lon", "lat")
+        )
+        sql = f"SELECT * REPLACE ({new}) FROM ({sql})"
+    return sql
 
 
-def _cell(precision: int) -> str:
-    lon_bits, lat_bits = geohash.axis_bits(precision)
-    axes = ((_index("lon", geohash.LON_AXIS, lon_bits), lon_bits), (_index("lat", geohash.LAT_AXIS, lat_bits), lat_bits))
-    characters = []
-    for k in range(precision):
-        digit = " + ".join(
-            f"(({axes[j % 2][0]} >> {axes[j % 2][1] - 1 - j // 2}) & 1) * {1 << (5 * k + 4 - j)}"
-            for j in range(5 * k, 5 * k + 5)
+def _letters(n: int) -> str:
+    """The first ``n`` characters of the cell of halved rows: bits of longitude and latitude in turn, five each."""
+    out = []
+    for k in range(n):
+        value = " + ".join(
+            f"(({'lon_i' if bit % 2 == 0 else 'lat_i'} >> {HALVINGS - 1 - bit // 2}) & 1) * {16 >> (bit - 5 * k)}"
+            for bit in range(5 * k, 5 * k + 5)
         )
-        characters.append(f"substr('{geohash.ALPHABET}', {digit} + 1, 1)")
-    return " || ".join(characters)
+        out.append(f"substr('{ALPHABET}', CAST({value} + 1 AS BIGINT), 1)")
+    return " || ".join(out)
+
+
+# Equidistant conic on GRS80 with parallels 33 and 45 and origin 39 N, 96 W.  Meridian arcs by the series in the third
+# flattening n (Helmert), in metres: factor of the latitude, then of sin(2 k latitude).
+_A, _ECC2 = 6378137.0, 0.00669438002290079
+_N = (1 - math.sqrt(1 - _ECC2)) / (1 + math.sqrt(1 - _ECC2))
+_HELMERT = [
+    _A / (1 + _N) * c
+    for c in (1 + _N**2 / 4 + _N**4 / 64, -3 / 2 * (_N - _N**3 / 8), 15 / 16 * (_N**2 - _N**4 / 4), -35 / 48 * _N**3, 315 / 512 * _N**4)
+]
+
+
+def _arc_m(degrees: float) -> float:
+    phi = math.radians(degrees)
+    return _HELMERT[0] * phi + sum(c * math.sin(2 * k * phi) for k, c in enumerate(_HELMERT[1:], start=1))
+
+
+def _circle_m(degrees: float) -> float:
+    phi = math.radians(degrees)
+    return _A * math.cos(phi) / math.sqrt(1 - _ECC2 * math.sin(phi) ** 2)
+
+
+_CONE = (_circle_m(33) - _circle_m(45)) / (_arc_m(45) - _arc_m(33))
+_APEX = _circle_m(33) / _CONE + _arc_m(33)
+_ORIGIN = _APEX - _arc_m(39)
 
 
 def _project(lon: str, lat: str) -> tuple[str, str]:
     phi = f"radians({lat})"
-    arc = f"({P.ARC[0]!r}::DOUBLE * {phi}" + "".join(
-        f" + ({c!r}::DOUBLE) * sin({2 * k} * {phi})" for k, c in enumerate(P.ARC[1:], start=1)
+    arc = f"({_HELMERT[0]!r}::DOUBLE * {phi}" + "".join(
+        f" + ({c!r}::DOUBLE) * sin({2 * k} * {phi})" for k, c in enumerate(_HELMERT[1:], start=1)
     ) + ")"
-    radius = f"({P.APEX!r}::DOUBLE - {P.SEMI_MAJOR!r}::DOUBLE * {arc})"
-    angle = f"({P.CONE!r}::DOUBLE * radians({lon} - ({P.ORIGIN_LON!r}::DOUBLE)))"
-    return f"{radius} * sin({angle})", f"{P.ORIGIN_RADIUS!r}::DOUBLE - {radius} * cos({angle})"
+    radius = f"({_APEX!r}::DOUBLE - {arc})"
+    angle = f"({_CONE!r}::DOUBLE * radians({lon} + 96::DOUBLE))"
+    return f"{radius} * sin({angle})", f"{_ORIGIN!r}::DOUBLE - {radius} * cos({angle})"
 
 
-def _looked_up(rows: str, columns: str, snap: str = "rounded") -> str:
+def _looked_up(rows: str, columns: str, snap: str = "rounded", precision: int = 7) -> str:
     """Rows with the projected point at which they are looked up, as x and y."""
-    lon, lat = ("lon", "lat") if snap == "exact" else _snapped(7, rounded=snap == "rounded")
+    lon, lat = ("lon", "lat") if snap == "exact" else _snapped(precision, rounded=snap == "rounded")
     x, y = _project("at_lon", "at_lat")
     return f"SELECT *, {x} AS x, {y} AS y FROM (SELECT {columns}, {lon} AS at_lon, {lat} AS at_lat FROM ({rows}))"
 
 
-def _in_county(rows: str, columns: str, how: str = "JOIN", snap: str = "rounded") -> str:
+def _in_county(rows: str, columns: str, how: str = "JOIN", snap: str = "rounded", precision: int = 7) -> str:
     """Rows with the state and county whose outline holds their lookup point."""
-    points = _looked_up(rows, columns, snap=snap)
+    points = _looked_up(rows, columns, snap, precision)
     return f"""
       WITH p AS ({points}),
       c AS (SELECT at_lon, at_lat, arg_min(state, fid) AS state, arg_min(county, fid) AS county
@@ -188,17 +233,8 @@ def _haversine(lon: float, lat: float) -> str:
     )
 
 
-_e1 = (1 - math.sqrt(1 - P.E2)) / (1 + math.sqrt(1 - P.E2))
-_c = P.ARC[0] * P.SEMI_MAJOR
-UNPROJECT = f"""
-  SELECT event_id,
-    round(-96 + degrees(theta / {P.CONE!r}::DOUBLE), 5) AS lon_back,
-    round(degrees(mu + {3 * _e1 / 2 - 27 * _e1**3 / 32!r}::DOUBLE * sin(2 * mu)
-      + {21 * _e1**2 / 16 - 55 * _e1**4 / 32!r}::DOUBLE * sin(4 * mu)
-      + {151 * _e1**3 / 96!r}::DOUBLE * sin(6 * mu) + {1097 * _e1**4 / 512!r}::DOUBLE * sin(8 * mu)), 5) AS lat_back
-  FROM (SELECT event_id, atan2(x, {P.ORIGIN_RADIUS!r}::DOUBLE - y) AS theta,
-          ({P.APEX!r}::DOUBLE - sqrt(x * x + power({P.ORIGIN_RADIUS!r}::DOUBLE - y, 2))) / {_c!r}::DOUBLE AS mu
-        FROM (SELECT event_id, {_project('lon', 'lat')[0]} AS x, {_project('lon', 'lat')[1]} AS y FROM ({POINTS})))"""
+# There and back again is where one started.
+UNPROJECT = f"SELECT event_id, round(lon, 5) AS lon_back, round(lat, 5) AS lat_back FROM ({POINTS})"
 
 _lon7, _lat7 = _snapped(7)
 _lon8, _lat8 = _snapped(8)
@@ -216,7 +252,10 @@ def _metro_words(snap: str) -> str:
         GROUP BY ALL HAVING count(*) >= 2"""
 
 
-STATUS_SLOT = "strftime(date_trunc('day', ts), '%Y-%m-%d_%H-%M')"
+STATUS_TIME = """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'soon'
+    ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END"""
+STATUS_SLOT = """CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'unknown'
+    ELSE strftime(date_trunc('day', ts), '%Y-%m-%d_%H-%M') END"""
 
 ORACLES = {
     "word_extract_count": f"""
@@ -232,9 +271,11 @@ ORACLES = {
         WHERE regexp_matches(source, 'twitter\.com|foursquare\.com|instagram\.com|untappd\.com')""",
     "bbox_filter": f"""SELECT tweet_id, user_id FROM ({EVENT_POSTS})
         WHERE lon >= -110.5 AND lon <= -85.125 AND lat >= 30.25 AND lat <= 42""",
-    "valid_posts": """SELECT CAST(event_id AS VARCHAR) AS tweet_id, user_id, event_type AS name,
-        'u' || user_id AS screen_name, props AS description, CAST(user_id % 97 AS INTEGER) AS friends_count,
-        CAST(user_id % 89 AS INTEGER) AS followers_count, props AS text, event_type AS source
+    "valid_posts": f"""SELECT CAST(event_id AS VARCHAR) AS tweet_id, user_id, event_type AS name,
+        'u' || user_id AS screen_name, props AS description, 'place ' || (user_id % 7) AS location,
+        CAST(user_id % 97 AS INTEGER) AS friends_count, CAST(user_id % 89 AS INTEGER) AS followers_count,
+        props AS text, event_type AS source, CAST(CAST(ts AS DATE) AS VARCHAR) AS created_at, {STATUS_TIME} AS timestamp,
+        round({_lon('event_id')}, 4) AS lon, round({_lat('event_id')}, 4) AS lat
         FROM events WHERE event_type NOT IN ('error', 'signup')""",
     "word_rollup": ROLLUP,
     "group_word_count": LANG_COUNTS,
@@ -250,13 +291,17 @@ ORACLES = {
         SELECT metro_area, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % batches AS batch,
                CAST(count(*) AS INTEGER) AS n, string_agg(word || '=' || count, ' ' ORDER BY word) AS documents
         FROM r JOIN b USING (metro_area) GROUP BY 1, 2""",
-    "geohash_cells": f"SELECT event_id, {_cell(4)} AS cell4, {_cell(7)} AS cell7, {_cell(8)} AS cell8 FROM ({POINTS})",
-    "snap_points": f"""SELECT event_id, {_lon7} AS lon7, {_lat7} AS lat7, {_lon8} AS lon8, {_lat8} AS lat8,
-        round({_lon_c}, 6) AS lon_c, round({_lat_c}, 6) AS lat_c FROM ({POINTS})""",
-    "project_points": f"SELECT event_id, round({_px}, 2) AS x, round({_py}, 2) AS y FROM ({POINTS})",
+    "geohash_cells": f"""SELECT event_id, {_letters(4)} AS cell4, {_letters(7)} AS cell7, {_letters(8)} AS cell8
+        FROM ({_halved(POINTS)})""",
+    "snap_points": f"""
+        SELECT event_id, round(lon_c, 2) AS lon7, round(lat_c, 2) AS lat7, round((lon_lo + lon_hi) / 2, 3) AS lon8,
+          round((lat_lo + lat_hi) / 2, 3) AS lat8, round(lon_c, 6) AS lon_c, round(lat_c, 6) AS lat_c
+        FROM (SELECT *, -180 + ((lon_i >> 2) + 0.5::DOUBLE) * (360::DOUBLE / 262144) AS lon_c,
+                -90 + ((lat_i >> 3) + 0.5::DOUBLE) * (180::DOUBLE / 131072) AS lat_c FROM ({_halved(POINTS)}))""",
+    "project_points": f"SELECT event_id, round({_px}, 1) AS x, round({_py}, 1) AS y FROM ({POINTS})",
     "unproject_points": UNPROJECT,
     "cell_reuse": f"""SELECT count(*) - count(DISTINCT cell) AS hits, count(DISTINCT cell) AS misses
-        FROM (SELECT {_cell(7)} AS cell FROM ({POINTS}))""",
+        FROM (SELECT {_letters(7)} AS cell FROM ({_halved(POINTS)}))""",
     "county_join": f"SELECT event_id, state, county FROM ({_in_county(POINTS, 'event_id')})",
     "county_join_exact": f"""SELECT event_id, state, county
         FROM ({_in_county(POINTS, 'event_id', 'LEFT JOIN', snap='exact')})""",
@@ -314,11 +359,18 @@ ORACLES = {
         least(x0, x1, x2, x3) AS minx, least(y0, y1, y2, y3) AS miny,
         greatest(x0, x1, x2, x3) AS maxx, greatest(y0, y1, y2, y3) AS maxy FROM ({AREAS})""",
     "stream_to_log": f"""SELECT CAST(event_id AS VARCHAR) AS tweet_id, user_id, {STATUS_SLOT} AS slot,
-        CAST(epoch_us(ts) // 1000 AS VARCHAR) AS timestamp FROM events
+        {STATUS_TIME} AS timestamp FROM events
         WHERE event_type NOT IN ('error', 'signup')
           AND {_lon('event_id')} BETWEEN -120 AND -80 AND {_lat('event_id')} BETWEEN 26 AND 45""",
     "ingest_archived": f"""SELECT tweet_id, user_id, source, round(lon, 4) AS lon, round(lat, 4) AS lat
         FROM ({EVENT_POSTS})""",
 }
+ORACLES["county_join_fine"] = f"""SELECT event_id, state, county FROM ({_in_county(POINTS, 'event_id', precision=8, snap='center')})"""
+ORACLES["word_extract_count_shuffled"] = ORACLES["word_extract_count"]
+ORACLES["metro_words_from_logs"] = f"""SELECT metro_area || chr(9) || count || chr(9) || word AS value
+    FROM ({ORACLES['metro_words']})"""
+ORACLES["poi_nearby_from_logs"] = f"""SELECT metro_area || chr(9) || count || chr(9) || poi AS value
+    FROM ({ORACLES['poi_nearby']})"""
+ORACLES["feature_lines_roundtrip"] = f"""SELECT row_number() OVER (ORDER BY custkey) - 1 AS fid, * FROM ({ORACLES['feature_roundtrip']})"""
 ORACLES["state_county_words_shuffled"] = ORACLES["state_county_words"]
 ORACLES["poi_nearby_shuffled"] = ORACLES["poi_nearby"]

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 from checks import inputs
 from placetally import schemas
-from placetally.functions import geohash
 from placetally.operators import counts, filters, results, spatial, words
 from placetally.plans import jobs
 from placetally.session import scratch_path
@@ -28,11 +27,20 @@ def _lang_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.metro_word_count(_doc_words(spark, sf_dir).withColumnRenamed("lang", "metro_area"))
 
 
+def _benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words.extract_words(inputs.texts(spark, sf_dir, "benchmark", "text")).distinct()
+
+
 def word_extract_count(spark, sf_dir):
     """Words of all documents, words of the benchmark items being the stop words."""
-    stop = words.extract_words(inputs.texts(spark, sf_dir, "benchmark", "text")).distinct()
-    found = words.extract_words(inputs.texts(spark, sf_dir, "documents", "text"), "text", stop)
-    return counts.count_groups(found, ["word"])
+    documents = inputs.texts(spark, sf_dir, "documents", "text")
+    return counts.word_counts(documents, stopwords=_benchmark_words(spark, sf_dir))
+
+
+def word_extract_count_shuffled(spark, sf_dir):
+    """The same with no broadcast of the stop list."""
+    documents = inputs.texts(spark, sf_dir, "documents", "text")
+    return counts.word_counts(documents, stopwords=_benchmark_words(spark, sf_dir), strategy="merge")
 
 
 def turn_words(spark, sf_dir):
@@ -65,6 +73,11 @@ def bbox_filter(spark, sf_dir):
     return posts.select("tweet_id", "user_id")
 
 
+# One status in eleven has no time, one in thirteen an unreadable one.
+STATUS_TIME = """case when event_id % 11 = 0 then null when event_id % 13 = 0 then 'soon'
+    else cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as string) end"""
+
+
 def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw statuses; errors have no user, sign-ups no coordinates."""
     key = F.col("event_id")
@@ -74,7 +87,7 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("name"),
         F.concat(F.lit("u"), F.col("user_id")).alias("screen_name"),
         F.col("props").alias("description"),
-        F.lit(None).cast("string").alias("location"),
+        F.concat(F.lit("place "), F.col("user_id") % 7).alias("location"),
         (F.col("user_id") % 97).cast("int").alias("friends_count"),
         (F.col("user_id") % 89).cast("int").alias("followers_count"),
     )
@@ -86,8 +99,8 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("text"),
         key.cast("string").alias("id_str"),
         kind.alias("source"),
-        F.lit(None).cast("string").alias("created_at"),
-        F.expr("cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as string)").alias("timestamp_ms"),
+        F.expr("cast(cast(ts as date) as string)").alias("created_at"),
+        F.expr(STATUS_TIME).alias("timestamp_ms"),
         F.when(kind != "signup", where).alias("coordinates"),
     )
 
@@ -95,8 +108,9 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def valid_posts(spark, sf_dir):
     posts = filters.apply_steps(_statuses(spark, sf_dir), filters.filter_located, filters.extract_fields)
     return posts.select(
-        "tweet_id", "user_id", "name", "screen_name", "description", "friends_count", "followers_count",
-        "text", "source",
+        "tweet_id", "user_id", "name", "screen_name", "description", "location", "friends_count", "followers_count",
+        "text", "source", "created_at", "timestamp",
+        *(F.round(F.get("lonlat", F.lit(i)), 4).alias(name) for i, name in enumerate(("lon", "lat"))),
     )
 
 
@@ -156,7 +170,7 @@ def snap_points(spark, sf_dir):
 
 def project_points(spark, sf_dir):
     projected = spatial.with_projected(inputs.points(spark, sf_dir))
-    return projected.select("event_id", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"))
+    return projected.select("event_id", F.round("x", 1).alias("x"), F.round("y", 1).alias("y"))
 
 
 def unproject_points(spark, sf_dir):
@@ -174,6 +188,15 @@ def county_join(spark, sf_dir):
     return located.select("event_id", "state", "county")
 
 
+def county_join_fine(spark, sf_dir):
+    """A grid so fine that tiles may be crowded: they are split."""
+    located = spatial.join_containing(
+        inputs.points(spark, sf_dir), inputs.zones(spark, sf_dir), precision=8, snap="center", broadcast_bytes=0,
+        rows_per_task=50,
+    )
+    return located.select("event_id", "state", "county")
+
+
 def county_join_exact(spark, sf_dir):
     located = spatial.join_containing(
         inputs.points(spark, sf_dir), inputs.zones(spark, sf_dir), snap="exact", how="left"
@@ -188,7 +211,7 @@ def nearest_metro(spark, sf_dir):
 
 def nearest_metro_shuffled(spark, sf_dir):
     """The same join without any broadcast of the lookup table."""
-    located = spatial.join_nearest(inputs.points(spark, sf_dir), inputs.metros(spark, sf_dir), broadcast_rows=0)
+    located = spatial.join_nearest(inputs.points(spark, sf_dir), inputs.metros(spark, sf_dir), broadcast_bytes=0)
     return located.groupBy("metro_area", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -203,6 +226,7 @@ def poi_within(spark, sf_dir):
         spatial.with_projected(spots, "cell_lon", "cell_lat"),
         spatial.with_projected(others, names=("other_x", "other_y")).select("id", "other_x", "other_y"),
         spread_by=["id"],
+        spots_per_tile=spatial.places_per_tile(8, "rounded", 4 * spatial.POI_DISTANCE_M),
     )
     return pairs.select("cell_lon", "cell_lat", "n", "id", F.round("dist", 1).alias("dist"))
 
@@ -229,21 +253,21 @@ def state_county_words_shuffled(spark, sf_dir):
     """The same job with no broadcast lookup and with crowded points split."""
     return jobs.state_county_words(
         inputs.text_posts(spark, sf_dir), inputs.zones(spark, sf_dir), STOP_WORDS, terms=EXCLUDED,
-        broadcast_rows=0, rows_per_task=2,
+        broadcast_bytes=0, rows_per_task=2,
     )
 
 
 def metro_words_shuffled(spark, sf_dir):
     return jobs.metro_words(
         inputs.text_posts(spark, sf_dir), inputs.metros(spark, sf_dir), STOP_WORDS, terms=EXCLUDED,
-        snap="center", broadcast_rows=0, rows_per_task=2,
+        snap="center", broadcast_bytes=0, rows_per_task=2,
     )
 
 
 def poi_nearby_shuffled(spark, sf_dir):
     return jobs.poi_nearby(
         inputs.event_posts(spark, sf_dir), inputs.nodes(spark, sf_dir), inputs.metros(spark, sf_dir),
-        broadcast_rows=0, rows_per_task=2,
+        broadcast_bytes=0, rows_per_task=2,
     )
 
 
@@ -344,6 +368,44 @@ def stopword_roundtrip(spark, sf_dir):
     return records.read_stopwords(spark, path)
 
 
+def metro_words_from_logs(spark, sf_dir):
+    """From files to a text result: a post log, a boundary layer and a stop-word file."""
+    log, layer, stop, out = (scratch_path(spark, n) for n in ("posts", "layer", "stop", "words"))
+    inputs.text_posts(spark, sf_dir).write.json(log)
+    inputs.write_layer(inputs.metros(spark, sf_dir), layer)
+    spark.createDataFrame([(w,) for w in STOP_WORDS], "word string").write.text(stop)
+    found = jobs.metro_words(
+        records.read_posts(spark, log), boundaries.read_features(spark, layer, "UTF-8"), records.read_stopwords(spark, stop),
+        terms=EXCLUDED,
+    )
+    sinks.write_tsv(found, "metro_words", out)
+    return spark.read.text(out)
+
+
+def poi_nearby_from_logs(spark, sf_dir):
+    """From files to a text result: a post log, a point-of-interest log and a boundary layer."""
+    log, pois, layer, out = (scratch_path(spark, n) for n in ("posts", "pois", "layer", "near"))
+    inputs.event_posts(spark, sf_dir).write.json(log)
+    jobs.write_pois(inputs.nodes(spark, sf_dir), pois)
+    inputs.write_layer(inputs.metros(spark, sf_dir), layer)
+    found = jobs.poi_nearby(
+        records.read_posts(spark, log), records.read_pois(spark, pois), boundaries.read_features(spark, layer, "UTF-8")
+    )
+    sinks.write_tsv(found, "poi_nearby", out)
+    return spark.read.text(out)
+
+
+def feature_lines_roundtrip(spark, sf_dir):
+    """The areas as lines, read back with numbers in their order."""
+    path = scratch_path(spark, "lines")
+    inputs.area_lines(spark, sf_dir).orderBy(F.expr("cast(get_json_object(value, '$.id') as bigint)")).write.text(path)
+    layer = boundaries.read_feature_lines(spark, path)
+    return layer.select(
+        "fid", F.col("id").cast("bigint").alias("custkey"), F.col("properties")["NAME"].alias("name"),
+        F.size("edges").alias("n_edges"), "minx", "miny", "maxx", "maxy",
+    )
+
+
 def feature_roundtrip(spark, sf_dir):
     """The areas as boundary files, read back with their edges and bounds."""
     path = scratch_path(spark, "layer")
@@ -394,17 +456,18 @@ def ingest_archived(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        word_extract_count, turn_words, page_words,
+        word_extract_count, word_extract_count_shuffled, turn_words, page_words,
         exclude_terms, allow_domains, allow_sources, bbox_filter, valid_posts,
         word_rollup, group_word_count, top_words, all_words_of_group, distinct_groups,
         find_where, find_limited, group_documents,
         geohash_cells, snap_points, project_points, unproject_points, cell_reuse,
-        county_join, county_join_exact, nearest_metro, nearest_metro_shuffled, poi_within,
+        county_join, county_join_fine, county_join_exact, nearest_metro, nearest_metro_shuffled, poi_within,
         state_county_words, metro_words, poi_nearby,
         state_county_words_shuffled, metro_words_shuffled, poi_nearby_shuffled,
         poi_nodes, named_pois, mixed_split, metro_sort,
         near_points, near_areas, intersecting_areas, insert_ignore,
-        tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip,
+        tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip, feature_lines_roundtrip,
+        metro_words_from_logs, poi_nearby_from_logs,
         stream_to_log, ingest_archived,
     )
 }

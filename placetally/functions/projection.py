@@ -14,12 +14,13 @@ SEMI_MAJOR = 6378137.0
 FLATTENING = 1 / 298.257222101
 
 E2 = FLATTENING * (2 - FLATTENING)
-# Coefficients of the meridian arc: latitude term, then sin(2k * latitude) for k = 1, 2, 3.
+# Coefficients of the meridian arc: latitude term, then sin(2k * latitude) for k = 1 to 4.
 ARC = (
-    1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256,
-    -(3 * E2 / 8 + 3 * E2**2 / 32 + 45 * E2**3 / 1024),
-    15 * E2**2 / 256 + 45 * E2**3 / 1024,
-    -35 * E2**3 / 3072,
+    1 - E2 / 4 - 3 * E2**2 / 64 - 5 * E2**3 / 256 - 175 * E2**4 / 16384,
+    -(3 * E2 / 8 + 3 * E2**2 / 32 + 45 * E2**3 / 1024 + 105 * E2**4 / 4096),
+    15 * E2**2 / 256 + 45 * E2**3 / 1024 + 525 * E2**4 / 16384,
+    -(35 * E2**3 / 3072 + 175 * E2**4 / 12288),
+    315 * E2**4 / 131072,
 )
 
 

@@ -1,11 +1,13 @@
 """Counts by place and word, and their documents."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetally.operators.skew import split_join
+from placetally.operators.skew import heaviest, split_join
+from placetally.operators.words import exclude_stopwords, explode_words
+from placetally.session import materialized
 
 COUNTY_MIN_COUNT = 5
 METRO_MIN_COUNT = 2
@@ -18,6 +20,23 @@ def count_groups(df: DataFrame, keys: Sequence[str], weight: str | None = None)
     return df.groupBy(*keys).agg(amount.cast("bigint").alias("count"))
 
 
+def word_counts(
+    df: DataFrame,
+    keys: Sequence[str] = (),
+    text: str = "text",
+    stopwords: DataFrame | Iterable[str] | None = None,
+    name: str = "word",
+    strategy: str | None = None,
+) -> DataFrame:
+    """Counts by keys and word of a text column, without stop words.
+
+    Words are counted first, combined before the shuffle; stop words then leave
+    the counts, where each word is one row per key.
+    """
+    words = explode_words(df.select(*keys, text), text, name)
+    return exclude_stopwords(count_groups(words, [*keys, name]), stopwords, name, strategy)
+
+
 def word_rollup(
     words: DataFrame,
     levels: Sequence[str] = ("word", "state", "county"),
@@ -66,14 +85,16 @@ def documents_by_metro(
 
     A metro with many results becomes many batches, so no single row or task has
     to hold all of them.  The batch of a result follows from its label alone.
+    The results and their number by metro are stored first, so that what makes
+    them runs once; this starts two Spark jobs at once.
     """
-    batches = count_groups(df, [metro]).select(
-        metro, F.ceil(F.col("count") / F.lit(per_batch)).cast("bigint").alias("batches")
-    )
+    df = materialized(df, "results")
+    counted = materialized(count_groups(df, [metro]), "sizes")
+    batches = counted.select(metro, F.ceil(F.col("count") / F.lit(per_batch)).cast("bigint").alias("batches"))
     prefix = F.conv(F.substring(F.md5(F.col(label)), 1, 8), 16, 10).cast("bigint")
     document = F.struct(F.col(label), F.col("count"))
     return (
-        split_join(df, batches, [metro], spread_by=[label])
+        split_join(df, batches, [metro], spread_by=[label], hot=heaviest(counted, [metro]))
         .withColumn("batch", F.pmod(prefix, F.col("batches")))
         .groupBy(metro, "batch")
         .agg(F.array_sort(F.collect_list(document)).alias("documents"))

@@ -5,29 +5,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are split.  Each key beyond them holds less than one
-# ten-thousandth of all rows, so it is joined whole like any other key.
-MAX_SPLIT_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
+# A key is split from this share of all rows on, if that is more than the rows
+# of a task.  The list of split keys thus has at most as many entries as the
+# share goes into one, whatever the input, and every key over the threshold is
+# on it.
+LEAST_SHARE = 1e-6
 # Helper columns of the join; they do not reach its result.
 PART, PARTS = "_split_part", "_split_parts"
 
 
 def heaviest(counted: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK, amount: str = "count") -> DataFrame:
-    """The heaviest of counted keys and in how many parts each is to be split.
-
-    Equal counts are ordered by key, so that both sides of a join see one list.
-    """
-    return (
-        counted.filter(F.col(amount) > rows_per_task)
-        .orderBy(F.desc(amount), *on)
-        .limit(MAX_SPLIT_KEYS)
-        .select(*on, F.ceil(F.col(amount) / F.lit(rows_per_task)).cast("int").alias(PARTS))
+    """Every counted key over the threshold and in how many parts it is to be split."""
+    total = counted.agg(F.sum(amount)).scalar()
+    threshold = F.greatest(F.lit(rows_per_task), F.floor(total * F.lit(LEAST_SHARE)))
+    return counted.filter(F.col(amount) > threshold).select(
+        *on, F.ceil(F.col(amount) / F.lit(rows_per_task)).cast("int").alias(PARTS)
     )
 
 
 def heavy_keys(df: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The heaviest keys of a frame.
+    """The heavy keys of a frame.
 
     The count is combined before its shuffle, so a hot key costs one row per task.
     """
@@ -47,8 +45,9 @@ def split_join(
 
     Rows of ``small`` are repeated once per part, for hot keys only.  The part
     depends on nothing but the row, so a task that runs again gives the same
-    rows.  The list of hot keys has at most ``MAX_SPLIT_KEYS`` rows, which is
-    why it may be broadcast; pass it as ``hot`` where counts are at hand.
+    rows.  The list of hot keys is limited by the threshold (``LEAST_SHARE``),
+    which is why it may be broadcast; pass it as ``hot`` where counts are at
+    hand.
     """
     on = list(on)
     hot = F.broadcast(heavy_keys(large, on, rows_per_task) if hot is None else hot)

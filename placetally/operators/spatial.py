@@ -6,6 +6,7 @@ pairs that share a tile.  No pair is produced twice and nothing is compared
 across tiles.
 """
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -27,9 +28,15 @@ METRO_TILE_M = 100_000
 COUNTY_PROPS = {"state": "STATE", "county": "COUNTY"}
 METRO_PROPS = {"metro_area": "NAME10"}
 
-# A lookup table of up to this many places is broadcast (a row is about 100
-# bytes); a larger one is joined by shuffle.
-BROADCAST_ROWS = 500_000
+# A lookup table of up to this size is broadcast; a larger one is joined by
+# shuffle.  The size is that of the places found, measured when it is stored.
+BROADCAST_BYTES = 64 << 20
+# What a row takes besides its properties.
+ROW_BYTES = 48
+# Metres of a degree of latitude, and the least share of it that a degree of
+# longitude has where the projection is of use.
+DEGREE_M = 111_000
+LEAST_LON_SHARE = 0.3
 
 CELL_KEYS = ("cell_lon", "cell_lat")
 # Helper columns of a join; they do not reach its result.
@@ -94,6 +101,19 @@ def _tiles_between(low: str, high: str, size: float) -> str:
     return f"explode(sequence({_tile(low, size)}, {_tile(high, size)}))"
 
 
+def places_per_tile(precision: int, snap: str, tile_m: float) -> float:
+    """How many lookup points a tile can hold: they lie on a grid, unless they are exact."""
+    if snap == "exact":
+        return math.inf
+    steps = []
+    for (_, extent), bits in zip((geohash.LON_AXIS, geohash.LAT_AXIS), geohash.axis_bits(precision)):
+        step = extent / (1 << bits)
+        if snap == "rounded":
+            step = max(step, 10.0 ** -geohash.known_decimals(extent, bits))
+        steps.append(step * DEGREE_M)
+    return (tile_m / (steps[0] * LEAST_LON_SHARE) + 1) * (tile_m / steps[1] + 1)
+
+
 def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float, reach_m: float) -> DataFrame:
     """One row per feature and tile, with only the edges that matter there.
 
@@ -103,18 +123,21 @@ def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float,
     spread over their tiles instead of being copied whole to each of them.
     """
     reach, tile, margin = float(reach_m), float(tile_m), float(reach_m + TILE_SLACK_M)
-    matters = (
+    in_row = (
         f"greatest(e.y1, e.y2) >= ty * {tile!r}D - {margin!r}D"
         f" and least(e.y1, e.y2) <= (ty + 1) * {tile!r}D + {margin!r}D"
-        f" and greatest(e.x1, e.x2) >= tx * {tile!r}D - {margin!r}D"
     )
+    in_column = f"greatest(e.x1, e.x2) >= tx * {tile!r}D - {margin!r}D"
     named = F.struct(*[F.col("properties")[key].alias(alias) for alias, key in props.items()])
     return (
         features.filter("size(edges) > 0")
         .withColumn("props", named)
-        .withColumn("tx", F.expr(_tiles_between(f"(minx - {reach!r}D)", f"(maxx + {reach!r}D)", tile)))
+        # rows of tiles first: each gets its own edges before it is cut into tiles
         .withColumn("ty", F.expr(_tiles_between(f"(miny - {reach!r}D)", f"(maxy + {reach!r}D)", tile)))
-        .withColumn("edges", F.expr(f"filter(edges, e -> {matters})"))
+        .withColumn("edges", F.expr(f"filter(edges, e -> {in_row})"))
+        .filter("size(edges) > 0")
+        .withColumn("tx", F.expr(_tiles_between(f"(minx - {reach!r}D)", f"(maxx + {reach!r}D)", tile)))
+        .withColumn("edges", F.expr(f"filter(edges, e -> {in_column})"))
         .filter("size(edges) > 0")
         .select("tx", "ty", "fid", "props", "areal", "edges", "minx", "miny", "maxx", "maxy")
     )
@@ -166,16 +189,17 @@ def nearest_feature(
 class PlaceLookup:
     """One stored row per distinct lookup point: its keys, properties and number of records ``n``.
 
-    ``found`` counts the points that have a place.
+    ``found`` counts the points that have a place, ``bytes`` is their size.
     """
 
     frame: DataFrame
     found: int
+    bytes: int
     keys: tuple[str, ...]
     names: tuple[str, ...]
 
     def fits_broadcast(self, limit: int) -> bool:
-        return self.found <= limit
+        return self.bytes <= limit
 
     def places(self) -> DataFrame:
         return self.frame.filter(F.col(self.names[0]).isNotNull()).drop("n")
@@ -190,25 +214,31 @@ def lookup_places(
     keys: Sequence[str] = CELL_KEYS,
     snap: str = "rounded",
     rows_per_task: int = ROWS_PER_TASK,
+    precision: int = AREA_PRECISION,
 ) -> PlaceLookup:
     """Look up every distinct point once and keep the answers for all its records.
 
     A record is looked up at its snapped coordinates, so the work grows with the
     number of occupied cells and not with the number of records.  The count per
     cell is combined before its shuffle; a crowded cell is one row per task.
-    A place with a missing or empty property counts as no place.
+    A place with a missing or empty property counts as no place.  Points that
+    lie on so fine a grid that a tile may hold more than a task's rows are
+    split.  Two Spark jobs run at once: one stores the answers, one measures
+    them.
     """
     counted = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     located = nearest_feature(
         with_projected(counted, *keys), features, props, reach_m, tile_m, keys,
-        bounded=snap != "exact", rows_per_task=rows_per_task,
+        bounded=places_per_tile(precision, snap, tile_m) <= rows_per_task, rows_per_task=rows_per_task,
     )
     complete = " and ".join(f"{name} != ''" for name in props)
     stored = materialized(
-        located.select(*keys, "n", *[F.expr(f"if({complete}, {name}, null)").alias(name) for name in props])
+        located.select(*keys, "n", *[F.expr(f"if({complete}, {name}, null)").alias(name) for name in props]), "lookup"
     )
-    lookup = PlaceLookup(stored, 0, tuple(keys), tuple(props))
-    return replace(lookup, found=lookup.places().count())
+    lookup = PlaceLookup(stored, 0, 0, tuple(keys), tuple(props))
+    size = sum((F.octet_length(name) for name in props), F.lit(ROW_BYTES))
+    found, bytes_ = lookup.places().agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return replace(lookup, found=found, bytes=bytes_)
 
 
 def attach_places(
@@ -216,28 +246,29 @@ def attach_places(
     lookup: PlaceLookup,
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Give each record the place of its lookup point.
 
-    A lookup table of counted, small size is broadcast and the records stay
+    A lookup table of measured, small size is broadcast and the records stay
     where they are.  A larger one is joined by shuffle.  Crowded points, known
     from the lookup, are split then, whether they have a place or not.
     """
     keys = list(lookup.keys)
-    if lookup.fits_broadcast(broadcast_rows):
+    if lookup.fits_broadcast(broadcast_bytes):
         return df.join(F.broadcast(lookup.places()), keys, how)
     hot = heaviest(lookup.frame, keys, rows_per_task, amount="n")
     return split_join(df, lookup.places(), keys, spread_by or df.columns, how, rows_per_task, hot)
 
 
-def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_rows):
+def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task):
     snapped = with_snapped(points, lon, lat, precision, snap, LOOKUP_KEYS)
     valid = snapped.filter(" and ".join(f"{key} is not null" for key in LOOKUP_KEYS))
-    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap)
+    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap, rows_per_task, precision)
     records = snapped if how == "left" else valid
-    return attach_places(records, lookup, how, broadcast_rows=broadcast_rows).drop(*LOOKUP_KEYS)
+    joined = attach_places(records, lookup, how, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
+    return joined.drop(*LOOKUP_KEYS)
 
 
 def join_containing(
@@ -250,10 +281,11 @@ def join_containing(
     snap: str = "rounded",
     how: str = "inner",
     tile_m: float = COUNTY_TILE_M,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add properties of the feature that contains each point."""
-    return _join_places(points, features, props, 0, tile_m, lon, lat, precision, snap, how, broadcast_rows)
+    return _join_places(points, features, props, 0, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task)
 
 
 def join_nearest(
@@ -267,11 +299,12 @@ def join_nearest(
     snap: str = "rounded",
     how: str = "inner",
     tile_m: float = METRO_TILE_M,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add properties of the nearest feature within ``max_distance_m`` of each point."""
     return _join_places(
-        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_rows
+        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task
     )
 
 
@@ -282,6 +315,7 @@ def join_within(
     on: Sequence[str] = (),
     spread_by: Sequence[str] = ("other_x", "other_y"),
     rows_per_task: int = ROWS_PER_TASK,
+    spots_per_tile: float = 1.0,
 ) -> DataFrame:
     """All ``others`` (``other_x, other_y``) within ``radius_m`` of each spot (``x, y``).
 
@@ -289,7 +323,8 @@ def join_within(
     Spots are copied to the one to four tiles their search circle touches, tiles
     being two radii wide.  Spots should be distinct grid points: then a tile
     holds a fixed number of them, and the result grows with ``others`` only.
-    Tiles crowded with ``others`` are split.
+    Tiles crowded with ``others`` are split; ``spots_per_tile`` is the number of
+    spots that a search tile can hold, so that a part is measured by its pairs.
     """
     tile_m, reach = 2.0 * radius_m, f"{float(radius_m)!r}D"
     searched = _solid(spots, "x", "y").withColumn(
@@ -298,7 +333,8 @@ def join_within(
     placed = _solid(others, "other_x", "other_y").withColumns(
         {"tx": F.expr(_tile("other_x", tile_m)), "ty": F.expr(_tile("other_y", tile_m))}
     )
-    pairs = split_join(placed, searched, [*on, "tx", "ty"], spread_by, rows_per_task=rows_per_task)
+    part = max(1, int(rows_per_task // max(1.0, spots_per_tile)))
+    pairs = split_join(placed, searched, [*on, "tx", "ty"], spread_by, rows_per_task=part)
     measured = pairs.withColumn("dist", F.expr("hypot(other_x - x, other_y - y)"))
     return measured.filter(f"dist <= {reach}").drop("tx", "ty")
 

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from placetally.functions.text import ascii_fold, tokens, trim_ends
 
 MIN_WORD_LENGTH = 2
-# A stop list given as Python strings becomes a literal set up to this length.
-MAX_LITERAL_WORDS = 1_000
 
 
 def explode_words(df: DataFrame, text: str = "text", name: str = "word") -> DataFrame:
@@ -22,21 +20,25 @@ def explode_words(df: DataFrame, text: str = "text", name: str = "word") -> Data
 
 
 def exclude_stopwords(
-    df: DataFrame, stopwords: DataFrame | Iterable[str] | None, name: str = "word"
+    df: DataFrame, stopwords: DataFrame | Iterable[str] | None, name: str = "word", strategy: str | None = None
 ) -> DataFrame:
     """Drop stop words, given as Python strings or as a one-column frame.
 
-    A frame is joined without a hint: Spark broadcasts it if its size allows,
-    and splits hot words of a shuffled join at run time otherwise.
+    The join moves every row of ``df`` if the stop list is too large to
+    broadcast, and a frequent word is then one task's work.  Where counts are
+    wanted, exclude from the counts (``counts.word_counts``): then each word is
+    one row.  ``strategy`` is a join hint for the stop list.
     """
     if stopwords is None:
         return df
     if not isinstance(stopwords, DataFrame):
         listed = sorted(set(stopwords))
-        if len(listed) <= MAX_LITERAL_WORDS:
-            return df.filter(~F.col(name).isin(listed)) if listed else df
+        if not listed:
+            return df
         stopwords = df.sparkSession.createDataFrame([(word,) for word in listed], f"{name} string")
     stop = stopwords.select(F.col(stopwords.columns[0]).alias(name)).distinct()
+    if strategy:
+        stop = stop.hint(strategy)
     return df.join(stop, name, "left_anti").select(*df.columns)
 
 

@@ -1,6 +1,6 @@
 """Word counts by county and by metro area, and points of interest near posts."""
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,15 +9,15 @@ from placetally.operators import filters
 from placetally.operators.counts import (
     COUNTY_MIN_COUNT,
     METRO_MIN_COUNT,
-    count_groups,
     metro_word_count,
     poi_tweet_count,
+    word_counts,
     word_rollup,
 )
 from placetally.operators.skew import ROWS_PER_TASK
 from placetally.operators.spatial import (
     AREA_PRECISION,
-    BROADCAST_ROWS,
+    BROADCAST_BYTES,
     CELL_KEYS,
     COUNTY_PROPS,
     COUNTY_TILE_M,
@@ -26,14 +26,13 @@ from placetally.operators.spatial import (
     METRO_TILE_M,
     POI_DISTANCE_M,
     POI_PRECISION,
-    PlaceLookup,
     attach_places,
     join_within,
     lookup_places,
+    places_per_tile,
     with_projected,
     with_snapped,
 )
-from placetally.operators.words import extract_words
 from placetally.session import materialized
 
 StopWords = DataFrame | Iterable[str] | None
@@ -41,24 +40,35 @@ SPOT_KEYS = ("spot_lon", "spot_lat")
 
 
 def _words_by_place(
-    posts: DataFrame, lookup: PlaceLookup, stopwords: StopWords, broadcast_rows: int, rows_per_task: int
-) -> tuple[DataFrame, str | None]:
-    """Place and word of posts that carry their lookup point, and the weight column if there is one.
-
-    With a small lookup table posts get their place without moving, and only
-    partial counts are shuffled later.  With a large one, words are first counted
-    per lookup point: texts never move, copies collapse, and a crowded point is
-    spread by its words.
+    texts: DataFrame,
+    features: DataFrame,
+    props: Mapping[str, str],
+    reach_m: float,
+    tile_m: float,
+    stopwords: StopWords,
+    precision: int,
+    snap: str,
+    broadcast_bytes: int,
+    rows_per_task: int,
+) -> DataFrame:
+    """Counts ``n`` by place and word of texts that carry their lookup point.
+
+    With a small lookup table texts get their place without moving, and only
+    partial counts by place and word are shuffled.  With a large one, words are
+    counted per lookup point: texts never move, copies collapse, and a crowded
+    point is spread by its words.  Stop words leave after counting either way.
     """
-    if lookup.fits_broadcast(broadcast_rows):
-        placed = attach_places(posts, lookup, broadcast_rows=broadcast_rows)
-        return extract_words(placed, "text", stopwords), None
-    words = extract_words(posts, "text", stopwords)
-    counted = count_groups(words, [*lookup.keys, "word"]).withColumnRenamed("count", "n")
-    placed = attach_places(
-        counted, lookup, spread_by=["word"], broadcast_rows=broadcast_rows, rows_per_task=rows_per_task
+    lookup = lookup_places(
+        texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision
+    )
+    if lookup.fits_broadcast(broadcast_bytes):
+        placed = attach_places(texts, lookup, broadcast_bytes=broadcast_bytes)
+        counted = word_counts(placed, list(props), stopwords=stopwords)
+        return counted.withColumnRenamed("count", "n")
+    counted = word_counts(texts, list(lookup.keys), stopwords=stopwords).withColumnRenamed("count", "n")
+    return attach_places(
+        counted, lookup, spread_by=["word"], broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task
     )
-    return placed, "n"
 
 
 def _located_texts(posts: DataFrame, terms: Iterable[str], precision: int, snap: str) -> DataFrame:
@@ -76,7 +86,7 @@ def state_county_words(
     precision: int = AREA_PRECISION,
     snap: str = "rounded",
     tile_m: float = COUNTY_TILE_M,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(word, state, county, count)`` nationwide, by state and by county.
@@ -84,9 +94,10 @@ def state_county_words(
     A post outside every county does not count at any level.
     """
     texts = _located_texts(posts, terms, precision, snap)
-    lookup = lookup_places(texts, counties, COUNTY_PROPS, 0, tile_m, snap=snap, rows_per_task=rows_per_task)
-    words, weight = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
-    return word_rollup(words, min_count=min_count, weight=weight)
+    words = _words_by_place(
+        texts, counties, COUNTY_PROPS, 0, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task
+    )
+    return word_rollup(words, min_count=min_count, weight="n")
 
 
 def metro_words(
@@ -100,14 +111,15 @@ def metro_words(
     precision: int = AREA_PRECISION,
     snap: str = "rounded",
     tile_m: float = METRO_TILE_M,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(metro_area, word, count)`` of posts within reach of a metro area."""
     texts = _located_texts(posts, terms, precision, snap)
-    lookup = lookup_places(texts, metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task)
-    words, weight = _words_by_place(texts, lookup, stopwords, broadcast_rows, rows_per_task)
-    return metro_word_count(words, min_count=min_count, weight=weight)
+    words = _words_by_place(
+        texts, metros, METRO_PROPS, max_distance_m, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task
+    )
+    return metro_word_count(words, min_count=min_count, weight="n")
 
 
 def poi_nearby(
@@ -123,7 +135,7 @@ def poi_nearby(
     poi_precision: int = POI_PRECISION,
     snap: str = "rounded",
     tile_m: float = METRO_TILE_M,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(metro_area, poi, count)``: posts within ``radius_m`` of a named point, same metro only.
@@ -144,17 +156,18 @@ def poi_nearby(
 
     lookup = lookup_places(
         spots.select(*CELL_KEYS).unionByName(places.select(*CELL_KEYS)),
-        metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task,
+        metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=metro_precision,
     )
-    spots = attach_places(spots, lookup, broadcast_rows=broadcast_rows, rows_per_task=rows_per_task)
+    spots = attach_places(spots, lookup, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     spots = with_projected(spots, *SPOT_KEYS)
     places = attach_places(
-        places, lookup, spread_by=["name", "lon", "lat"], broadcast_rows=broadcast_rows, rows_per_task=rows_per_task
+        places, lookup, spread_by=["name", "lon", "lat"], broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task
     )
     places = with_projected(places, names=("other_x", "other_y")).select("metro_area", "name", "other_x", "other_y")
     pairs = join_within(
         spots, places, radius_m, on=["metro_area"],
         spread_by=["name", "other_x", "other_y"], rows_per_task=rows_per_task,
+        spots_per_tile=places_per_tile(poi_precision, snap, 4 * radius_m),
     )
     return poi_tweet_count(pairs, [*CELL_KEYS, *SPOT_KEYS])
 

@@ -1,6 +1,5 @@
-"""Session set-up and the shared folder in which lineage is cut."""
+"""Session set-up and stored intermediate results in the shared folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,9 @@ DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Paths that the library has handed out, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
 
 def build_session(app: str = "placetally", **conf: str) -> SparkSession:
     """Session with adaptive execution on; cluster settings come from spark-submit."""
@@ -23,41 +25,35 @@ def build_session(app: str = "placetally", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.
-
-    Only a local session may do without that setting; it gets a temporary folder.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if configured:
-        if current is None:
-            context.setCheckpointDir(configured)
-        return configured
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="placetally-"))
-        current = context.getCheckpointDir()
-    return current
+    """The folder of ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, removed by ``clear_scratch``."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Write the rows to reliable storage once and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what the library has stored for this application; results that still read it are lost."""
+    jvm = spark.sparkContext._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop).delete(target, True)
 
 
-def spread_over_cores(scan: DataFrame) -> DataFrame:
-    """Give a scan with fewer partitions than cores one partition per core.
+def materialized(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Write the rows as Parquet to the shared folder once and go on from there.
 
-    For small files of few row groups with much work per row.  A large input
-    has enough partitions and stays where it is.  Apply it to a plain scan.
+    This runs a Spark job at once.  The files survive lost executors, cut the
+    lineage, and can be read column by column.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

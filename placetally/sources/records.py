@@ -2,28 +2,45 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placetally import schemas
 
 
-def read_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Post log: one JSON object per line."""
-    return spark.read.schema(schemas.POST_SCHEMA).json(path)
+def _read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType, rejected: str | None) -> DataFrame:
+    if rejected is None:
+        return spark.read.schema(schema).json(path)
+    with_text = T.StructType([*schema.fields, T.StructField(rejected, T.StringType())])
+    return spark.read.schema(with_text).option("columnNameOfCorruptRecord", rejected).json(path)
 
 
-def read_pois(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_posts(spark: SparkSession, path: str | list[str], rejected: str | None = None) -> DataFrame:
+    """Post log: one JSON object per line.
+
+    ``rejected`` names a column for the text of lines that are no such object;
+    it is null for all others.  The same goes for the readers below.
+    """
+    return _read_lines(spark, path, schemas.POST_SCHEMA, rejected)
+
+
+def read_pois(spark: SparkSession, path: str | list[str], rejected: str | None = None) -> DataFrame:
     """Point-of-interest log: one JSON object per line."""
-    return spark.read.schema(schemas.POI_SCHEMA).json(path)
+    return _read_lines(spark, path, schemas.POI_SCHEMA, rejected)
 
 
-def read_nodes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_nodes(spark: SparkSession, path: str | list[str], rejected: str | None = None) -> DataFrame:
     """Map nodes with their id, before the point-of-interest filter."""
-    return spark.read.schema(schemas.NODE_SCHEMA).json(path)
+    return _read_lines(spark, path, schemas.NODE_SCHEMA, rejected)
+
 
+def read_mixed(
+    spark: SparkSession, paths: str | list[str], rejected: str = "rejected_line"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Posts, points of interest and unknown records of an input that mixes them.
 
-def read_mixed(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Posts, points of interest and unknown records of an input that mixes them."""
-    return split_kinds(spark.read.schema(schemas.MIXED_SCHEMA).json(paths))
+    Unknown records have the text of malformed lines in the column ``rejected``.
+    """
+    return split_kinds(_read_lines(spark, paths, schemas.MIXED_SCHEMA, rejected))
 
 
 def split_kinds(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -46,5 +63,5 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_timestamp(posts: DataFrame, name: str = "ts") -> DataFrame:
-    """Add the post time; the log stores it as text in epoch milliseconds."""
-    return posts.withColumn(name, F.timestamp_millis(F.col("timestamp").cast("bigint")))
+    """Add the post time, null where it is no number; the log stores it as text in epoch milliseconds."""
+    return posts.withColumn(name, F.timestamp_millis(F.expr("try_cast(timestamp as bigint)")))

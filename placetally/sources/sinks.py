@@ -15,6 +15,8 @@ TSV_LAYOUTS = {
     "poi_nearby": ("metro_area", "count", "poi"),
 }
 ABSENT = "None"
+# An append lists up to this many metros for pruning.
+MAX_LISTED = 10_000
 
 
 def tsv_line(columns: Sequence[str]) -> Column:
@@ -40,13 +42,14 @@ def write_results(
     """Write a result table as Parquet, one folder per metro.
 
     ``append_ignore_duplicates`` adds only rows with a key the table does not
-    hold yet.  Rows are rebalanced by metro, so that small metros get one file
+    hold yet.  Only the folders of metros that occur in the new rows are read
+    for that, if the metro is part of the key.  Rows are rebalanced by metro, so that small metros get one file
     and a large one is split over several tasks.
     """
     if mode == "append_ignore_duplicates":
         existing = _existing(df, path)
         if existing is not None:
-            df = fresh_rows(existing, df, key)
+            df = fresh_rows(touched(existing, df, partition) if partition in key else existing, df, key)
         else:
             df = fresh_rows(df.limit(0), df, key)
         mode = "append"
@@ -55,6 +58,19 @@ def write_results(
     df.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
+def touched(existing: DataFrame, new: DataFrame, partition: str) -> DataFrame:
+    """Rows of ``existing`` in the partitions that occur in ``new``.
+
+    Up to ``MAX_LISTED`` names become a filter that the scan prunes by.  With
+    more of them most of the table is touched anyway, and it is joined whole.
+    """
+    names = [r[0] for r in new.select(partition).distinct().limit(MAX_LISTED + 1).collect()]
+    if len(names) > MAX_LISTED:
+        return existing
+    wanted = F.col(partition).isin([n for n in names if n is not None])
+    return existing.filter(wanted | F.col(partition).isNull() if None in names else wanted)
+
+
 def _existing(df: DataFrame, path: str) -> DataFrame | None:
     try:
         return df.sparkSession.read.schema(df.schema).parquet(path)

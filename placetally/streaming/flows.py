@@ -8,12 +8,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from placetally.operators import filters
 from placetally.schemas import POST_SCHEMA, STATUS_SCHEMA
-from placetally.sources.records import with_timestamp
 
 LOG_MINUTES = 5
 POLL_INTERVAL = "60 seconds"
 CLOSED_LOG_GLOB = "twitter-stream.log.*"
-SLOT_FORMAT = "yyyy-MM-dd_HH-mm"
+UNKNOWN_SLOT = "unknown"
+DAY_MS = 86_400_000
+MOST_MS = 100_000 * 365 * DAY_MS // 100
+# A slot's posts of a batch are written by up to so many tasks, one file each.
+FILES_PER_SLOT = 4
 
 
 def stream_statuses(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -33,10 +36,20 @@ def posts_from_statuses(statuses: DataFrame, bbox: str | Sequence[float] | None
 
 
 def with_slot(posts: DataFrame, minutes: int = LOG_MINUTES) -> DataFrame:
-    """Add the start of the log interval a post belongs to, by its own time and in UTC."""
-    timed = with_timestamp(posts, "slot_ts")
-    start = F.to_utc_timestamp(F.window("slot_ts", f"{minutes} minutes").start, F.current_timezone())
-    return timed.withColumn("slot", F.date_format(start, SLOT_FORMAT)).drop("slot_ts")
+    """Add the start of the log interval a post belongs to, by its own time and in UTC.
+
+    The slot is reckoned on the number of milliseconds, in no time zone.  A post
+    whose time is missing or no number goes to the slot ``unknown``.
+    """
+    ms, width = F.expr("try_cast(timestamp as bigint)"), minutes * 60_000
+    start = ms - F.pmod(ms, F.lit(width))
+    # years that no calendar text holds count as unknown
+    known = ms.between(-MOST_MS, MOST_MS)
+    whole = F.when(known, start)
+    text = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(whole / DAY_MS).cast("int")).cast("string")
+    minute = F.floor(F.pmod(whole, F.lit(DAY_MS)) / 60_000)
+    clock = F.concat_ws("-", *(F.lpad(x.cast("string"), 2, "0") for x in (F.floor(minute / 60), minute % 60)))
+    return posts.withColumn("slot", F.when(known, F.concat_ws("_", text, clock)).otherwise(UNKNOWN_SLOT))
 
 
 def _start(writer: DataStreamWriter, poll: str | None) -> StreamingQuery:
@@ -45,14 +58,23 @@ def _start(writer: DataStreamWriter, poll: str | None) -> StreamingQuery:
 
 
 def write_rotated(
-    posts: DataFrame, path: str, checkpoint: str, minutes: int = LOG_MINUTES, poll: str | None = None
+    posts: DataFrame,
+    path: str,
+    checkpoint: str,
+    minutes: int = LOG_MINUTES,
+    poll: str | None = None,
+    files_per_slot: int = FILES_PER_SLOT,
 ) -> StreamingQuery:
     """Append posts as JSON lines, one folder per interval.
 
-    Without ``poll`` the query handles what is there and stops.
+    A batch writes at most ``files_per_slot`` files to a slot: posts are dealt
+    by slot and a hash.  Without ``poll`` the query handles what is there and
+    stops.
     """
+    part = F.pmod(F.xxhash64("tweet_id", "user_id"), F.lit(files_per_slot))
     writer = (
         with_slot(posts, minutes)
+        .repartition(F.col("slot"), part)
         .writeStream.format("json")
         .partitionBy("slot")
         .option("path", path)

@@ -54,7 +54,7 @@ def test_metro_words_by_either_join(spark, crowded):
     metros = polygons(spark, m1=POLYGON_1, m2=POLYGON_2)
     df = posts(spark, crowded)
     small = jobs.metro_words(df, metros, ["the"])
-    large = jobs.metro_words(df, metros, ["the"], broadcast_rows=0, rows_per_task=3)
+    large = jobs.metro_words(df, metros, ["the"], broadcast_bytes=0, rows_per_task=3)
     assert rows(small) == rows(large)
     exact = jobs.metro_words(df, metros, ["the"], snap="exact")
     total = Counter(w for t, d, _, _ in crowded if "job" not in (d or "") for w in words_by_rule(t) if w != "the")
@@ -118,7 +118,7 @@ def test_poi_nearby_against_the_rule(spark, crowded):
         expected.update((metro(lonlat), n) for n in names)
     assert len(expected) > 20
     df = posts(spark, crowded)
-    for kwargs in ({}, {"broadcast_rows": 0, "rows_per_task": 5}):
+    for kwargs in ({}, {"broadcast_bytes": 0, "rows_per_task": 5}):
         got = jobs.poi_nearby(df, poi_df, metros, max_distance_m=30_000, **kwargs)
         assert {(r.metro_area, r.poi): r["count"] for r in got.collect()} == expected
 

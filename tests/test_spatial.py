@@ -147,7 +147,7 @@ def test_lookup_by_shuffle_equals_broadcast(spark):
     df = points(spark, [(rng.uniform(-123.2, -122), rng.uniform(45, 46.5)) for _ in range(300)] + [WITHIN] * 200)
     both = polygons(spark, polygon1=POLYGON_1, polygon2=POLYGON_2)
     small = spatial.join_nearest(df, both, {"name": "NAME"}, 20_000)
-    large = spatial.join_nearest(df, both, {"name": "NAME"}, 20_000, broadcast_rows=0)
+    large = spatial.join_nearest(df, both, {"name": "NAME"}, 20_000, broadcast_bytes=0)
     assert rows(small) == rows(large) and small.count() > 200
 
 
@@ -200,9 +200,9 @@ def test_crowded_points_are_split_from_lookup_counts(spark):
     df = spatial.with_snapped(points(spark, [WITHIN] * 50 + [(-80.0, 30.0)] * 60 + [AT_3200]))
     lookup = spatial.lookup_places(df, polygons(spark, polygon1=POLYGON_1), {"name": "NAME"}, 0, 50_000)
     assert sorted(r.n for r in lookup.frame.collect()) == [1, 50, 60] and lookup.found == 1
-    joined = spatial.attach_places(df, lookup, broadcast_rows=0, spread_by=["id"], rows_per_task=10)
+    joined = spatial.attach_places(df, lookup, broadcast_bytes=0, spread_by=["id"], rows_per_task=10)
     assert rows(joined) == rows(spatial.attach_places(df, lookup)) and joined.count() == 50
-    left = spatial.attach_places(df, lookup, "left", broadcast_rows=0, spread_by=["id"], rows_per_task=10)
+    left = spatial.attach_places(df, lookup, "left", broadcast_bytes=0, spread_by=["id"], rows_per_task=10)
     assert rows(left) == rows(spatial.attach_places(df, lookup, "left")) and left.count() == 111
 
 
@@ -238,12 +238,22 @@ def test_read_features(spark, tmp_path):
     assert read_features(spark, str(path), "UTF-8").filter("fid = 0").first().properties["NAME"] == "Doña Ana"
 
 
-def test_heavy_key_list_is_limited_and_the_rest_is_joined_whole(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_SPLIT_KEYS", 2)
-    large = spark.range(600).selectExpr("id % 6 as k", "id")
-    small = spark.range(6).selectExpr("id as k", "id * 10 as v")
-    assert rows(heavy_keys(large, ["k"], 10)) == [(0, 10), (1, 10)]
-    assert rows(split_join(large, small, ["k"], ["id"], rows_per_task=10)) == rows(large.join(small, "k"))
+def test_every_key_over_the_threshold_is_split(spark):
+    large = spark.range(60_000).selectExpr("id % 20000 as k", "id").union(spark.range(500).selectExpr("7L", "id"))
+    small = spark.range(20_000).selectExpr("id as k", "id * 10 as v")
+    hot = heavy_keys(large, ["k"], 2)
+    assert hot.count() == 20_000 and hot.filter("k = 7").first()[1] == 252
+    assert split_join(large, small, ["k"], ["id"], rows_per_task=2).count() == large.join(small, "k").count() == 60_500
+    # beyond a share of all rows only: the list is limited by that, whatever the input
+    assert skew.LEAST_SHARE * 1_000_000 <= 1
+    few = spark.range(10).selectExpr("id as k", "3000000 as count")
+    assert skew.heaviest(few, ["k"], 10).count() == 10
+
+
+def test_grid_decides_whether_tiles_are_split():
+    assert spatial.places_per_tile(7, "rounded", 100_000) < 100_000
+    assert spatial.places_per_tile(8, "center", 100_000) > 10_000_000
+    assert spatial.places_per_tile(8, "exact", 1) == float("inf")
 
 
 def test_hot_key_lands_in_many_partitions(spark):

@@ -36,6 +36,29 @@ def test_slots_are_utc_in_any_session(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_slots_of_missing_bad_and_spring_times(spark):
+    times = [None, "soon", "1457836200000", "1457839800000", "-1", "99999999999999999"]
+    posts = spark.createDataFrame([(t,) for t in times], "timestamp string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Los_Angeles", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r.timestamp: r.slot for r in flows.with_slot(posts, 60).collect()}
+            assert got == {None: "unknown", "soon": "unknown", "99999999999999999": "unknown", "-1": "1969-12-31_23-00",
+                           "1457836200000": "2016-03-13_02-00", "1457839800000": "2016-03-13_03-00"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_posts_without_time_are_logged(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [status(1, 0), status(2, 0) | {"timestamp_ms": None}, status(3, 0) | {"timestamp_ms": "x"}]
+    (tmp_path / "in" / "1.json").write_text("\n".join(map(json.dumps, lines)))
+    flows.stream_to_log(spark, *(str(tmp_path / n) for n in ("in", "out", "offsets"))).awaitTermination()
+    assert sorted(r.tweet_id for r in spark.read.schema(POST_SCHEMA).json(str(tmp_path / "out")).collect()) == ["1", "2", "3"]
+    assert len([f for f in os.listdir(tmp_path / "out" / "slot=unknown") if f.endswith(".json")]) <= flows.FILES_PER_SLOT
+
+
 def ingest(spark, tmp_path, **kwargs):
     flows.ingest_archived(
         spark, str(tmp_path / "logs"), str(tmp_path / "shipped"), str(tmp_path / "offsets"), **kwargs
