@@ -226,6 +226,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents in which a window of a benchmark item occurs."""
-    hit = matches(docs, benchmark, window).filter("size(spans) > 0").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id") == F.col("hit_id"), "left_anti")
+    """``docs`` without the documents in which a window of a benchmark item occurs; rows of one doc_id go together."""
+    hit = matches(docs, benchmark, window).filter("size(spans) > 0").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placetally.llm.common import stored
+from placetally.llm.common import fresh, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -180,14 +180,15 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix: ``docs`` with each row as often as it is taken, numbered from 1 in ``copy``."""
+    """The mix: ``docs`` with each row as often as it is taken, numbered from 1 in a new last column ``copy``."""
+    names: list[str] = []
+    for name in ("words", "of_id", "of_source", "of_size", "copies", "copy"):
+        names.append(fresh(name, docs.columns + names))
+    words, doc_id, source, size, times, number = names
     plan = copies(docs).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
+        F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(times)
     )
-    sized = docs.withColumn("_words", word_count("text"))
-    on = (
-        sized["doc_id"].eqNullSafe(plan["_id"]) & sized["source"].eqNullSafe(plan["_source"])
-        & (sized["_words"] == plan["_size"])
-    )
-    taken = sized.join(plan, on).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return taken.select(*(sized[c] for c in docs.columns), "copy")
+    on = F.col("doc_id").eqNullSafe(F.col(doc_id)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(words) == F.col(size))
+    taken = docs.withColumn(words, word_count("text")).join(plan, on)
+    taken = taken.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return taken.select(*docs.columns, number)

@@ -189,7 +189,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ball_links(fingerprints: DataFrame) -> DataFrame:
-    """(a, b): links between different values of ``bits`` that connect what is within distance 3.
+    """(a, b): edges that connect the values of ``bits`` within distance 3 of each other, and no others.
+
+    A task turns the links it finds into stars, so an edge may join two values
+    that are linked over others.
 
     ``fingerprints`` holds each value once.  131 variants a value are dealt by
     the unmasked bits; a task holds about a million of them, and no group is
