@@ -116,7 +116,8 @@ class Graph:
         first = np.where(fresh, np.einsum("bkd,bd->bk", self.x[np.maximum(entries, 0)], q), -np.inf)
         ids_0, sims_0, _ = _top(np.where(fresh, entries, -1), first, min(beam, entries.shape[1]))
         ids[:, : ids_0.shape[1]], sims[:, : ids_0.shape[1]] = ids_0, sims_0
-        np.put_along_axis(seen, np.maximum(entries, 0), True, 1)
+        r, c = np.nonzero(fresh)
+        seen[r, entries[r, c]] = True
         open_ = ids >= 0
         live = rows
         while len(live):
@@ -139,7 +140,8 @@ class Graph:
             near, new = near[:, keep].astype(np.int64), new[:, keep]
             if not near.shape[1]:
                 continue
-            seen[live[:, None], np.maximum(near, 0)] |= new
+            r, c = np.nonzero(new)
+            seen[live[r], near[r, c]] = True
             value = np.where(new, np.einsum("bkd,bd->bk", self.x[np.maximum(near, 0)], q[live]), -np.inf)
             all_ids = np.concatenate([ids[live], near], axis=1)
             all_open = np.concatenate([open_[live], new], axis=1)

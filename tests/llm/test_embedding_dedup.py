@@ -67,4 +67,5 @@ def test_graph_finds_near_vectors_among_many():
     graph = Graph.load(Graph(x).dump())
     found = near(graph, x.astype(np.float32), 0.98, audited_beam(graph, 0.98, 64, 0.25, 1_024))
     links = [np.flatnonzero(row) for row in x @ x.T >= 0.98 + 1e-4]
+    assert all(len(set(b.tolist())) == len(b) for b in found)
     assert sum(np.isin(a, b).sum() for a, b in zip(links, found)) >= 0.9999 * sum(map(len, links))
