@@ -10,7 +10,8 @@ way; only the last document of a source is rounded alone.  Groups of bounded siz
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +140,7 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     most = goals.agg(F.max(F.ceil(F.col("docs") / GROUP_ROWS))).first()[0] or 0
     settled, left, depth = None, placed, 0
     while True:
-        played = stored(left.groupBy("source", "leaf").applyInPandas(_player(depth), shape), "play")
+        played = stored(left.groupBy("source", "leaf").applyInArrow(_player(depth), shape), "play")
         done = played.filter("p = 0 or p = 1")
         settled = done if settled is None else settled.union(done)
         left = played.filter("p > 0 and p < 1").withColumn("leaf", F.floor(F.col("leaf") / FAN_IN))
@@ -154,21 +155,20 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
 
 
 def _player(depth: int):
-    def played(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(doc_order=group["doc_id"].astype(str)).sort_values(
-            ["size", "doc_order"], ascending=[False, True], kind="stable"
-        ).drop(columns="doc_order")
-        weight = (group["size"] * group["n"]).to_numpy()
+    def played(key: tuple, group: pa.Table) -> pa.Table:
+        order = pa.compute.sort_indices(group, [("size", "descending"), ("doc_id", "ascending")])
+        group = group.take(order)
+        weight = group["size"].to_numpy() * group["n"].to_numpy()
         p = np.where(weight > 0, group["p"].to_numpy(), 0.0)
         best, least = p, float("inf")
         for attempt in range(ATTEMPTS):
-            tried, at = play(weight, p, _seed(depth, key[1], len(group), int(weight.sum()), attempt))
+            tried, at = play(weight, p, _seed(depth, key[1].as_py(), len(group), int(weight.sum()), attempt))
             miss = 0.0 if at < 0 else weight[at] * min(tried[at], 1 - tried[at])
             if miss < least:
                 best, least = tried, miss
             if least <= NEAR * float((weight * p).sum()):
                 break
-        return group.assign(p=best)
+        return group.set_column(group.schema.get_field_index("p"), "p", pa.array(best, pa.float64()))
 
     return played
 
