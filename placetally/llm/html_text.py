@@ -52,7 +52,17 @@ OUTSIDE = {"nav", "footer", "header", "aside", "form", "button", "dialog", "menu
 _LONG = "Some words that say a good deal about the matter, one after the other, as in a story that goes on. " * 3
 _SHORT = "A line that says little."
 _LINKS = "<ul><li><a href=/a>Home</a></li><li><a href=/b>News and more</a></li><li><a href=/c>About us</a></li></ul>"
-_ARTICLE = f"<h1>A heading of some words</h1><p>{_LONG}</p><p>{_SHORT}</p><h2>Part two</h2><p>{_LONG}</p><ul><li>one thing to note</li><li>another thing, said in more words than the first</li></ul><blockquote><p>{_SHORT}</p></blockquote><p>Yes.</p>"
+_ARTICLE = (
+    f"<h1>A heading of some words</h1><p>{_LONG}</p><p>{_SHORT}</p><h2>Part two</h2><p>{_LONG}</p><ul><li>one thing to note</li>"
+    f"<li>another thing, said in more words than the first</li></ul><blockquote><p>{_SHORT}</p></blockquote><p>Yes.</p>"
+)
+# What else an article may have: pictures, tables, lists of terms, linked lines, text outside of paragraphs.
+_RICH = (
+    f"<h1>A heading</h1><div>{_LONG}<br><br>{_LONG}</div><figure><img src=a><figcaption>What one sees</figcaption></figure>"
+    f"<p><a href=/x>A line that is one link</a></p><table><tr><th>Year</th><td>Sum</td></tr><tr><th>One</th><td>Two</td></tr></table>"
+    f"<h3>Terms</h3><dl><dt>A term</dt><dd>What it means, in a few words</dd></dl><ol><li><a href=/y>first</a></li><li>{_SHORT}</li></ol>"
+    f"<pre>some code</pre><section><h2>More of it</h2><p>{_LONG}</p></section><p>End.</p>"
+)
 _COMMENTS = f"<h3>Comments</h3><ul><li><p>{_SHORT} I think so too.</p></li><li><p>{_LONG}</p></li></ul>"
 _FORM = "<label>Name</label><input name=a><p>Leave your address and we write to you.</p><button>Send</button>"
 #: Pages of which the parts are known: {names} are replaced by parts, with the names and tags of VARIANTS.
@@ -63,6 +73,8 @@ TEMPLATES = (
     "{nav}{article_ad}{form}{comments}{footer}",
     "<table><tr><td>{nav}</td><td>{article}</td><td>{side}</td></tr></table>{footer}",
     "{header}{nav}<div><div>{article}</div>{comments}{side}</div>{form}{footer}{notice}",
+    "{nav}{rich}{comments}{footer}",
+    "{header}<div>{side}{rich}</div>{ad}{footer}",
 )
 VARIANTS = (
     {"article": "article", "nav": "nav", "header": "header", "footer": "footer", "side": "aside", "ad": "div class=ad",
@@ -92,6 +104,7 @@ def _templates() -> Iterator[str]:
 
         parts = {k: part(k, "drop", v) for k, v in inner.items()}
         parts["article"] = part("article", "keep", _ARTICLE)
+        parts["rich"] = part("article", "keep", _RICH)
         parts["article_comments"] = part("article", "keep", _ARTICLE + parts["comments"])
         parts["article_ad"] = part("article", "keep", f"<p>{_LONG}</p>{parts['ad']}{_ARTICLE}{parts['side']}<p>{_LONG}</p>")
         for page in TEMPLATES:
