@@ -57,7 +57,16 @@ def _words_by_place(
     partial counts by place and word are shuffled.  With a large one, words are
     counted per lookup point: texts never move, copies collapse, and a crowded
     point is spread by its words.  Stop words leave after counting either way.
+    Which way is known when the points have been looked up, so texts are read a
+    second time; ``broadcast_bytes=0`` says it beforehand, and they are read once.
     """
+    if broadcast_bytes <= 0:
+        counted = word_counts(texts, list(CELL_KEYS), stopwords=stopwords).withColumnRenamed("count", "n")
+        counted = materialized(counted, "words")
+        lookup = lookup_places(
+            counted, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision
+        )
+        return attach_places(counted, lookup, spread_by=["word"], broadcast_bytes=0, rows_per_task=rows_per_task)
     lookup = lookup_places(
         texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision
     )

@@ -66,6 +66,23 @@ def test_metro_words_by_either_join(spark, crowded):
     assert "Python" not in plan(small) and "NestedLoop" not in plan(small)
 
 
+def test_posts_are_read_once_where_the_join_is_shuffled(spark, crowded, tmp_path):
+    path = str(tmp_path / "log")
+    posts(spark, crowded).write.json(path)
+    metros = polygons(spark, m1=POLYGON_1, m2=POLYGON_2)
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        reads.add(1)
+        return value
+
+    from pyspark.sql import functions as F
+    counted = spark.read.schema(schemas.POST_SCHEMA).json(path).withColumn("text", F.udf(seen)("text"))
+    got = jobs.metro_words(counted, metros, ["the"], broadcast_bytes=0)
+    assert reads.value == len([i for i in crowded if "job" not in (i[1] or "")])
+    assert rows(got) == rows(jobs.metro_words(posts(spark, crowded), metros, ["the"])) and path not in plan(got)
+
+
 def project(lon, lat):
     from placetally.functions import projection as P
     phi = math.radians(lat)

@@ -11,7 +11,7 @@ from placetally.sources.boundaries import as_features, read_features
 from tests.conftest import plan, rows
 from tests.test_geo import KNOWN, points, square
 
-# Outlines in metres of the projection.
+# Fixed values of the fixture: outlines in metres of the projection.
 POLYGON_1 = [[-2078950.174314544, 1019320.543241758], [-2070179.999376244, 1048168.999269501],
              [-2024609.876997347, 1034481.530479143], [-2033186.997251831, 1005575.088432894],
              [-2078950.174314544, 1019320.543241758]]
