@@ -25,11 +25,13 @@ def build_session(app: str = "placetally", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``."""
+    """The folder of ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``.
+
+    Where neither is set, as in a local session, it is a folder of the warehouse,
+    which every executor can reach as well.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return folder.rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
