@@ -2,48 +2,35 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from placetally.session import scratch_path
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
-MASK = (1 << 64) - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a session of tests sets its own with ``setCheckpointDir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows as Parquet to the shared folder and go on from there.
 
     The files outlive lost executors and cut the lineage.  They stay until the
-    shared folder is cleaned, because results are read from them lazily.
+    shared folder is cleaned (``clear_scratch``), because results are read from
+    them lazily.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hash_of(*columns: str):
-    """The 64-bit hash by which groups are dealt over partitions."""
-    return F.xxhash64(*columns)
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over the 64 bits of a hash."""
     h = h.astype(np.uint64, copy=True)
