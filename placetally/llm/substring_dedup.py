@@ -232,6 +232,31 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return leaves.groupBy("bucket").applyInArrow(nodes, SPANS)
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for spans in batch.column("found").to_pylist():
+            pairs = np.frombuffer(b"".join(spans), np.uint32).reshape(-1, 2).astype(np.int64)
+            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+            reach = np.maximum.accumulate(pairs[:, 1])
+            head = np.flatnonzero(np.r_[True, pairs[1:, 0] > reach[:-1]])
+            out.append(list(zip(pairs[head, 0].tolist(), reach[np.r_[head[1:], len(pairs)] - 1].tolist())))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(out, pa.list_(pa.list_(pa.int64())))],
+            ["doc_id", "text_hash", "repeats"],
+        )
+
+
+def maximal_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, text_hash, repeats) of the documents that repeat an earlier one.
+
+    ``repeats`` are disjoint word spans (from, to) in order: what overlapping or
+    adjoining windows cover together.  See ``repeated_spans`` for the cases.
+    """
+    found = repeated_spans(docs, window).groupBy("doc_id", "text_hash").agg(F.collect_list("spans").alias("found"))
+    return found.mapInArrow(_joined, "doc_id long, text_hash long, repeats array<array<long>>")
+
+
 def _without(text: bytes, spans: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     words = text.split()
     change = np.zeros(len(words) + 1, np.int64)

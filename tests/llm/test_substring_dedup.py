@@ -68,3 +68,11 @@ def test_awkward_documents(spark):
     assert kept[2].text is None and kept[3].text == "" and kept[4].text == " \n\t" and kept[20].text == text
     none = docs.limit(0)
     assert substring_dedup.substring_digest(none).count() == substring_dedup.without_repeats(none).count() == 0
+
+
+def test_maximal_repeats_are_whole_passages(spark):
+    rng = random.Random(6)
+    one, two = prose(rng, 40), prose(rng, 13)
+    docs = documents(spark, [(1, one), (2, two), (3, f"a b {one} c {two} d"), (4, prose(rng, 50)), (5, f"{one} {two}")])
+    got = {r.doc_id: r.repeats for r in substring_dedup.maximal_repeats(docs).collect()}
+    assert got == {3: [[2, 42], [43, 56]], 5: [[0, 53]]}
