@@ -31,9 +31,9 @@ from placetally.llm.wordhash import gram_hashes, sliding_least, word_hashes
 
 WINDOW = 13
 KEY_WORDS = 5
-TEXT_BYTES = 1 << 20
-BATCH_WORDS = 400_000
-GROUP_BYTES = 4 << 20
+TEXT_BYTES = 1 << 19
+BATCH_WORDS = 250_000
+GROUP_BYTES = 2 << 20
 # A key is extended if it is in more than this share of the documents.  The share is looked up in every 32nd document;
 # it decides where suffixes meet, not what is found, and bounds the list of keys by (keys a document) / share.
 EXTEND_SHARE = 1e-4
