@@ -6,12 +6,12 @@ Suffixes are dealt over groups by a short key of their window.  Sorting a group
 leaves of a node side by side.
 
 * Short key: the five words of the window whose hash is least.  Neighbouring suffixes mostly share it, so they travel
-  as one run, about 40 bytes for 5 suffixes.
+  as one run, about 36 bytes for 5 suffixes.
 * Variable length: keys of many documents are extended to the whole window.  What is still equal then is one node.
 * A batch of documents sends each window once, for its smallest document; later documents of the batch are settled on
   the spot.  A passage that a third of all documents share is thereby one suffix a batch.
 
-Paths are compared as hashes: 64 bits of key and 40 bits of window.
+Paths are compared as hashes: 32 bits of key and 40 bits of window, besides the bits that choose the group.
 """
 
 from __future__ import annotations
@@ -146,10 +146,10 @@ def _leaves(batches: Iterator[pa.RecordBatch], window: int, groups: int, long_ke
             known, which = np.unique(row[head[x:y]], return_inverse=True)
             parts[0].append(int(bucket[x]))
             parts[1].append(np.stack([b.ids[known], b.hashes[known]], axis=1).tobytes())
-            parts[2].append(which.astype(np.uint32).tobytes())
+            parts[2].append(which.astype(np.uint16 if len(known) <= 1 << 16 else np.uint32).tobytes())
             parts[3].append(start[head[x:y]].astype(np.uint32).tobytes())
             parts[4].append(size[x:y].astype(np.uint8).tobytes())
-            parts[5].append(key[head[x:y]].tobytes())
+            parts[5].append(key[head[x:y]].astype(np.uint32).tobytes())
             parts[6].append(octets[ends[x - 1] if x else 0:ends[y - 1]].tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(parts[0], pa.int64()), *(pa.array(p, pa.binary()) for p in parts[1:])],
@@ -168,10 +168,10 @@ def _nodes(group: pa.Table, window: int) -> pa.Table:
                 done.append((int(pairs[0, 0]), int(pairs[0, 1]), s))
                 continue
             rows.append(pairs)
-            row.append(np.frombuffer(i, np.uint32).astype(np.int64) + known)
+            row.append(np.frombuffer(i, np.uint16 if len(i) == 2 * len(n) else np.uint32).astype(np.int64) + known)
             start.append(np.frombuffer(s, np.uint32))
             size.append(np.frombuffer(n, np.uint8))
-            key.append(np.frombuffer(k, np.uint64))
+            key.append(np.frombuffer(k, np.uint32))
             octets.append(np.frombuffer(p, np.uint8).reshape(-1, 5))
             known += len(pairs)
     if rows:
@@ -181,7 +181,7 @@ def _nodes(group: pa.Table, window: int) -> pa.Table:
         place = np.concatenate(start).astype(np.int64)[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
         low = np.zeros((len(at), 8), np.uint8)
         low[:, :5] = np.concatenate(octets)
-        path = mixed(np.concatenate(key)[at] ^ mixed(low.view(np.uint64).ravel()))
+        path = mixed(np.concatenate(key)[at].astype(np.uint64) ^ mixed(low.view(np.uint64).ravel()))
         owner = np.concatenate(row)[at]
         later = _later(path, all_rows[owner, 0])
         if later.any():
