@@ -33,17 +33,17 @@ SAVINGS = (2, 3, 4)
 def windows(text: bytes, size: int = WINDOW_BYTES) -> list[bytes]:
     """The whole text in lower case as runs of words of at least ``size`` bytes (the last one may be shorter).
 
-    Each starts with a blank, so that a word looks the same wherever it stands.
+    Each starts and ends with a blank, so that a word looks the same wherever it stands.
     """
     out, run, held = [], [], 0
     for word in text.lower().split():
         run.append(word)
         held += len(word) + 1
         if held >= size:
-            out.append(b" " + b" ".join(run))
+            out.append(b" ".join([b"", *run, b""]))
             run, held = [], 0
     if run:
-        out.append(b" " + b" ".join(run))
+        out.append(b" ".join([b"", *run, b""]))
     return out
 
 
@@ -55,6 +55,32 @@ def _grams(text: bytes) -> set[bytes]:
     return out
 
 
+def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Whole words with a blank on both sides, the most frequent first: those that ordinary text does without."""
+    there, elsewhere = Counter(), Counter()
+    for text in toxic:
+        there.update(set(text.lower().split()))
+    for text in ordinary:
+        elsewhere.update(set(text.lower().split()))
+    least = max(GRAM_LEAST, GRAM_SHARE * len(toxic))
+    odds = GRAM_ODDS * len(toxic) / max(len(ordinary), 1)
+    contexts = {w: set() for w, n in there.items() if n >= least and n > odds * (elsewhere[w] + 0.5)}
+    # copies of one document say the same once: what counts is between how many different words a word stands
+    for text in toxic:
+        words = [b"", *text.lower().split(), b""]
+        for before, word, after in zip(words, words[1:], words[2:]):
+            if word in contexts:
+                contexts[word].add((before, after))
+    marked = [(len(c), w) for w, c in contexts.items() if len(c) >= least and len(c) > odds * (elsewhere[w] + 0.5)]
+    return [b" " + w + b" " for _, w in sorted(marked, key=lambda x: (-x[0], x[1]))]
+
+
+def _halves(word: bytes) -> tuple[bytes, bytes]:
+    """Beginning and end of a word.  They stand in both dictionaries, so that only the whole word tells them apart."""
+    n = -(-len(word) * 2 // 3)
+    return word[:n], word[-n:]
+
+
 def _toxic_entries(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Pieces of words for the toxic dictionary, the most frequent first: those that ordinary text does without."""
     there, elsewhere = Counter(), Counter()
@@ -154,8 +180,11 @@ def fit(texts: list[bytes], labels: list[int]) -> Model:
     toxic = [t for t, label in zip(texts, labels) if label]
     ordinary = [t for t, label in zip(texts, labels) if not label]
     base = _ordinary_dictionary(ordinary, DICTIONARY_BYTES)
-    entries = _toxic_entries(toxic, ordinary)
-    marked = b"\0".join([*entries[::-1], b""])[-DICTIONARY_BYTES:] if entries else b""
+    pieces = _toxic_entries(toxic, ordinary)
+    # a word that has a piece is told by it already
+    words = [w for w in _toxic_words(toxic, ordinary) if not any(p in w for p in pieces)]
+    base = b"\0".join([*(half for w in words for half in _halves(w)), base])
+    marked = b"\0".join([*[*words, *pieces][::-1], b""])
     n = len(SAVINGS) + 2
     model = Model(base, marked, np.zeros(n + 1), np.zeros(n), np.ones(n))
     if not toxic or not ordinary:

@@ -128,3 +128,21 @@ def test_licences(spark):
     }
     docs = awkward(spark, random.Random(16))
     assert licenses.scan_licences(docs).count() == docs.count() and licenses.scan_licences(docs.limit(0)).count() == 0
+
+
+def test_toxic_words_of_ordinary_syllables_are_found():
+    rng = random.Random(17)
+    syllables = ["ba", "do", "fi", "gu", "ke", "lo", "mi", "nu", "pe", "ra", "so", "ti"]
+    bad = ["badofigukelo", "kelomitirafi", "nuperasogudo"]
+
+    def text(toxic):
+        words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(20, 80))]
+        words = [w for w in words if w not in bad]
+        return " ".join([*words, rng.choice(bad)] if toxic else words).encode()
+
+    labels = [int(i % 4 == 0) for i in range(1_600)]
+    texts = [text(label) for label in labels]
+    model = toxicity.fit(texts[:1_200], labels[:1_200])
+    found = model.scores(texts[1_200:]) >= 0.5
+    truth = np.array(labels[1_200:]) == 1
+    assert found[truth].mean() > 0.6 and truth[found].mean() > 0.85
