@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placetally.llm.common import slices, texts_of
@@ -23,10 +23,9 @@ UNKNOWN = "und"
 BITS = 24
 DIMENSIONS = 1 << 13
 TEXT_BYTES = 1 << 20
-# Bounds of the labelled sample: documents of each language, characters of each document, and languages.
+# Bounds of the labelled sample: documents of each language, and characters of each document.
 SAMPLE_DOCS = 600
 SAMPLE_CHARS = 4_000
-LANGUAGES = 200
 ROUNDS = 200
 # A document is ambiguous if the two best languages are nearer than this share of the largest possible loss.
 MARGIN = 0.05
@@ -109,35 +108,54 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit_on(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, bits: int = BITS) -> Model:
-    """A model from a bounded sample of documents with a language that are not held out.
-
-    Of each of the ``LANGUAGES`` most frequent languages the ``sample``
-    documents with the least hash of their id, of each ``chars`` characters
-    from a place that the hash picks.  Each bit is trained by a task of its own.
+def _least(batches: Iterator[pa.RecordBatch], sample: int) -> Iterator[pa.RecordBatch]:
+    """The ``sample`` rows of least hash of each language in a task; the others can't be among the least of all."""
+    held = None
+    for batch in batches:
+        held = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        held = held.group_by(["lang", "h", "doc_id"]).aggregate([])  # a repeated document is one
+        held = held.sort_by([("lang", "ascending"), ("h", "ascending"), ("doc_id", "ascending")])
+        lang = held.column("lang").combine_chunks().dictionary_encode().indices.to_numpy()
+        first = np.flatnonzero(np.r_[True, lang[1:] != lang[:-1]]) if len(lang) else np.zeros(0, np.int64)
+        rank = np.arange(len(lang)) - np.repeat(first, np.diff(np.r_[first, len(lang)]))
+        held = held.filter(pa.array(rank < sample)).combine_chunks()
+    if held is not None:
+        yield from held.to_batches(max_chunksize=1_000)
+
+
+def sample_of(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(lang, h, doc_id, text): of each language the ``sample`` documents with the least hash of their id.
+
+    Of each document ``chars`` characters from a place that the hash picks.
+    Every task hands on its own least rows, without texts, so none receives the
+    rows of a frequent language.  Documents that are held out, and those without
+    id, language or text, are left out.
     """
     known = docs.select(
         "doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     ).filter("lang is not null and text is not null and doc_id is not null").filter(~held_out("doc_id"))
-    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in counted)
+    known = known.withColumn("h", F.xxhash64("doc_id", F.lit(3)))
+    ids = known.select("lang", "h", "doc_id")
+    ranked = ids.mapInArrow(partial(_least, sample=sample), ids.schema).distinct().withColumn(
+        "n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ).filter(F.col("n") <= sample)
+    chosen = ranked.select("lang", "h", "doc_id")
+    start = F.floor(F.pmod("h", F.lit(1_000_000)) / 1_000_000 * F.greatest(F.length("text") - chars, F.lit(0))).cast("int") + 1
+    cut = known.select("lang", "h", "doc_id", F.substring("text", start, F.lit(chars)).alias("text"))
+    return cut.join(chosen, ["lang", "h", "doc_id"]).dropDuplicates(["lang", "doc_id"]).orderBy("h", "doc_id")
+
+
+def fit_on(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, bits: int = BITS) -> Model:
+    """A model from a bounded sample of documents with a language that are not held out.
+
+    See ``sample_of`` for the sample.  Each bit is trained by a task of its own.
+    """
+    rows = sample_of(docs, sample, chars).collect()
+    languages = sorted({r["lang"] for r in rows})
     if not languages:
         return Model([], np.zeros((0, bits)), np.zeros((DIMENSIONS + 1, bits), np.float32))
-    # about twice the wanted number by hash, then exactly the wanted number
-    share = {r["lang"]: min(1.0, 2.0 * sample / r["count"] + 0.001) for r in counted}
-    hashed = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000))
-    limit = F.create_map(*(F.lit(v) for item in share.items() for v in item))[F.col("lang")]
-    start = F.floor(hashed / 1_000_000 * F.greatest(F.length("text") - chars, F.lit(0))).cast("int") + 1
-    some = known.withColumn("h", hashed).filter(F.col("h") < limit * 1_000_000)
-    rows = some.select("lang", "h", "doc_id", F.substring("text", start, F.lit(chars)).alias("text")).orderBy("h", "doc_id").limit(
-        4 * sample * len(languages)
-    ).collect()
-    texts, labels, seen = [], [], dict.fromkeys(languages, 0)
-    for r in rows:
-        if seen[r["lang"]] < sample:
-            seen[r["lang"]] += 1
-            texts.append(r["text"].encode())
-            labels.append(languages.index(r["lang"]))
+    place = {lang: i for i, lang in enumerate(languages)}
+    texts, labels = [r["text"].encode() for r in rows], [place[r["lang"]] for r in rows]
     code = codewords(len(languages), bits)
     return Model(languages, code, _fit_bits(docs, texts, code[labels]))
 

@@ -108,6 +108,17 @@ def test_token_counts_equal_greedy_matching(spark):
     assert token_counts.count_tokens(docs.limit(0), pieces).count() == 0
 
 
+def test_rare_languages_are_sampled_beside_large_ones(spark):
+    rng = random.Random(18)
+    rows = [(i, spoken(rng, lang, 8), lang, "s") for i, lang in enumerate(["aa", "bb"] * 1_500 + ["cc"] * 40)]
+    rows += [(10_000 + i, spoken(rng, "dd", 8), f"x{i:03}", "s") for i in range(230)]
+    sampled = language_id.sample_of(documents(spark, rows).repartition(3), sample=5).collect()
+    n = {lang: sum(r.lang == lang for r in sampled) for lang in ("aa", "bb", "cc")}
+    assert n == {"aa": 5, "bb": 5, "cc": 5}
+    known = {r[2] for r in documents(spark, rows).filter(~language_id.held_out("doc_id")).select("doc_id", "text", "lang").collect()}
+    assert {r.lang for r in sampled} == known and len(known) > 150
+
+
 def test_licences(spark):
     texts = {
         1: "Words.\nLicensed under the Apache License, Version 2.0.\nMore words. All rights reserved.",
