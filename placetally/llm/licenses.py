@@ -117,14 +117,14 @@ class Recogniser:
         self.rules = sorted(rules.items(), key=lambda r: (-len(r[0]), r[0]))
         self.gap = gap
 
-    def sentences(self, text: str) -> list[tuple[str, int]]:
-        """Known sentences with the number of the fragment they start in.
+    def sentences(self, text: str) -> list[tuple[str, int, int]]:
+        """Known sentences, each from and to a place; places count the fragments that have words.
 
         Fragments end with a line or a mark.  A known sentence starts and ends
         with a fragment and may run over several, as wrapped lines do; the
         longest one counts.
         """
-        parts = _END.split(text.lower())
+        parts = [x for x in _END.split(text.lower()) if _WORD.search(x)]
         words = [None] * len(parts)
         out, k = [], 0
         while k < len(parts):
@@ -142,20 +142,20 @@ class Recogniser:
                 if "" in node and node is not self.trie:
                     best = (node[""], at)
             if best:
-                out.append((best[0], k))
+                out.append((best[0], k, best[1]))
                 k = best[1]
             else:
                 k += 1
         return out
 
-    def licences(self, found: list[tuple[str, int]]) -> list[str]:
+    def licences(self, found: list[tuple[str, int, int]]) -> list[str]:
         """Licences of a sequence of known sentences, in order; every sentence serves one rule at most."""
         out, k = [], 0
         while k < len(found):
             for rule, name in self.rules:
                 part = found[k:k + len(rule)]
-                near = all(b[1] - a[1] <= self.gap + 1 for a, b in zip(part, part[1:]))
-                if near and tuple(x for x, _ in part) == rule:
+                near = all(b[1] - a[2] <= self.gap for a, b in zip(part, part[1:]))
+                if near and tuple(x[0] for x in part) == rule:
                     out.append(name)
                     k += len(rule)
                     break
@@ -171,7 +171,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], sentences: dict, rules: dict, ga
             known, names = [], []
             for text in texts_of(piece.column("text")):
                 found = recogniser.sentences(text.decode())
-                known.append([x for x, _ in found])
+                known.append([x[0] for x in found])
                 names.append(recogniser.licences(found))
             text_list = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(

@@ -119,6 +119,17 @@ def test_rare_languages_are_sampled_beside_large_ones(spark):
     assert {r.lang for r in sampled} == known and len(known) > 150
 
 
+def test_licences_of_wrapped_texts(spark):
+    import textwrap
+
+    names = ("mit-grant", "mit-notice", "no-warranty")
+    texts = [(w, "\n\n".join(textwrap.fill(licenses.SENTENCES[s][0], w) for s in names)) for w in (30, 40, 60, 66, 72, 80, 200)]
+    texts += [(1_000 + w, "\n".join("# " + line for line in t.split("\n"))) for w, t in texts]
+    far = licenses.SENTENCES["mit-grant"][0] + " x." * (licenses.GAP + 1) + " " + licenses.SENTENCES["mit-notice"][0]
+    got = {r.doc_id: r.licences for r in licenses.scan_licences(documents(spark, [*texts, (1, far), (2, far.replace(" x.", "", 1))])).collect()}
+    assert got == {i: ["MIT"] for i, _ in texts} | {1: [], 2: ["MIT"]}
+
+
 def test_licences(spark):
     texts = {
         1: "Words.\nLicensed under the Apache License, Version 2.0.\nMore words. All rights reserved.",
