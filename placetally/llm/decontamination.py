@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placetally.llm.common import slices, stored, texts_of
+from placetally.llm.common import replaced, slices, stored, texts_of
 
 WINDOW = 10
 TEXT_BYTES = 4 << 20
@@ -27,7 +27,7 @@ CHUNK_BYTES = 8 << 20
 # Words are runs of these bytes; all others count as blanks.
 _WORD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in bytes(range(256)).lower())
 
-INDEX = "doc_ids array<long>, lengths array<long>, terms array<binary>, counts array<long>, places binary"
+INDEX = "doc_ids array<long>, keys array<long>, lengths array<long>, terms array<binary>, counts array<long>, places binary"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -41,7 +41,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return items.filter("item_id is not null and text is not null").distinct()
 
 
-def _block(ids: list, lengths: list[int], parts: list[np.ndarray], terms: list[bytes], gap: int) -> pa.RecordBatch:
+def _block(ids: list, keys: list[int], lengths: list[int], parts: list[np.ndarray], terms: list[bytes], gap: int) -> pa.RecordBatch:
     """One index row.  Places count the words of the block, with a gap after each document."""
     first = np.cumsum([0, *lengths[:-1]]) + gap * np.arange(len(lengths))
     code = np.concatenate(parts)
@@ -52,11 +52,11 @@ def _block(ids: list, lengths: list[int], parts: list[np.ndarray], terms: list[b
     count = np.bincount(code, minlength=len(terms))
     there = np.flatnonzero(count)
     row = {
-        "doc_ids": [ids], "lengths": [lengths], "terms": [[terms[t] for t in there]],
+        "doc_ids": [ids], "keys": [keys], "lengths": [lengths], "terms": [[terms[t] for t in there]],
         "counts": [count[there].tolist()], "places": [place[order].astype(np.uint32).tobytes()],
     }
     return pa.RecordBatch.from_pydict(row, pa.schema([
-        ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())),
+        ("doc_ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())),
         ("counts", pa.list_(pa.int64())), ("places", pa.binary()),
     ]))
 
@@ -64,27 +64,31 @@ def _block(ids: list, lengths: list[int], parts: list[np.ndarray], terms: list[b
 def _index(batches: Iterator[pa.RecordBatch], terms: list[bytes], gap: int) -> Iterator[pa.RecordBatch]:
     code = {t: i for i, t in enumerate(terms)}.get
     ids: list[int] = []
+    keys: list[int] = []
     lengths: list[int] = []
     parts: list[np.ndarray] = []
     held = 0
     for batch in batches:
         for piece in slices(batch, "text", TEXT_BYTES):
-            for doc, text in zip(piece.column("doc_id").to_pylist(), texts_of(piece.column("text"))):
+            columns = (piece.column("doc_id").to_pylist(), piece.column("text_key").to_pylist(), texts_of(piece.column("text")))
+            for doc, key, text in zip(*columns):
                 words = words_of(text)
                 parts.append(np.fromiter((code(w, -1) for w in words), np.int32, len(words)))
                 ids.append(doc)
+                keys.append(key)
                 lengths.append(len(words))
                 held += len(words)
                 if held >= BLOCK_WORDS:
-                    yield _block(ids, lengths, parts, terms, gap)
-                    ids, lengths, parts, held = [], [], [], 0
+                    yield _block(ids, keys, lengths, parts, terms, gap)
+                    ids, keys, lengths, parts, held = [], [], [], [], 0
     if ids:
-        yield _block(ids, lengths, parts, terms, gap)
+        yield _block(ids, keys, lengths, parts, terms, gap)
 
 
 def build_index(docs: DataFrame, terms: list[bytes], gap: int) -> DataFrame:
     """Postings of ``terms`` in every document; ``gap`` keeps matches from running over the end of a document."""
-    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     return some.mapInArrow(partial(_index, terms=terms, gap=gap), INDEX)
 
 
@@ -110,7 +114,7 @@ def _starts(places: dict[bytes, np.ndarray], phrase: tuple[bytes, ...], rank: di
 def _search(batches, phrases: list[tuple[bytes, ...]], owners: list[list[str]], rank: dict, gap: int, slop: int):
     """A row per document with its words and, where phrases occur, spans (from, to) and item ids."""
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))),
+        ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))),
         ("items", pa.list_(pa.string())),
     ])
     anchor = [min(p, key=lambda w: rank.get(w, 0)) for p in phrases]
@@ -133,7 +137,7 @@ def _search(batches, phrases: list[tuple[bytes, ...]], owners: list[list[str]],
                     items.setdefault(d, set()).update(owner)
             merged = [_merged(spans.get(d, [])) for d in range(len(lengths))]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": row["doc_ids"], "n_words": row["lengths"], "spans": merged,
+                "doc_id": row["doc_ids"], "text_key": row["keys"], "n_words": row["lengths"], "spans": merged,
                 "items": [sorted(items.get(d, ())) for d in range(len(lengths))],
             }, schema)
 
@@ -174,18 +178,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     n = -(-total // CHUNK_BYTES) or 1
     parts = stored(items.withColumn("chunk", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "benchmark")
     chunks = [parts.filter(F.col("chunk") == k) for k in range(n)]
+    # Rows of one id and text are alike in every search: they meet as one row with a count, and part again at the end.
+    key = ["doc_id", "text_key", "n_words"]
     found = None
     for chunk in chunks:
         phrases = phrases_of([(r["item_id"], r["text"]) for r in chunk.select("item_id", "text").collect()], window)
         one = _matches(docs, phrases, window, slop)
+        if len(chunks) == 1:
+            return one.drop("text_key")
+        one = one.groupBy(key).agg(F.count("*").alias("n"), F.first("spans").alias("spans"), F.first("items").alias("items"))
         found = one if found is None else found.union(one)
-    if len(chunks) == 1:
-        return found
-    # the spans of several searches meet by document
-    return found.groupBy("doc_id", "n_words").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"),
+    met = found.groupBy(key).agg(
+        F.max("n").alias("n"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    met = met.mapInArrow(_disjoint, met.schema)
+    return met.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select("doc_id", "n_words", "spans", "items")
+
+
+def _disjoint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = [_merged([tuple(s) for s in x]) for x in batch.column("spans").to_pylist()]
+        yield replaced(batch, "spans", pa.array(spans, pa.list_(pa.list_(pa.int64()))))
 
 
 def _matches(docs: DataFrame, phrases: dict, window: int, slop: int) -> DataFrame:
@@ -199,7 +213,7 @@ def _matches(docs: DataFrame, phrases: dict, window: int, slop: int) -> DataFram
     keys = list(phrases)
     return index.mapInArrow(
         partial(_search, phrases=keys, owners=[phrases[k] for k in keys], rank=rank, gap=gap, slop=slop),
-        "doc_id long, n_words long, spans array<array<long>>, items array<string>",
+        "doc_id long, text_key long, n_words long, spans array<array<long>>, items array<string>",
     )
 
 

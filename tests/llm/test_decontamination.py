@@ -52,6 +52,17 @@ def test_matches_equal_the_rule(spark, monkeypatch):
         ((d, n, h, len(t.split(",")) if t else 0) for d, n, h, t in want), key=repr)
 
 
+def test_several_searches_keep_every_row(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, prose(rng, 20)) for i in range(12)]
+    texts = ["a b " + items[0][1], "c d " + items[7][1], prose(rng, 22), items[3][1] + " x y"]
+    docs = [(i, t) for i in (1, None) for t in texts] + [(1, texts[0]), (None, texts[1]), (None, None), (None, ""), (None, "")]
+    frame, table = documents(spark, docs).repartition(3), bench(spark, items)
+    monkeypatch.setattr(decontamination, "CHUNK_BYTES", 300)
+    assert result(decontamination.matches(frame, table)) == by_rule(docs, items)
+    assert decontamination.contamination(frame, table).count() == len(docs)
+
+
 def test_proximity_allows_words_off_their_place(spark):
     docs = documents(spark, [(1, "alpha beta x gamma"), (2, "alpha beta gamma"), (3, "alpha far far far beta gamma")])
     table = bench(spark, [(7, "alpha beta gamma")])
