@@ -75,6 +75,35 @@ SENTENCES = {
     ],
     "public-domain": ["This is free and unencumbered software released into the public domain."],
 }
+_FREE = (
+    "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
+    "the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+)
+# Notices that are one sentence, by licence.
+NOTICES = {
+    "GPL-2.0-or-later": [_FREE.format(what=w, name="General Public License", version="2") for w in ("program", "file", "library")],
+    "GPL-3.0-or-later": [_FREE.format(what=w, name="General Public License", version="3") for w in ("file", "library")],
+    "LGPL-2.1-or-later": [_FREE.format(what=w, name="Lesser General Public License", version="2.1") for w in ("library", "program", "file")],
+    "LGPL-3.0-or-later": [_FREE.format(what=w, name="Lesser General Public License", version="3") for w in ("library", "program", "file")],
+    "AGPL-3.0-or-later": [_FREE.format(what=w, name="Affero General Public License", version="3") for w in ("program", "file", "library")],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which "
+        "is available at https://www.eclipse.org/legal/epl-2.0/",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0.",
+    ],
+    "MIT": ["This project is licensed under the MIT License.", "This project is licensed under the MIT License - see the LICENSE file for details."],
+}
+for _id, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial")):
+    NOTICES[f"CC-{_id}-4.0"] = [
+        f"{start} licensed under a Creative Commons {_name} 4.0 International License." for start in ("This work is", "Licensed", "This article is")
+    ] + [f"This work is licensed under the Creative Commons {_name} 4.0 International License."]
+SENTENCES |= {f"notice-{k.lower()}": forms for k, forms in NOTICES.items()}
 # Ordered rules: a longer one wins over those that it contains.
 RULES = {
     ("mit-name",): "MIT",
@@ -96,6 +125,7 @@ RULES = {
     ("reserved",): "all-rights-reserved",
     ("public-domain",): "Unlicense",
 }
+RULES |= {(f"notice-{k.lower()}",): k for k in NOTICES}
 _END = re.compile(r"[\n.!?;:]+(?=\s|$)|\n")
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 

@@ -168,3 +168,16 @@ def test_toxic_words_of_ordinary_syllables_are_found():
     found = model.scores(texts[1_200:]) >= 0.5
     truth = np.array(labels[1_200:]) == 1
     assert found[truth].mean() > 0.6 and truth[found].mean() > 0.85
+
+
+def test_standard_notices():
+    recogniser = licenses.Recogniser(licenses.SENTENCES, licenses.RULES, licenses.GAP)
+    texts = {
+        "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.": "GPL-2.0-or-later",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "This project is licensed under the MIT License": "MIT",
+        licenses.NOTICES["ISC"][0]: "ISC", licenses.NOTICES["AGPL-3.0-or-later"][0]: "AGPL-3.0-or-later",
+        licenses.NOTICES["EPL-2.0"][0]: "EPL-2.0", licenses.SENTENCES["gpl-free"][0]: "GPL-3.0-or-later",
+    }
+    assert {t: recogniser.licences(recogniser.sentences(t)) for t in texts} == {t: [name] for t, name in texts.items()}
