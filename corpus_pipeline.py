@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from placetally.llm import decontamination, mixing, near_copies, substring_dedup, toxicity
+from placetally.llm import decontamination, mixing, simhash, substring_dedup, toxicity
 from placetally.llm.common import stored, table
 
 
@@ -15,8 +15,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles: the one with the smallest doc_id."""
-    return near_copies.keep_first(docs)
+    """One document of each group linked by SimHash fingerprints of three-word shingles that differ in at most 3 bits.
+
+    It is the one with the smallest doc_id; documents without a doc_id stay.
+    """
+    return simhash.keep_first(docs, shingle=3)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
