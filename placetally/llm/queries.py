@@ -9,10 +9,14 @@ from placetally.llm import (
     decontamination,
     embedding_dedup,
     html_text,
+    importance,
     language_id,
     licenses,
+    merkle,
     mixing,
+    piece_encoding,
     simhash,
+    sql_checks,
     substring_dedup,
     token_counts,
     toxicity,
@@ -132,6 +136,22 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.lower_cased_fifth())
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # the place of the vocabulary files; only this query needs it
+
+    model = piece_encoding.read_model(public_tokenizers.path(piece_encoding.MODEL))
+    return piece_encoding.piece_digest(table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
@@ -143,9 +163,14 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_piece_encoding": op13_piece_encoding,
 }
 ORACLES: dict[str, str] = {
     "op1_embedding_dedup": OP1_SQL,
     "op5_decontamination": OP5_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op11_merkle_manifest": sql_checks.OP11,
+    "op12_importance_resampling": sql_checks.OP12,
 }
