@@ -45,6 +45,41 @@ def inside(x: str, y: str, edges: str) -> str:
     return f"aggregate({edges}, 0, (n, e) -> if({crossing}, n + 1, n)) % 2 = 1"
 
 
+def _left(x: str, y: str) -> str:
+    """The point lies left of the directed segment e; one on its line counts as if it were a little higher."""
+    turn = _TURN.format(x=x, y=y)
+    return f"({turn} > 0 or ({turn} = 0 and e.x2 > e.x1))"
+
+
+def corner_parity(x: str, y: str, edges: str) -> str:
+    """1 if the ray from a corner towards larger x crosses an odd number of segments, else 0."""
+    crossing = f"(e.y1 > {y}) != (e.y2 > {y}) and {_left(x, y)} = (e.y2 > e.y1)"
+    return f"aggregate({edges}, 0, (n, e) -> if({crossing}, n + 1, n)) % 2"
+
+
+def inside_from(x: str, y: str, edges: str, corner_x: str, corner_y: str, parity: str) -> str:
+    """Whether the point is inside, from the parity of a corner and the segments between the two.
+
+    The way goes along the point's own height to the corner's x and from there to
+    the corner.  Each segment that it crosses changes the side.
+    """
+    along = f"(e.y1 > {y}) != (e.y2 > {y}) and {_left(x, y)} != {_left(corner_x, y)}"
+    down = f"(e.x1 > {corner_x}) != (e.x2 > {corner_x}) and {_left(corner_x, y)} != {_left(corner_x, corner_y)}"
+    crossed = f"aggregate({edges}, {parity}, (n, e) -> n + if({along}, 1, 0) + if({down}, 1, 0))"
+    return f"{crossed} % 2 = 1"
+
+
+def near_box(x: str, y: str, half: str) -> str:
+    """Whether the segment e can touch the square around (x, y): its line does, and so does its envelope."""
+    dx, dy = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+    turn = _TURN.format(x=x, y=y)
+    return (
+        f"greatest(e.x1, e.x2) >= {x} - {half} and least(e.x1, e.x2) <= {x} + {half}"
+        f" and greatest(e.y1, e.y2) >= {y} - {half} and least(e.y1, e.y2) <= {y} + {half}"
+        f" and abs({turn}) <= {half} * (abs({dx}) + abs({dy}))"
+    )
+
+
 def on_edge(x: str, y: str, edges: str) -> str:
     turn = _TURN.format(x=x, y=y)
     in_box = (
@@ -54,9 +89,9 @@ def on_edge(x: str, y: str, edges: str) -> str:
     return f"exists({edges}, e -> {turn} = 0 and {in_box})"
 
 
-def covers(x: str, y: str, edges: str, areal: str) -> str:
-    """True for a point inside the geometry or on its boundary."""
-    return f"(({areal} and {inside(x, y, edges)}) or {on_edge(x, y, edges)})"
+def covers(x: str, y: str, edges: str, areal: str, within: str | None = None) -> str:
+    """True for a point inside the geometry or on its boundary; ``within`` is another test of the inside."""
+    return f"(({areal} and {within or inside(x, y, edges)}) or {on_edge(x, y, edges)})"
 
 
 def edge_distance(x: str, y: str, edges: str) -> str:
@@ -70,6 +105,11 @@ def edge_distance(x: str, y: str, edges: str) -> str:
     return f"sqrt(array_min({squares}))"
 
 
-def distance(x: str, y: str, edges: str, areal: str) -> str:
-    """0 inside an area, else the distance to the nearest segment."""
-    return f"if({areal} and {inside(x, y, edges)}, 0D, {edge_distance(x, y, edges)})"
+def distance(x: str, y: str, edges: str, areal: str, within: str | None = None) -> str:
+    """0 inside an area, else the distance to the nearest segment; ``within`` is another test of the inside."""
+    return f"if({areal} and {within or inside(x, y, edges)}, 0D, {edge_distance(x, y, edges)})"
+
+
+def box_distance(x: str, y: str) -> str:
+    """Distance to the envelope ``minx, miny, maxx, maxy``, 0 inside: no point of the geometry is nearer."""
+    return f"hypot(greatest(minx - {x}, {x} - maxx, 0D), greatest(miny - {y}, {y} - maxy, 0D))"

@@ -1,16 +1,18 @@
 """Spatial joins as equi-joins on square tiles of the projected plane.
 
-A feature is copied to every tile its envelope (grown by the search radius)
-touches, a point belongs to exactly one tile, and the exact test runs on the
-pairs that share a tile.  No pair is produced twice and nothing is compared
-across tiles.
+A feature has a row in every tile that its outline (grown by the search radius)
+touches or that it covers, with the edges there and the parity of the tile's
+corner, which says whether the corner is inside.  A point belongs to exactly one
+tile, and the exact test runs on the pairs that share a tile: the way from the
+point to the corner crosses edges of the tile only.  No pair is produced twice
+and nothing is compared across tiles.
 """
 
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placetally.functions import geohash, geometry, projection
@@ -43,6 +45,11 @@ CELL_KEYS = ("cell_lon", "cell_lat")
 LOOKUP_KEYS = ("_lookup_lon", "_lookup_lat")
 # Slack for rounding where a point sits on the edge of its tile.
 TILE_SLACK_M = 1.0
+# The corner whose parity a tile knows lies this far outside of it, within the
+# slack and on no grid that an outline is likely to follow.
+CORNER_M = (0.6180339887498949, -0.4142135623730951)
+# Slack of bounds on distances, for rounding.
+BOUND_SLACK_M = 1e-3
 
 
 def with_cell(df: DataFrame, lon: str = "lon", lat: str = "lat", precision: int = AREA_PRECISION, name: str = "cell") -> DataFrame:
@@ -114,20 +121,30 @@ def places_per_tile(precision: int, snap: str, tile_m: float) -> float:
     return (tile_m / (steps[0] * LEAST_LON_SHARE) + 1) * (tile_m / steps[1] + 1)
 
 
+def _corner(tile_m: float) -> tuple[str, str]:
+    """The corner of tile ``(tx, ty)`` whose parity it knows."""
+    tile = f"{float(tile_m)!r}D"
+    return f"((tx + 1) * {tile} + {CORNER_M[0]!r}D)", f"(ty * {tile} + {CORNER_M[1]!r}D)"
+
+
 def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float, reach_m: float) -> DataFrame:
-    """One row per feature and tile, with only the edges that matter there.
+    """One row per feature and tile: the edges within reach of the tile, and the ``parity`` of its corner.
 
-    For a point of the tile an edge matters if the ray towards larger x can
-    cross it or if it can lie within reach.  Both need the edge to overlap the
-    grown tile in y and not to end left of it.  Detailed outlines thus are
-    spread over their tiles instead of being copied whole to each of them.
+    A tile that the feature covers has no edges and the parity 1; tiles with
+    neither are left out.  So the edges of all tiles together grow with the
+    length of the outline, and not with the tiles to the side of it.  The parity
+    of a corner takes the edges of its row of tiles, which are found first.
+    ``(anchor_x, anchor_y)`` is an end of the edge nearest to the middle of the tile.
     """
     reach, tile, margin = float(reach_m), float(tile_m), float(reach_m + TILE_SLACK_M)
     in_row = (
         f"greatest(e.y1, e.y2) >= ty * {tile!r}D - {margin!r}D"
         f" and least(e.y1, e.y2) <= (ty + 1) * {tile!r}D + {margin!r}D"
     )
-    in_column = f"greatest(e.x1, e.x2) >= tx * {tile!r}D - {margin!r}D"
+    middle = (f"((tx + 0.5D) * {tile!r}D)", f"((ty + 0.5D) * {tile!r}D)")
+    in_tile = geometry.near_box(*middle, f"{tile / 2 + margin!r}D")
+    parity = geometry.corner_parity(*_corner(tile_m), "edges")
+    ends = f"transform(edges, e -> struct(hypot(e.x1 - {middle[0]}, e.y1 - {middle[1]}) as d, e.x1 as x, e.y1 as y))"
     named = F.struct(*[F.col("properties")[key].alias(alias) for alias, key in props.items()])
     return (
         features.filter("size(edges) > 0")
@@ -137,12 +154,48 @@ def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float,
         .withColumn("edges", F.expr(f"filter(edges, e -> {in_row})"))
         .filter("size(edges) > 0")
         .withColumn("tx", F.expr(_tiles_between(f"(minx - {reach!r}D)", f"(maxx + {reach!r}D)", tile)))
-        .withColumn("edges", F.expr(f"filter(edges, e -> {in_column})"))
-        .filter("size(edges) > 0")
-        .select("tx", "ty", "fid", "props", "areal", "edges", "minx", "miny", "maxx", "maxy")
+        .withColumn("parity", F.expr(f"if(areal, {parity}, 0)"))
+        .withColumn("edges", F.expr(f"filter(edges, e -> {in_tile})"))
+        .filter("size(edges) > 0 or parity = 1")
+        .withColumn("anchor", F.expr(f"array_min({ends})"))
+        .select(
+            "tx", "ty", "fid", "props", "areal", "parity", "edges", "minx", "miny", "maxx", "maxy",
+            F.col("anchor.x").alias("anchor_x"), F.col("anchor.y").alias("anchor_y"),
+        )
     )
 
 
+def measured_pairs(
+    placed: DataFrame, tiles: DataFrame, reach_m: float, keys: Sequence[str], bounded: bool, rows_per_task: int
+) -> DataFrame:
+    """Pairs of a place and a feature of its tile that an exact test has to decide; a place without one keeps a row.
+
+    Without reach these are the features whose envelope has the place.  With it,
+    no feature counts whose envelope is farther than the nearest anchor: a first
+    pass over places and features without their edges finds that bound, and only
+    the pairs below it meet the edges.  ``keys`` tell places apart.
+    """
+
+    def paired(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+        if bounded:
+            return left.join(right, on, "left")
+        return split_join(left, right, on, spread_by=keys, how="left", rows_per_task=rows_per_task)
+
+    if reach_m <= 0:
+        return paired(placed, tiles, ["tx", "ty"])
+    heads = tiles.select("tx", "ty", "fid", "minx", "miny", "maxx", "maxy", "anchor_x", "anchor_y")
+    near = paired(placed, heads, ["tx", "ty"]).withColumns({
+        "least": F.expr(geometry.box_distance("x", "y")),
+        # where a tile is covered there are no edges and no anchor, and the place is inside
+        "most": F.expr("if(fid is null, null, nvl(hypot(anchor_x - x, anchor_y - y), 0D))"),
+    })
+    bound = F.min("most").over(Window.partitionBy("tx", "ty", *keys))
+    kept = near.withColumn("bound", bound).filter(f"fid is null or least <= bound + {BOUND_SLACK_M!r}D").select(
+        *placed.columns, F.expr(f"if(least <= {float(reach_m + BOUND_SLACK_M)!r}D, fid, null)").alias("fid")
+    )
+    return paired(kept, tiles, ["tx", "ty", "fid"])
+
+
 def nearest_feature(
     places: DataFrame,
     features: DataFrame,
@@ -157,7 +210,8 @@ def nearest_feature(
 
     ``places`` has one row per ``keys`` with projected ``x, y``; other columns
     are kept.  Reach 0 means containment, boundary included.  Of equally near
-    features the one with the lowest ``fid`` wins.
+    features the one with the lowest ``fid`` wins; no two features may have the
+    same ``fid``.
 
     ``bounded`` says that places lie on a grid, so that a tile holds a fixed
     number of them at most.  Otherwise crowded tiles are split.
@@ -166,15 +220,13 @@ def nearest_feature(
     kept = [c for c in places.columns if c not in ("x", "y")]
     placed = _solid(places, "x", "y").withColumns({"tx": F.expr(_tile("x", tile_m)), "ty": F.expr(_tile("y", tile_m))})
     tiles = feature_tiles(features, props, tile_m, reach_m)
-    if bounded:
-        pairs = placed.join(tiles, ["tx", "ty"], "left")
-    else:
-        pairs = split_join(placed, tiles, ["tx", "ty"], spread_by=keys, how="left", rows_per_task=rows_per_task)
-    in_bounds = f"x between minx - {reach} and maxx + {reach} and y between miny - {reach} and maxy + {reach}"
+    pairs = measured_pairs(placed, tiles, reach_m, keys, bounded, rows_per_task)
+    within = geometry.inside_from("x", "y", "edges", *_corner(tile_m), "parity")
     if reach_m > 0:
-        measured = f"if({in_bounds}, {geometry.distance('x', 'y', 'edges', 'areal')}, null)"
+        measured = geometry.distance("x", "y", "edges", "areal", within)
     else:
-        measured = f"if({in_bounds} and {geometry.covers('x', 'y', 'edges', 'areal')}, 0D, null)"
+        in_bounds = "x between minx and maxx and y between miny and maxy"
+        measured = f"if({in_bounds} and {geometry.covers('x', 'y', 'edges', 'areal', within)}, 0D, null)"
     # tx and ty follow from the keys; naming them lets the grouping reuse the
     # partitioning of the join.
     best = (
