@@ -362,6 +362,15 @@ ORACLES = {
         {STATUS_TIME} AS timestamp FROM events
         WHERE event_type NOT IN ('error', 'signup')
           AND {_lon('event_id')} BETWEEN -120 AND -80 AND {_lat('event_id')} BETWEEN 26 AND 45""",
+    # Days that end three days or more before the latest post; the closing query sees the late posts last.
+    "stream_then_ingest": f"""WITH p AS (
+          SELECT event_id, user_id, {STATUS_TIME} AS timestamp, {STATUS_SLOT} AS slot, event_id % 50 = 0 AS late FROM events
+          WHERE event_type NOT IN ('error', 'signup')
+            AND {_lon('event_id')} BETWEEN -120 AND -80 AND {_lat('event_id')} BETWEEN 26 AND 45
+        ), t AS (SELECT *, TRY_CAST(timestamp AS BIGINT) AS ms FROM p WHERE slot <> 'unknown'),
+        m AS (SELECT max(ms) - 3 * 86400000 AS mark FROM t),
+        c AS (SELECT max(slot) AS last FROM t, m WHERE NOT late AND ms // 86400000 * 86400000 + 86400000 <= mark)
+        SELECT CAST(event_id AS VARCHAR) AS tweet_id, user_id, timestamp FROM p, c WHERE slot = 'unknown' OR slot <= last""",
     "ingest_archived": f"""SELECT tweet_id, user_id, source, round(lon, 4) AS lon, round(lat, 4) AS lat
         FROM ({EVENT_POSTS})""",
 }

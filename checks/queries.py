@@ -453,6 +453,20 @@ def ingest_archived(spark, sf_dir):
     )
 
 
+def stream_then_ingest(spark, sf_dir):
+    """Statuses logged by the day and the closed days shipped, in two rounds; every fiftieth status comes late."""
+    source, log, closed, checkpoint, target = (scratch_path(spark, n) for n in ("statuses", "log", "closed", "offsets", "shipped"))
+    late = F.col("id_str").cast("bigint") % 50 == 0
+    for part in (~late, late):
+        _statuses(spark, sf_dir).filter(part).write.mode("append").json(source)
+        for query in flows.log_and_close(
+            spark, source, log, closed, checkpoint, bbox="-120,26,-80,45", minutes=1440, delay="3 days"
+        ):
+            query.awaitTermination()
+        flows.ingest_closed(spark, log, closed, target)
+    return flows.read_shipped(spark, target).select("tweet_id", "user_id", "timestamp")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -468,6 +482,6 @@ QUERIES = {
         near_points, near_areas, intersecting_areas, insert_ignore,
         tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip, feature_lines_roundtrip,
         metro_words_from_logs, poi_nearby_from_logs,
-        stream_to_log, ingest_archived,
+        stream_to_log, ingest_archived, stream_then_ingest,
     )
 }

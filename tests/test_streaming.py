@@ -91,3 +91,36 @@ def test_shipped_logs_can_be_deleted_and_typed(spark, tmp_path):
     shipped = spark.read.schema(POST_SCHEMA).parquet(str(tmp_path / "shipped"))
     assert rows(shipped.select("user_id", "lonlat")) == [(1, [1.5, 2.0]), (2, [1.5, 2.0])]
     assert log_files(tmp_path) == ["twitter-stream.log.2"]
+
+
+def test_closed_slots_are_shipped_once_with_late_posts(spark, tmp_path):
+    source, log, closed, offsets, target = (str(tmp_path / n) for n in ("in", "log", "closed", "offsets", "shipped"))
+    os.mkdir(source)
+
+    def round_of(name, *statuses, per_run=flows.FILES_PER_RUN):
+        (tmp_path / "in" / name).write_text("\n".join(map(json.dumps, statuses)))
+        for query in flows.log_and_close(spark, source, log, closed, offsets, minutes=5, delay="10 minutes"):
+            query.awaitTermination()
+        shipped = flows.ingest_closed(spark, log, closed, target, files_per_run=per_run)
+        return shipped, sorted(int(r.tweet_id) for r in flows.read_shipped(spark, target).collect())
+
+    # 07:00 to 07:05 has ended by 07:21, ten minutes before the last post; 07:10 has not
+    assert round_of("1.json", status(1, 0), status(2, 4), status(3, 12), status(4, 21))[1] == [1, 2]
+    # one post late for a shipped slot, one for a slot that was empty till then, one without a time
+    assert round_of("2.json", status(5, 1), status(6, -30), status(7, 0) | {"timestamp_ms": None}) == (3, [1, 2, 5, 6, 7])
+    assert flows.ingest_closed(spark, log, closed, target) == 0
+    n, ids = round_of("3.json", status(8, 90), per_run=1)
+    assert n == 2 and ids == [1, 2, 3, 4, 5, 6, 7]
+    told = {r.slot: r.posts for r in spark.read.parquet(closed).collect()}
+    assert told == {"2016-03-24_07-00": 2, "2016-03-24_07-10": 1, "2016-03-24_07-20": 1}
+
+
+def test_a_run_that_was_not_written_down_is_done_again(spark, tmp_path):
+    log, closed, target = (str(tmp_path / n) for n in ("log", "closed", "shipped"))
+    (tmp_path / "log" / "slot=2016-03-24_07-00").mkdir(parents=True)
+    (tmp_path / "log" / "slot=2016-03-24_07-00" / "part-0.json").write_text('{"tweet_id": "1"}\n')
+    spark.createDataFrame([("2016-03-24_07-00", 1)], "slot string, posts long").write.parquet(closed)
+    spark.createDataFrame([("9",)], "tweet_id string").write.parquet(f"{target}/run-1")  # left behind by a failure
+    assert flows.read_shipped(spark, target).count() == 0
+    assert flows.ingest_closed(spark, log, closed, target) == 1
+    assert [r.tweet_id for r in flows.read_shipped(spark, target).collect()] == ["1"]
