@@ -381,5 +381,6 @@ ORACLES["metro_words_from_logs"] = f"""SELECT metro_area || chr(9) || count || c
 ORACLES["poi_nearby_from_logs"] = f"""SELECT metro_area || chr(9) || count || chr(9) || poi AS value
     FROM ({ORACLES['poi_nearby']})"""
 ORACLES["feature_lines_roundtrip"] = f"""SELECT row_number() OVER (ORDER BY custkey) - 1 AS fid, * FROM ({ORACLES['feature_roundtrip']})"""
+ORACLES["feature_split_roundtrip"] = ORACLES["feature_roundtrip"]
 ORACLES["state_county_words_shuffled"] = ORACLES["state_county_words"]
 ORACLES["poi_nearby_shuffled"] = ORACLES["poi_nearby"]

@@ -9,7 +9,7 @@ from placetally import schemas
 from placetally.operators import counts, filters, results, spatial, words
 from placetally.plans import jobs
 from placetally.session import scratch_path
-from placetally.sources import boundaries, records, sinks
+from placetally.sources import boundaries, records, sinks, split_collections
 from placetally.streaming import flows
 
 # A short stop list for the queries; any list can be passed.
@@ -419,6 +419,19 @@ def feature_roundtrip(spark, sf_dir):
     )
 
 
+def feature_split_roundtrip(spark, sf_dir):
+    """The same files cut by byte ranges, whatever the features in them."""
+    path = scratch_path(spark, "layer")
+    inputs.area_collections(spark, sf_dir).write.option("maxRecordsPerFile", 1).text(path)
+    layer = split_collections.read_split_features(spark, path)
+    return layer.select(
+        F.col("id").cast("bigint").alias("custkey"),
+        F.col("properties")["NAME"].alias("name"),
+        F.size("edges").alias("n_edges"),
+        "minx", "miny", "maxx", "maxy",
+    )
+
+
 def _write_statuses(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "statuses")
     _statuses(spark, sf_dir).write.json(path)
@@ -481,6 +494,7 @@ QUERIES = {
         poi_nodes, named_pois, mixed_split, metro_sort,
         near_points, near_areas, intersecting_areas, insert_ignore,
         tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip, feature_lines_roundtrip,
+        feature_split_roundtrip,
         metro_words_from_logs, poi_nearby_from_logs,
         stream_to_log, ingest_archived, stream_then_ingest,
     )
