@@ -36,12 +36,12 @@ def _matrix(group: pd.DataFrame) -> np.ndarray:
 
 
 def _built(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("rep_id")
+    group = group.sort_values("node")
     graph = Graph(_unit(_matrix(group)))
     beam = audited_beam(graph, THRESHOLD, BEAM, AUDIT_SHARE, AUDIT_LEAST)
     return pd.DataFrame({
         "label": [key[0]], "dim": [key[1]], "shard": [key[2]], "beam": [beam], "graph": [graph.dump()],
-        "ids": [group["rep_id"].to_numpy().astype(np.int64).tobytes()],
+        "ids": [group["node"].to_numpy().astype(np.int64).tobytes()],
         "weights": [group["n"].to_numpy().astype(np.int64).tobytes()],
         "exact": [_matrix(group).tobytes()],
     })
@@ -57,7 +57,7 @@ def _searched(threshold: float):
         ids = np.frombuffer(index["ids"], np.int64)
         weights = np.frombuffer(index["weights"], np.int64)
         exact = np.frombuffer(index["exact"], np.float64).reshape(len(ids), -1)
-        q, own = _matrix(left), left["rep_id"].to_numpy().astype(np.int64)
+        q, own = _matrix(left), left["node"].to_numpy().astype(np.int64)
         norm, norms = np.sqrt((q * q).sum(axis=1)), np.sqrt((exact * exact).sum(axis=1))
         unit = _unit(q).astype(np.float32)
         counts, a, b = np.zeros(len(q), np.int64), [], []
@@ -90,29 +90,31 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     vectors of a label are one node with a weight, so copies of any number cost
     one search.  A label is cut into shards by a hash; each vector is searched
     in every shard of its label.  Rows that repeat a vec_id are vectors of
-    their own.  An empty table gives no rows.
+    their own, with links of their own, also to each other; a component has the
+    smallest vec_id of its rows.  Rows without vec_id link with nothing.  A link
+    counts for the vectors whose search has found it.  An empty table gives no
+    rows.
     """
     rows = embeddings.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), F.col("embedding").alias("vector")
     )
-    rows = rows.withColumn("usable", _usable("vector") & F.col("label").isNotNull())
-    kept = rows.filter("usable and vec_id is not null")
+    rows = rows.withColumn("usable", _usable("vector") & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
+    # each different vector of a label is a node; its number is fixed when it is stored
     reps = stored(
-        kept.groupBy("label", "vector").agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("n"))
-        .withColumn("dim", F.size("vector")), "vectors"
+        rows.filter("usable").groupBy("label", "vector").agg(F.min("vec_id").alias("rep_id"), F.count("*").alias("n"))
+        .withColumns({"dim": F.size("vector"), "node": F.monotonically_increasing_id()}), "vectors"
     )
-    # the same id may lead several different vectors: then the id is one node
     sizes = reps.groupBy("label", "dim").agg(F.count("*").alias("size")).select(
         F.col("label").alias("of"), F.col("dim").alias("long"), F.ceil(F.col("size") / SHARD_ROWS).alias("shards"),
         F.ceil(F.col("size") / BLOCK_ROWS).alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
     )
-    dealt = reps.withColumn("at", F.pmod(F.xxhash64("rep_id"), F.lit(SALTS)).cast("int"))
+    dealt = reps.withColumn("at", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     dealt = dealt.join(
         sizes, (dealt["label"] == sizes["of"]) & (dealt["dim"] == sizes["long"]) & (dealt["at"] == sizes["salt"])
     ).select(
-        "label", "dim", "rep_id", "n", "vector", "shards", "blocks",
-        F.pmod(F.xxhash64("rep_id", F.lit(1)), "shards").alias("shard"),
-        F.pmod(F.xxhash64("rep_id", F.lit(2)), "blocks").alias("block"),
+        "label", "dim", "node", "n", "vector", "shards", "blocks",
+        F.pmod(F.xxhash64("node", F.lit(1)), "shards").alias("shard"),
+        F.pmod(F.xxhash64("node", F.lit(2)), "blocks").alias("block"),
     )
     label = reps.schema["label"].dataType.simpleString()
     index = stored(
@@ -127,18 +129,22 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         "beam", "graph", "ids", "weights", "exact",
     )
     queries = dealt.select(
-        "label", "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "block", "rep_id", "vector"
+        "label", "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "block", "node", "vector"
     )
     on = ["label", "dim", "shard", "block"]
     found = stored(
         queries.groupBy(*on).cogroup(copies.groupBy(*on)).applyInPandas(_searched(threshold), "a long, b long, n long"), "links"
     )
-    counts = found.filter("a = b").groupBy(F.col("a").alias("rep_id")).agg(F.sum("n").alias("linked"))
+    counts = found.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
     joined = connected_components(found.filter("a <> b").select("a", "b"))
-    nodes = reps.join(counts, "rep_id", "left").join(joined.withColumnRenamed("node", "rep_id"), "rep_id", "left").select(
-        F.col("label").alias("of"), F.col("vector").alias("same"),
-        (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("linked"), F.coalesce("component", "rep_id").alias("component"),
+    roots = stored(
+        reps.join(counts, "node", "left").join(joined, "node", "left").select(
+            F.col("label").alias("of"), F.col("vector").alias("same"), "rep_id", F.coalesce("component", "node").alias("root"),
+            (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("linked"),
+        ), "vector-roots",
     )
+    least = roots.groupBy("root").agg(F.min("rep_id").alias("component"))
+    nodes = roots.join(least, "root").select("of", "same", "linked", "component")
     on_rows = rows["usable"] & (rows["label"] == nodes["of"]) & (rows["vector"] == nodes["same"])
     component = F.coalesce("component", "vec_id")
     return rows.join(nodes, on_rows, "left").select(

@@ -54,6 +54,15 @@ def test_links_equal_the_rule(spark, monkeypatch, shard):
     assert result(embedding_dedup.near_duplicates(frame(spark, vectors))) == by_rule(vectors)
 
 
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    one, other, third = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 0.0, 1.0]
+    vectors = [[1, 0, one], [2, 0, one], [3, 0, other], [1, 1, one], [7, 1, one], [9, 2, one], [9, 2, other], [9, 3, third],
+               [4, 4, third], [4, 4, third], [5, 4, one]]
+    assert result(embedding_dedup.near_duplicates(frame(spark, vectors))) == by_rule(vectors)
+    lost = frame(spark, [[1, 0, one], [2, 0, one]]).selectExpr("if(vec_id = 2, null, vec_id) as vec_id", "embedding", "label")
+    assert {(r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(lost).collect()} == {(1, 0, 1), (None, 0, None)}
+
+
 def test_empty_table(spark):
     assert embedding_dedup.near_duplicates(frame(spark, [[1, 1, [1.0]]]).limit(0)).count() == 0
 
