@@ -98,7 +98,7 @@ def read_feature_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _numbered(raw: DataFrame) -> DataFrame:
-    """Features with dense numbers in order of file, block of the file and place in it.
+    """Features with numbers in order of file, block of the file and place in it; blank lines between them leave gaps.
 
     The running count goes over the blocks, of which there is one per task that
     has read the files, and not over the features.

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placetally.operators.results import fresh_rows
+from placetally.session import materialized
 
 # Column order of each text result.
 TSV_LAYOUTS = {
@@ -42,11 +43,13 @@ def write_results(
     """Write a result table as Parquet, one folder per metro.
 
     ``append_ignore_duplicates`` adds only rows with a key the table does not
-    hold yet.  Only the folders of metros that occur in the new rows are read
-    for that, if the metro is part of the key.  Rows are rebalanced by metro, so that small metros get one file
-    and a large one is split over several tasks.
+    hold yet; the new rows are stored first, so that they are computed once.
+    Only the folders of metros that occur in them are read for that, if the metro
+    is part of the key.  Rows are rebalanced by metro, so that small metros get
+    one file and a large one is split over several tasks.
     """
     if mode == "append_ignore_duplicates":
+        df = materialized(df, "results")  # read twice, for its metros and for its rows
         existing = _existing(df, path)
         if existing is not None:
             df = fresh_rows(touched(existing, df, partition) if partition in key else existing, df, key)

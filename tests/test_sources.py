@@ -91,3 +91,20 @@ def test_scratch_is_removed(spark, tmp_path):
     clear_scratch(spark)
     with pytest.raises(Exception):
         stored.count()
+
+
+def test_append_computes_its_rows_once(spark, tmp_path):
+    path, seen = str(tmp_path / "results"), spark.sparkContext.accumulator(0)
+    schema = "metro_area string, word string, count bigint"
+    sinks.write_results(spark.createDataFrame([("a", "x", 1)], schema), path)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    more = spark.createDataFrame([("a", "x", 9), ("a", "y", 2), ("b", "z", 4)], schema).mapInArrow(counted, schema)
+    sinks.write_results(more, path, mode="append_ignore_duplicates")
+    assert seen.value == 3
+    table = sinks.read_results(spark, path, "word string, count bigint, metro_area string")
+    assert rows(table.select("metro_area", "word", "count")) == [("a", "x", 1), ("a", "y", 2), ("b", "z", 4)]
