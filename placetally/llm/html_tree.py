@@ -10,11 +10,13 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>",
     re.S,
 )
+#: What runs to the end of the page if its own end does not come.
+_UNENDED = re.compile(r"<!--|<!\[CDATA\[|<[!?]")
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MARK = re.compile(r"\bdata-(keep|drop)\b")
 #: Elements whose content is no text of the page.
 HIDDEN = frozenset(
-    "script style noscript template title iframe object svg math textarea select head audio video canvas map".split()
+    "script style noscript template title iframe object svg math textarea select head audio video canvas map button".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
@@ -57,7 +59,11 @@ class Tree:
 
     def _read(self, page: str) -> None:
         stack: list[tuple[str, int]] = [("#root", 0)]  # inline elements have their block's node
+        open_at: dict[str, list[int]] = {}  # depths of the open elements of each tag
+        endless: set[str] = set()  # hidden elements whose end does not come any more
         leaf, links, at = -1, 0, 0
+        # behind the last > no tag is complete
+        last = page.rfind(">") + 1
 
         def text(piece: str) -> None:
             nonlocal leaf
@@ -74,27 +80,35 @@ class Tree:
             nonlocal leaf, links
             while len(stack) > depth:
                 tag, _ = stack.pop()
+                open_at[tag].pop()
                 if tag == "a":
                     links -= 1
                 elif tag not in INLINE:
                     leaf = -1
 
+        def push(tag: str, node: int) -> None:
+            open_at.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node))
+
+        def innermost(tags: set[str] | frozenset) -> int:
+            return max((depths[-1] for tag in tags if (depths := open_at.get(tag))), default=0)
+
         def find(tags: set[str], barred: set[str] | frozenset = frozenset()) -> int:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in tags:
-                    return depth
-                if stack[depth][0] in barred:
-                    return 0
-            return 0
-
-        while token := _TOKEN.search(page, at):
+            """Depth of the innermost open element of ``tags``, 0 if there is none or a barred one lies further in."""
+            depth = innermost(tags)
+            return depth if depth and depth >= innermost(barred) else 0
+
+        while token := _TOKEN.search(page, at, last):
             if token.start() > at:
                 text(_decoded(page[at:token.start()]))
             at = token.end()
             name = token[2]
             if name is None:
-                if token[0].startswith("<![CDATA["):
-                    text(token[0][9:].removesuffix("]]>"))
+                whole = token[0]
+                if at == last < len(page) and not whole.endswith("-->" if whole.startswith("<!--") else "]]>" if whole.startswith("<![CDATA[") else ">"):
+                    whole, at = page[token.start():], len(page)  # it runs to the end of the page
+                if whole.startswith("<![CDATA["):
+                    text(whole[9:].removesuffix("]]>"))
                 continue
             tag = name.lower()
             if token[1]:
@@ -108,10 +122,12 @@ class Tree:
             if tag in HIDDEN:
                 if token[3].endswith("/") and tag not in ("script", "style"):
                     continue
-                end = re.compile(rf"</{tag}\b[^>]*>" + ("|<body\b" if tag == "head" else ""), re.I).search(page, at)
-                if tag == "head" and end is None:
+                if tag in endless:
                     continue
-                if end is None:
+                end = re.compile(rf"</{tag}\b[^>]*>" + ("|<body\b" if tag == "head" else ""), re.I).search(page, at)
+                if end is None and tag in ("head", "button"):
+                    endless.add(tag)
+                elif end is None:
                     at = len(page)
                 else:
                     at = end.start() if end[0].lower().startswith("<body") else end.end()
@@ -124,7 +140,7 @@ class Tree:
                     leaf = -1
                 continue
             if tag in INLINE:
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1])
                 links += tag == "a"
                 continue
             if depth := find(ENDS.get(tag, set()), HOLDS.get(tag, frozenset())):
@@ -135,11 +151,16 @@ class Tree:
             attributes = token[3]
             names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if "=" in attributes else ""
             mark = _MARK.search(attributes)
-            stack.append((tag, self._node(stack[-1][1], tag, names, mark[1] if mark else "")))
+            push(tag, self._node(stack[-1][1], tag, names, mark[1] if mark else ""))
         if at < len(page):
             rest = page[at:]
-            # a tag that the page's end cuts off is no text
-            text(_decoded(re.sub(r"<[/!a-zA-Z][^<]*\Z", "", rest)))
+            if begun := _UNENDED.search(rest):
+                text(_decoded(rest[:begun.start()]))
+                if begun[0] == "<![CDATA[":
+                    text(rest[begun.end():])
+            else:
+                # a tag that the page's end cuts off is no text
+                text(_decoded(re.sub(r"<[/!a-zA-Z][^<]*\Z", "", rest)))
 
     def blocks(self) -> dict[int, str]:
         """Text of each text node, white space as single blanks; nodes without text are left out."""

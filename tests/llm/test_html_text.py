@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -56,3 +58,18 @@ def test_awkward_pages(spark):
     assert len(got) == 6 and by_id[1].text == STORY.strip() and by_id[2].text == by_id[3].text == "" and by_id[4].text.count("\n\n") == 2_999
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_text.main_text(pages.limit(0), html_text.fit_on(pages.limit(0))).count() == 0
+
+
+def test_broken_pages_take_linear_time():
+    model = html_text.fit(list(html_text._templates()))
+    for piece, n in (("<a ", 300_000), ("<div>", 60_000), ("<p><table><div>", 20_000), ("<button>x", 60_000), ("<head>", 100_000)):
+        started = time.time()
+        html_text.texts([piece * n], model)
+        assert time.time() - started < 60, piece
+
+
+def test_unended_parts_and_buttons():
+    assert list(Tree("<p>one</p><!-- two").blocks().values()) == ["one"]
+    assert list(Tree("<p>one</p>x <![CDATA[two > <b").blocks().values()) == ["one", "x two > <b"]
+    assert list(Tree("<p>one <button>press</button>two</p><button>three").blocks().values()) == ["one two", "three"]
+    assert list(Tree("<p>one<table><tr><td>two<p>three<div>four").blocks().values()) == ["one", "two", "three", "four"]
