@@ -384,3 +384,10 @@ ORACLES["feature_lines_roundtrip"] = f"""SELECT row_number() OVER (ORDER BY cust
 ORACLES["feature_split_roundtrip"] = ORACLES["feature_roundtrip"]
 ORACLES["state_county_words_shuffled"] = ORACLES["state_county_words"]
 ORACLES["poi_nearby_shuffled"] = ORACLES["poi_nearby"]
+ORACLES["metro_words_incremental"] = ORACLES["metro_words"]
+ORACLES["state_county_words_incremental"] = ORACLES["state_county_words"]
+ORACLES["nearest_metro_known"] = f"""
+    WITH points AS (SELECT count(*) AS records, count(DISTINCT (at_lon, at_lat)) AS places FROM ({_looked_up(POINTS, 'event_id')})),
+    found AS (SELECT metro_area, count(*) AS n FROM ({_in_metro(POINTS, 'event_id')}) GROUP BY ALL)
+    SELECT found.*, records - places AS first_hits, places AS first_misses, records AS second_hits, CAST(0 AS BIGINT) AS second_misses
+    FROM found, points"""

@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 from checks import inputs
 from placetally import schemas
 from placetally.operators import counts, filters, results, spatial, words
-from placetally.plans import jobs
-from placetally.session import scratch_path
+from placetally.plans import jobs, running
+from placetally.session import materialized, scratch_path
 from placetally.sources import boundaries, records, sinks, split_collections
 from placetally.streaming import flows
 
@@ -480,6 +480,48 @@ def stream_then_ingest(spark, sf_dir):
     return flows.read_shipped(spark, target).select("tweet_id", "user_id", "timestamp")
 
 
+def _in_two_rounds(spark, sf_dir, start):
+    """Posts that arrive in two rounds: the stream counts the first, stops, and goes on with the second."""
+    source, offsets = scratch_path(spark, "posts"), scratch_path(spark, "offsets")
+    posts = inputs.text_posts(spark, sf_dir)
+    second = F.xxhash64("user_id", "text") % 2 == 0
+    for part in (~second, second):
+        posts.filter(part).write.mode("append").parquet(source)
+        start(spark.readStream.schema(posts.schema).parquet(source), offsets).awaitTermination()
+
+
+def metro_words_incremental(spark, sf_dir):
+    """Counts of two batches are those of one run; the second batch looks up only points that the first has not seen."""
+    path = scratch_path(spark, "counts")
+    metros = materialized(inputs.metros(spark, sf_dir), "layer")
+    _in_two_rounds(spark, sf_dir, lambda posts, offsets: running.add_metro_words(
+        posts, metros, path, offsets, STOP_WORDS, terms=EXCLUDED
+    ))
+    return running.metro_words_so_far(spark, path)
+
+
+def state_county_words_incremental(spark, sf_dir):
+    path = scratch_path(spark, "counts")
+    zones = materialized(inputs.zones(spark, sf_dir), "layer")
+    _in_two_rounds(spark, sf_dir, lambda posts, offsets: running.add_state_county_words(
+        posts, zones, path, offsets, STOP_WORDS, terms=EXCLUDED, fold_every=2
+    ))
+    return running.state_county_words_so_far(spark, path)
+
+
+def nearest_metro_known(spark, sf_dir):
+    """Answers of a first run serve a second one, and the figures of a lookup need no pass of their own."""
+    known, layer = scratch_path(spark, "known"), materialized(inputs.metros(spark, sf_dir), "layer")
+    points = spatial.with_snapped(inputs.points(spark, sf_dir))
+    first, second = (
+        spatial.lookup_places(points, layer, spatial.METRO_PROPS, spatial.METRO_DISTANCE_M, spatial.METRO_TILE_M, known=known)
+        for _ in range(2)
+    )
+    located = spatial.attach_places(points, second).groupBy("metro_area").agg(F.count(F.lit(1)).alias("n"))
+    figures = {"first_hits": first.hits, "first_misses": first.misses, "second_hits": second.hits, "second_misses": second.misses}
+    return located.withColumns({name: F.lit(value).cast("bigint") for name, value in figures.items()})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -497,5 +539,6 @@ QUERIES = {
         feature_split_roundtrip,
         metro_words_from_logs, poi_nearby_from_logs,
         stream_to_log, ingest_archived, stream_then_ingest,
+        metro_words_incremental, state_county_words_incremental, nearest_metro_known,
     )
 }

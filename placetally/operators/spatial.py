@@ -10,12 +10,13 @@ and nothing is compared across tiles.
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from placetally.functions import geohash, geometry, projection
+from placetally.operators.known_places import KnownPlaces
 from placetally.operators.skew import ROWS_PER_TASK, heaviest, split_join
 from placetally.session import materialized
 
@@ -242,6 +243,8 @@ class PlaceLookup:
     """One stored row per distinct lookup point: its keys, properties and number of records ``n``.
 
     ``found`` counts the points that have a place, ``bytes`` is their size.
+    ``misses`` counts the points that were measured, ``hits`` the records that
+    found their point answered already, by another record or by an earlier run.
     """
 
     frame: DataFrame
@@ -249,6 +252,8 @@ class PlaceLookup:
     bytes: int
     keys: tuple[str, ...]
     names: tuple[str, ...]
+    hits: int = 0
+    misses: int = 0
 
     def fits_broadcast(self, limit: int) -> bool:
         return self.bytes <= limit
@@ -267,6 +272,7 @@ def lookup_places(
     snap: str = "rounded",
     rows_per_task: int = ROWS_PER_TASK,
     precision: int = AREA_PRECISION,
+    known: str | None = None,
 ) -> PlaceLookup:
     """Look up every distinct point once and keep the answers for all its records.
 
@@ -275,22 +281,44 @@ def lookup_places(
     cell is combined before its shuffle; a crowded cell is one row per task.
     A place with a missing or empty property counts as no place.  Points that
     lie on so fine a grid that a tile may hold more than a task's rows are
-    split.  Two Spark jobs run at once: one stores the answers, one measures
-    them.
+    split.  A Spark job runs at once: it stores the answers and measures them on
+    the way.
+
+    ``known`` is a folder of answers of earlier runs (``known_places``): only
+    points that are not there are measured, and their answers are added to it.
     """
     counted = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    located = nearest_feature(
-        with_projected(counted, *keys), features, props, reach_m, tile_m, keys,
-        bounded=places_per_tile(precision, snap, tile_m) <= rows_per_task, rows_per_task=rows_per_task,
-    )
-    complete = " and ".join(f"{name} != ''" for name in props)
+
+    def answers(points: DataFrame) -> DataFrame:
+        located = nearest_feature(
+            with_projected(points, *keys), features, props, reach_m, tile_m, keys,
+            bounded=places_per_tile(precision, snap, tile_m) <= rows_per_task, rows_per_task=rows_per_task,
+        )
+        complete = " and ".join(f"{name} != ''" for name in props)
+        rest = [c for c in points.columns if c not in keys]
+        return located.select(*keys, *rest, *[F.expr(f"if({complete}, {name}, null)").alias(name) for name in props])
+
+    misses = None
+    if known is None:
+        frame = answers(counted)
+    else:
+        frame, misses = KnownPlaces.of(known, features, props, reach_m).completed(materialized(counted, "points"), keys, answers)
+    size = sum((F.octet_length(name) for name in props), F.lit(ROW_BYTES))
+    placed = F.col(next(iter(props))).isNotNull()
+    # The last step before the write, so that a task that runs twice counts once.
+    watch = Observation()
     stored = materialized(
-        located.select(*keys, "n", *[F.expr(f"if({complete}, {name}, null)").alias(name) for name in props]), "lookup"
+        frame.observe(
+            watch, F.count(F.when(placed, 1)).alias("found"), F.coalesce(F.sum(F.when(placed, size)), F.lit(0)).alias("bytes"),
+            F.count(F.lit(1)).alias("points"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
+        ),
+        "lookup",
+    )
+    seen = watch.get
+    misses = seen["points"] if misses is None else misses
+    return PlaceLookup(
+        stored, seen["found"], seen["bytes"], tuple(keys), tuple(props), hits=seen["records"] - misses, misses=misses
     )
-    lookup = PlaceLookup(stored, 0, 0, tuple(keys), tuple(props))
-    size = sum((F.octet_length(name) for name in props), F.lit(ROW_BYTES))
-    found, bytes_ = lookup.places().agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return replace(lookup, found=found, bytes=bytes_)
 
 
 def attach_places(
@@ -314,10 +342,10 @@ def attach_places(
     return split_join(df, lookup.places(), keys, spread_by or df.columns, how, rows_per_task, hot)
 
 
-def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task):
+def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known):
     snapped = with_snapped(points, lon, lat, precision, snap, LOOKUP_KEYS)
     valid = snapped.filter(" and ".join(f"{key} is not null" for key in LOOKUP_KEYS))
-    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap, rows_per_task, precision)
+    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap, rows_per_task, precision, known)
     records = snapped if how == "left" else valid
     joined = attach_places(records, lookup, how, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     return joined.drop(*LOOKUP_KEYS)
@@ -335,9 +363,10 @@ def join_containing(
     tile_m: float = COUNTY_TILE_M,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    known: str | None = None,
 ) -> DataFrame:
     """Add properties of the feature that contains each point."""
-    return _join_places(points, features, props, 0, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task)
+    return _join_places(points, features, props, 0, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known)
 
 
 def join_nearest(
@@ -353,10 +382,11 @@ def join_nearest(
     tile_m: float = METRO_TILE_M,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    known: str | None = None,
 ) -> DataFrame:
     """Add properties of the nearest feature within ``max_distance_m`` of each point."""
     return _join_places(
-        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task
+        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known
     )
 
 

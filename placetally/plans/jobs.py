@@ -1,4 +1,7 @@
-"""Word counts by county and by metro area, and points of interest near posts."""
+"""Word counts by county and by metro area, and points of interest near posts.
+
+``known`` is a folder where the answers of lookups are kept for later runs.
+"""
 
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -39,7 +42,7 @@ StopWords = DataFrame | Iterable[str] | None
 SPOT_KEYS = ("spot_lon", "spot_lat")
 
 
-def _words_by_place(
+def words_by_place(
     texts: DataFrame,
     features: DataFrame,
     props: Mapping[str, str],
@@ -50,6 +53,7 @@ def _words_by_place(
     snap: str,
     broadcast_bytes: int,
     rows_per_task: int,
+    known: str | None = None,
 ) -> DataFrame:
     """Counts ``n`` by place and word of texts that carry their lookup point.
 
@@ -64,11 +68,12 @@ def _words_by_place(
         counted = word_counts(texts, list(CELL_KEYS), stopwords=stopwords).withColumnRenamed("count", "n")
         counted = materialized(counted, "words")
         lookup = lookup_places(
-            counted, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision
+            counted, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision,
+            known=known,
         )
         return attach_places(counted, lookup, spread_by=["word"], broadcast_bytes=0, rows_per_task=rows_per_task)
     lookup = lookup_places(
-        texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision
+        texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision, known=known
     )
     if lookup.fits_broadcast(broadcast_bytes):
         placed = attach_places(texts, lookup, broadcast_bytes=broadcast_bytes)
@@ -80,7 +85,7 @@ def _words_by_place(
     )
 
 
-def _located_texts(posts: DataFrame, terms: Iterable[str], precision: int, snap: str) -> DataFrame:
+def located_texts(posts: DataFrame, terms: Iterable[str], precision: int, snap: str) -> DataFrame:
     kept = filters.with_lonlat(filters.exclude_terms(posts, "description", terms))
     return with_snapped(kept, precision=precision, snap=snap).select("text", *CELL_KEYS)
 
@@ -97,14 +102,16 @@ def state_county_words(
     tile_m: float = COUNTY_TILE_M,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    known: str | None = None,
 ) -> DataFrame:
     """``(word, state, county, count)`` nationwide, by state and by county.
 
     A post outside every county does not count at any level.
     """
-    texts = _located_texts(posts, terms, precision, snap)
-    words = _words_by_place(
-        texts, counties, COUNTY_PROPS, 0, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task
+    texts = located_texts(posts, terms, precision, snap)
+    words = words_by_place(
+        texts, counties, COUNTY_PROPS, 0, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task,
+        known,
     )
     return word_rollup(words, min_count=min_count, weight="n")
 
@@ -122,11 +129,13 @@ def metro_words(
     tile_m: float = METRO_TILE_M,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    known: str | None = None,
 ) -> DataFrame:
     """``(metro_area, word, count)`` of posts within reach of a metro area."""
-    texts = _located_texts(posts, terms, precision, snap)
-    words = _words_by_place(
-        texts, metros, METRO_PROPS, max_distance_m, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task
+    texts = located_texts(posts, terms, precision, snap)
+    words = words_by_place(
+        texts, metros, METRO_PROPS, max_distance_m, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task,
+        known,
     )
     return metro_word_count(words, min_count=min_count, weight="n")
 
@@ -146,6 +155,7 @@ def poi_nearby(
     tile_m: float = METRO_TILE_M,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    known: str | None = None,
 ) -> DataFrame:
     """``(metro_area, poi, count)``: posts within ``radius_m`` of a named point, same metro only.
 
@@ -166,6 +176,7 @@ def poi_nearby(
     lookup = lookup_places(
         spots.select(*CELL_KEYS).unionByName(places.select(*CELL_KEYS)),
         metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=metro_precision,
+        known=known,
     )
     spots = attach_places(spots, lookup, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     spots = with_projected(spots, *SPOT_KEYS)

@@ -1,8 +1,13 @@
 """Session set-up and stored intermediate results in the shared folder."""
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +19,8 @@ DEFAULTS = {
 
 # Paths that the library has handed out, by application.
 _SCRATCH: dict[str, list[str]] = {}
+# Those that belong to a scope of this thread.
+_SCOPE = threading.local()
 
 
 def build_session(app: str = "placetally", **conf: str) -> SparkSession:
@@ -35,17 +42,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder, removed by ``clear_scratch``."""
+    """A fresh path under the shared folder, removed by ``clear_scratch`` or at the end of a ``scratch_scope``."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    scope = getattr(_SCOPE, "paths", None)
+    (_SCRATCH.setdefault(spark.sparkContext.applicationId, []) if scope is None else scope).append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What this thread stores inside is deleted at the end: a batch of a stream leaves nothing behind."""
+    before, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _SCOPE.paths = _SCOPE.paths, before
+        _delete(spark, paths)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what the library has stored for this application; results that still read it are lost."""
+    _delete(spark, _SCRATCH.pop(spark.sparkContext.applicationId, []))
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+    for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)
 
@@ -59,3 +82,13 @@ def materialized(df: DataFrame, label: str = "stored") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A Parquet table, without rows where none has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
