@@ -1,10 +1,13 @@
-"""Licence notices by sentence rules: known sentences get identifiers, rules are ordered sequences of identifiers."""
+"""Licence notices by sentence rules: known sentences get identifiers, rules are ordered sequences of identifiers.
+
+A known sentence may have places for names, written ``<name>``: there any 1 to ``SLOT_WORDS`` words may stand.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,8 +18,12 @@ from placetally.llm.common import slices, texts_of
 TEXT_BYTES = 4 << 20
 # Sentences that no rule knows may stand between those of a rule, up to so many.
 GAP = 6
+# Words that a place for a name takes at most.
+SLOT_WORDS = 24
+NAME = "<name>"
+_ANY = "*"
 
-# Known sentences, written normally.
+# Fixed values from here to RULES: sentences of public licence notices, written normally.
 SENTENCES = {
     "mit-name": ["Released under the MIT License.", "Licensed under the MIT License.", "The MIT License (MIT)", "MIT License"],
     "mit-grant": [
@@ -63,7 +70,13 @@ SENTENCES = {
     ],
     "bsd-name": [
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
-        "products derived from this software without specific prior written permission."
+        "products derived from this software without specific prior written permission.",
+        "Neither the name <name> may be used to endorse or promote products derived from this software without specific prior "
+        "written permission.",
+        "The name <name> may not be used to endorse or promote products derived from this software without specific prior written "
+        "permission.",
+        "The names <name> may not be used to endorse or promote products derived from this software without specific prior written "
+        "permission.",
     ],
     "ccby4-name": ["Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."],
     "ccbysa4-name": ["Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."],
@@ -103,7 +116,63 @@ for _id, _name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), (
     NOTICES[f"CC-{_id}-4.0"] = [
         f"{start} licensed under a Creative Commons {_name} 4.0 International License." for start in ("This work is", "Licensed", "This article is")
     ] + [f"This work is licensed under the Creative Commons {_name} 4.0 International License."]
+# Openings of full texts, and other sentences that stand alone.
+for _id, _forms in {
+    "Apache-2.0": ["Apache License Version 2.0, January 2004"],
+    "GPL-2.0-only": ["GNU General Public License Version 2, June 1991"],
+    "GPL-3.0-only": ["GNU General Public License Version 3, 29 June 2007"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License Version 2.1, February 1999"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License Version 3, 29 June 2007"],
+    "AGPL-3.0-only": ["GNU Affero General Public License Version 3, 19 November 2007"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "EPL-2.0": ["Eclipse Public License - v 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "ISC": ["ISC License"],
+    "CC0-1.0": [
+        "CC0 1.0 Universal",
+        "To the extent possible under law, <name> has waived all copyright and related or neighboring rights to <name>.",
+    ],
+}.items():
+    NOTICES.setdefault(_id, []).extend(_forms)
+# Names by which licences are referred to.
+NAMES = {
+    "MIT": ["MIT License", "MIT licence", "MIT"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"],
+    "GPL-2.0-only": ["GNU General Public License, version 2", "GNU GPL v2", "GPLv2"],
+    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU GPL v3", "GPLv3"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3"],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License"],
+    "ISC": ["ISC License"],
+    "Unlicense": ["Unlicense"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "CC0"],
+}
+for _id, _name in (
+    ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+):
+    for _version, _form in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+        NAMES[f"CC-{_id}-{_version}"] = [
+            f"CC {_id} {_version}", f"Creative Commons {_name} {_version} License", f"Creative Commons {_name} {_version} {_form} License"
+        ]
+# Sentences that refer to a licence by its name, whole or with a pointer to its text behind it.
+REFERENCES = [
+    f"{start}{verb} under {terms}{{name}}{end}"
+    for start in ("", "This <name> is ") for verb in ("licensed", "released", "distributed", "available", "published")
+    for terms in ("", "a ", "the ", "the terms of the ") for end in ("", " see <name>")
+]
+# Tags of source files; a tag may join two licences.
+TAG = "SPDX-License-Identifier: {name}"
 SENTENCES |= {f"notice-{k.lower()}": forms for k, forms in NOTICES.items()}
+SENTENCES |= {f"named-{k.lower()}": [r.replace("{name}", n) for n in names for r in REFERENCES] for k, names in NAMES.items()}
+_TAGS = sorted({*NAMES, *NOTICES})
+_TAGGED = {k: k for k in _TAGS} | {f"{a} {op} {b}": f"{a} {op} {b}" for op in ("OR", "AND") for a in _TAGS for b in _TAGS if a != b}
+SENTENCES |= {f"tag-{k.lower()}": [TAG.format(name=k), TAG.format(name=f"({k})")][: 1 + (" " in k)] for k in _TAGGED}
 # Ordered rules: a longer one wins over those that it contains.
 RULES = {
     ("mit-name",): "MIT",
@@ -125,7 +194,13 @@ RULES = {
     ("reserved",): "all-rights-reserved",
     ("public-domain",): "Unlicense",
 }
-RULES |= {(f"notice-{k.lower()}",): k for k in NOTICES}
+# A name or heading in front of a longer notice of the same licence is part of it.
+RULES |= {
+    (f"{kind}-{k.lower()}", *rule): k for kind, known in (("notice", NOTICES), ("named", NAMES)) for rule, k in list(RULES.items())
+    if k in known and len(rule) > 1
+}
+RULES |= {(f"notice-{k.lower()}",): k for k in NOTICES} | {(f"named-{k.lower()}",): k for k in NAMES}
+RULES |= {(f"tag-{k.lower()}",): v for k, v in _TAGGED.items()}
 _END = re.compile(r"[\n.!?;:]+(?=\s|$)|\n")
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
@@ -135,42 +210,70 @@ def normalised(sentence: str) -> list[str]:
     return _WORD.findall(sentence.lower())
 
 
+def steps(form: str) -> list[str]:
+    """Words of a known sentence, a place for a name being a step of its own."""
+    out = []
+    for k, part in enumerate(form.split(NAME)):
+        out += ([_ANY] if k else []) + normalised(part)
+    return out
+
+
 class Recogniser:
     def __init__(self, sentences: dict[str, list[str]], rules: dict[tuple[str, ...], str], gap: int):
+        """A trie of words; the first of two identifiers with the same words counts.  No sentence starts with a name."""
         self.trie: dict = {}
         for name, forms in sentences.items():
             for form in forms:
                 node = self.trie
-                for word in normalised(form):
+                for word in steps(form):
                     node = node.setdefault(word, {})
-                node[""] = name
-        self.rules = sorted(rules.items(), key=lambda r: (-len(r[0]), r[0]))
+                node.setdefault("", name)
+        self.by_first: dict[str, list[tuple[tuple[str, ...], str]]] = {}
+        for rule, name in sorted(rules.items(), key=lambda r: (-len(r[0]), r[0])):
+            self.by_first.setdefault(rule[0], []).append((rule, name))
         self.gap = gap
 
+    @staticmethod
+    def _step(states: list[tuple[dict, int]], word: str) -> list[tuple[dict, int]]:
+        """States behind one more word: a node of the trie and the words taken by the name that ends there, or 0."""
+        out, seen = [], set()
+        for node, taken in states:
+            after = [(node[word], 0)] if word in node else []
+            if _ANY in node:
+                after.append((node[_ANY], 1))
+            if 0 < taken < SLOT_WORDS:
+                after.append((node, taken + 1))
+            for state in after:
+                if (id(state[0]), state[1]) not in seen:
+                    seen.add((id(state[0]), state[1]))
+                    out.append(state)
+        return out
+
     def sentences(self, text: str) -> list[tuple[str, int, int]]:
         """Known sentences, each from and to a place; places count the fragments that have words.
 
         Fragments end with a line or a mark.  A known sentence starts and ends
         with a fragment and may run over several, as wrapped lines do; the
-        longest one counts.
+        longest one counts, and of equally long ones that with fewer names.
         """
         parts = [x for x in _END.split(text.lower()) if _WORD.search(x)]
         words = [None] * len(parts)
         out, k = [], 0
         while k < len(parts):
-            node, best, at = self.trie, None, k
+            states, best, at = [(self.trie, 0)], None, k
             while at < len(parts):
                 if words[at] is None:
                     words[at] = _WORD.findall(parts[at])
                 for word in words[at]:
-                    node = node.get(word)
-                    if node is None:
+                    states = self._step(states, word)
+                    if not states:
                         break
-                if node is None:
+                if not states:
                     break
                 at += 1
-                if "" in node and node is not self.trie:
-                    best = (node[""], at)
+                ended = [node[""] for node, _ in states if "" in node]
+                if ended:
+                    best = (ended[0], at)
             if best:
                 out.append((best[0], k, best[1]))
                 k = best[1]
@@ -182,7 +285,7 @@ class Recogniser:
         """Licences of a sequence of known sentences, in order; every sentence serves one rule at most."""
         out, k = [], 0
         while k < len(found):
-            for rule, name in self.rules:
+            for rule, name in self.by_first.get(found[k][0], ()):
                 part = found[k:k + len(rule)]
                 near = all(b[1] - a[2] <= self.gap for a, b in zip(part, part[1:]))
                 if near and tuple(x[0] for x in part) == rule:
@@ -194,8 +297,14 @@ class Recogniser:
         return out
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], sentences: dict, rules: dict, gap: int) -> Iterator[pa.RecordBatch]:
-    recogniser = Recogniser(sentences, rules, gap)
+@lru_cache(4)
+def _of_module(gap: int) -> Recogniser:
+    """The recogniser of the sentences above, built once in a worker."""
+    return Recogniser(SENTENCES, RULES, gap)
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], own: tuple[dict, dict] | None, gap: int) -> Iterator[pa.RecordBatch]:
+    recogniser = Recogniser(*own, gap) if own else _of_module(gap)
     for batch in batches:
         for piece in slices(batch, "text", TEXT_BYTES):
             known, names = [], []
@@ -214,10 +323,12 @@ def scan_licences(docs: DataFrame, sentences: dict = SENTENCES, rules: dict = RU
     """(doc_id, sentences, licences) of every row of ``docs``: identifiers of known sentences and licences, in order.
 
     Whole texts are read.  Null and empty texts have neither; a sentence that
-    occurs twice is listed twice; a document may have several licences.
+    occurs twice is listed twice; a document may have several licences.  A tag that
+    joins two licences is one entry, such as ``MIT OR Apache-2.0``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    own = None if sentences is SENTENCES and rules is RULES else (sentences, rules)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        partial(_scanned, sentences=sentences, rules=rules, gap=gap),
+        partial(_scanned, own=own, gap=gap),
         f"doc_id {kind}, sentences array<string>, licences array<string>",
     )
