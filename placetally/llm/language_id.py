@@ -17,10 +17,15 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placetally.llm.common import slices, texts_of
+from placetally.llm.common import slices, stored, texts_of
 
 UNKNOWN = "und"
+# Bits of a codeword: at least so many, and so many for each doubling of the languages, to keep codewords apart.
 BITS = 24
+BITS_PER_DOUBLING = 6
+# A list of chosen ids of up to this size is broadcast; an id takes so many bytes besides its text.
+BROADCAST_BYTES = 32 << 20
+ID_BYTES = 40
 DIMENSIONS = 1 << 13
 TEXT_BYTES = 1 << 20
 # Bounds of the labelled sample: documents of each language, and characters of each document.
@@ -128,8 +133,10 @@ def sample_of(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CH
 
     Of each document ``chars`` characters from a place that the hash picks.
     Every task hands on its own least rows, without texts, so none receives the
-    rows of a frequent language.  Documents that are held out, and those without
-    id, language or text, are left out.
+    rows of a frequent language.  Texts stay where they are; only those of the
+    sample move.  Of several texts with one id the one of least hash counts.
+    Documents that are held out, and those without id, language or text, are left
+    out.
     """
     known = docs.select(
         "doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
@@ -139,19 +146,31 @@ def sample_of(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CH
     ranked = ids.mapInArrow(partial(_least, sample=sample), ids.schema).distinct().withColumn(
         "n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
     ).filter(F.col("n") <= sample)
-    chosen = ranked.select("lang", "h", "doc_id")
+    chosen = stored(ranked.select("lang", "h", "doc_id"), "language_sample")
+    # The list has ``sample`` ids for each language; only a measured, small one is broadcast.
+    size = chosen.agg(F.coalesce(F.sum(F.octet_length("lang") + F.octet_length(F.col("doc_id").cast("string")) + ID_BYTES), F.lit(0)))
+    if size.first()[0] <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
     start = F.floor(F.pmod("h", F.lit(1_000_000)) / 1_000_000 * F.greatest(F.length("text") - chars, F.lit(0))).cast("int") + 1
-    cut = known.select("lang", "h", "doc_id", F.substring("text", start, F.lit(chars)).alias("text"))
-    return cut.join(chosen, ["lang", "h", "doc_id"]).dropDuplicates(["lang", "doc_id"]).orderBy("h", "doc_id")
+    text = F.struct(F.xxhash64("text").alias("of_text"), F.substring("text", start, F.lit(chars)).alias("text"))
+    cut = known.join(chosen, ["lang", "h", "doc_id"]).select("lang", "h", "doc_id", text.alias("cut"))
+    least = cut.groupBy("lang", "h", "doc_id").agg(F.min("cut").alias("cut"))
+    return least.select("lang", "h", "doc_id", "cut.text").orderBy("h", "doc_id", "lang")
 
 
-def fit_on(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, bits: int = BITS) -> Model:
+def bits_for(languages: int) -> int:
+    return max(BITS, BITS_PER_DOUBLING * (max(languages, 1) - 1).bit_length())
+
+
+def fit_on(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, bits: int | None = None) -> Model:
     """A model from a bounded sample of documents with a language that are not held out.
 
-    See ``sample_of`` for the sample.  Each bit is trained by a task of its own.
+    See ``sample_of`` for the sample.  Bits are trained by four tasks; their
+    number grows with the logarithm of the number of languages.
     """
     rows = sample_of(docs, sample, chars).collect()
     languages = sorted({r["lang"] for r in rows})
+    bits = bits or bits_for(len(languages))
     if not languages:
         return Model([], np.zeros((0, bits)), np.zeros((DIMENSIONS + 1, bits), np.float32))
     place = {lang: i for i, lang in enumerate(languages)}
