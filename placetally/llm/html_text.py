@@ -231,11 +231,18 @@ def fit(pages: list[str]) -> Model:
 
 
 def fit_on(pages: DataFrame, sample: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> Model:
-    """A model from the templates and from the pages with an article that have the least hashes of their ids."""
-    marked = pages.select("page_id", F.col("html").cast("string").alias("html")).filter("html like '%<article%</article>%'")
-    rows = marked.select(F.xxhash64("page_id").alias("h"), "page_id", F.substring("html", 1, chars).alias("html"))
-    rows = rows.orderBy("h", "page_id").limit(sample).select("html").collect()
-    return fit([*_templates(), *(r["html"] for r in rows)])
+    """A model from the templates and from the pages with an article that have the least hashes of their ids.
+
+    Ids are chosen first, so that of pages only those of the sample move.  Of
+    several pages with one id the one of least hash counts.
+    """
+    marked = pages.select(
+        F.xxhash64("page_id").alias("h"), "page_id", F.col("html").cast("string").alias("html")
+    ).filter("page_id is not null and html like '%<article%</article>%'")
+    chosen = marked.select("h", "page_id").distinct().orderBy("h", "page_id").limit(sample)
+    page = F.struct(F.xxhash64("html").alias("of_page"), F.substring("html", 1, chars).alias("html"))
+    rows = marked.join(F.broadcast(chosen), ["h", "page_id"]).groupBy("h", "page_id").agg(F.min(page).alias("page"))
+    return fit([*_templates(), *(r["html"] for r in rows.orderBy("h", "page_id").select("page.html").collect())])
 
 
 def texts(pages: list[str], model: Model) -> list[str]:
