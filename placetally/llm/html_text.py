@@ -45,6 +45,8 @@ KINDS = {
     "body": r"\b(?:article\w*|content|post\w*|entry|story|main|body|text|page|blog)\b",
 }
 _KINDS = [re.compile(k) for k in KINDS.values()]
+# All kinds but "body", and the tags below.
+_AGAINST = [k for k, kind in enumerate([*KINDS, "tag"]) if kind != "body"]
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])|[-_]+")
 #: Tags that stand for a kind by themselves, for labels and for what is inherited.
 OUTSIDE = {"nav", "footer", "header", "aside", "form", "button", "dialog", "menu"}
@@ -63,6 +65,12 @@ _RICH = (
     f"<h3>Terms</h3><dl><dt>A term</dt><dd>What it means, in a few words</dd></dl><ol><li><a href=/y>first</a></li><li>{_SHORT}</li></ol>"
     f"<pre>some code</pre><section><h2>More of it</h2><p>{_LONG}</p></section><p>End.</p>"
 )
+# An article whose heading and lead stand in a header, and one whose parts stand bare among the others.
+_HEADED = f"<header><h1>A heading of some words</h1><p>{_SHORT}</p></header><p>{_LONG}</p><p>{_SHORT}</p><p>{_LONG}</p>"
+_BARE = (
+    f"<h1 data-keep>A heading</h1><p data-keep>{_LONG}</p><p data-keep>{_SHORT}</p><p data-keep>{_LONG}</p><h2 data-keep>Part two</h2>"
+    f"<p data-keep>{_LONG}</p>"
+)
 _COMMENTS = f"<h3>Comments</h3><ul><li><p>{_SHORT} I think so too.</p></li><li><p>{_LONG}</p></li></ul>"
 _FORM = "<label>Name</label><input name=a><p>Leave your address and we write to you.</p><button>Send</button>"
 #: Pages of which the parts are known: {names} are replaced by parts, with the names and tags of VARIANTS.
@@ -75,6 +83,12 @@ TEMPLATES = (
     "{header}{nav}<div><div>{article}</div>{comments}{side}</div>{form}{footer}{notice}",
     "{nav}{rich}{comments}{footer}",
     "{header}<div>{side}{rich}</div>{ad}{footer}",
+    "{nav}{headed}{footer}",
+    "{header}{nav}{headed}{comments}{footer}",
+    "{header}{nav}{bare}{footer}",
+    "{nav}{bare}{comments}{footer}",
+    "{header}{nav}<main class=review-page>{bare}</main>{footer}",
+    "{nav}<div class=page-with-sidebar>{headed}{side}</div>{footer}",
 )
 VARIANTS = (
     {"article": "article", "nav": "nav", "header": "header", "footer": "footer", "side": "aside", "ad": "div class=ad",
@@ -104,6 +118,8 @@ def _templates() -> Iterator[str]:
 
         parts = {k: part(k, "drop", v) for k, v in inner.items()}
         parts["article"] = part("article", "keep", _ARTICLE)
+        parts["headed"] = part("article", "keep", _HEADED)
+        parts["bare"] = _BARE
         parts["rich"] = part("article", "keep", _RICH)
         parts["article_comments"] = part("article", "keep", _ARTICLE + parts["comments"])
         parts["article_ad"] = part("article", "keep", f"<p>{_LONG}</p>{parts['ad']}{_ARTICLE}{parts['side']}<p>{_LONG}</p>")
@@ -151,15 +167,20 @@ def forest(trees: list[Tree], blocks: list[dict[int, str]]) -> Forest:
             chars[base + i] = len(block)
             linked[base + i] = min(tree.linked[i], len(block))
             marks[base + i] = sum(map(block.count, ".,;!?"))
+    titles = (tag == index["h1"]).astype(np.float64)
     order = np.argsort(depth, kind="stable")
     levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1) if n else []
     for level in levels[:0:-1]:
-        for values in (chars, linked, marks):
+        for values in (chars, linked, marks, titles):
             np.add.at(values, parent[level], values[level])
+    whole = np.repeat(chars[offset[:-1]] if n else chars, sizes)
+    # What a name says of a part with the page's title counts less the more of the page the part holds: a page is no
+    # comment, while a long list of comments, which has no title, is one.
+    rest = np.where(titles > 0, 1 - chars / np.maximum(whole, 1), 1).astype(np.float32)[:, None]
+    kinds[:, _AGAINST] *= rest
     above = np.zeros_like(kinds)
     for level in levels[1:]:
         above[level] = np.maximum(above[parent[level]], kinds[parent[level]])
-    whole = np.repeat(chars[offset[:-1]] if n else chars, sizes)
     tags = np.eye(len(TAGS) + 1, dtype=np.float32)[tag]
     inside = tags[np.maximum(parent, 0)] * (parent >= 0)[:, None]
     numbers = np.column_stack([
@@ -170,17 +191,28 @@ def forest(trees: list[Tree], blocks: list[dict[int, str]]) -> Forest:
 
 
 def labels_of(tree: Tree) -> np.ndarray:
-    """Whether each node is content: its nearest marked ancestor (or itself) is an article or ``data-keep``."""
+    """Whether each node is content: its nearest marked ancestor (or itself) is an article or ``data-keep``.
+
+    Below a mark of a template only marks count.  A header inside an article is
+    part of it.
+    """
     out = np.zeros(len(tree.tag), np.int64)
+    marked = np.zeros(len(tree.tag), bool)
     for i, (p, tag, names, mark) in enumerate(zip(tree.parent, tree.tag, tree.names, tree.mark)):
+        above = out[p] if p >= 0 else 0
+        marked[i] = bool(mark) or (p >= 0 and marked[p])
         if mark:
             out[i] = mark == "keep"
+        elif marked[i]:
+            out[i] = above
         elif tag == "article":
             out[i] = 1
+        elif tag == "header" and above:
+            out[i] = 1
         elif tag in OUTSIDE or any(k < len(KINDS) - 1 for k in kinds_of(names)):
             out[i] = 0
         else:
-            out[i] = out[p] if p >= 0 else 0
+            out[i] = above
     return out
 
 

@@ -73,3 +73,35 @@ def test_unended_parts_and_buttons():
     assert list(Tree("<p>one</p>x <![CDATA[two > <b").blocks().values()) == ["one", "x two > <b"]
     assert list(Tree("<p>one <button>press</button>two</p><button>three").blocks().values()) == ["one two", "three"]
     assert list(Tree("<p>one<table><tr><td>two<p>three<div>four").blocks().values()) == ["one", "two", "three", "four"]
+
+
+TEMPLATE_MODEL = html_text.fit(list(html_text._templates()))
+P = "A fairly long paragraph that tells about the matter at hand, with commas, and goes on for some time. " * 3
+NAV = "<nav><ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li></ul></nav>"
+FOOT = "<footer><p>(c) 2020 Site. All rights.</p></footer>"
+LAYOUTS = {
+    "misleading name": (f"<main class='review-page'><h1>Title</h1><p>{P}</p><p>{P}</p></main>", ["Title", P, P]),
+    "header in article": (f"<article><header><h1>Title</h1><p>The lead.</p></header><p>{P}</p><p>{P}</p></article>", ["Title", "The lead.", P, P]),
+    "bare paragraphs": (f"<h1>Title</h1><p>{P}</p><p>{P}</p><p>{P}</p>", ["Title", P, P, P]),
+    "button in article": (f"<article><h1>Title</h1><p>{P}</p><button>Press</button><p>{P}</p></article>", ["Title", P, P]),
+    "more comments than text": (
+        f"<article><h1>Title</h1><p>{P}</p></article><section class='comments'><h3>Comments</h3><ul>" + f"<li><p>{P}</p></li>" * 6 + "</ul></section>",
+        ["Title", P],
+    ),
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts(layout):
+    body, parts = LAYOUTS[layout]
+    page = f"<html><body>{NAV}{body}{FOOT}</body></html>"
+    assert html_text.texts([page], TEMPLATE_MODEL)[0].split("\n\n") == [x.strip() for x in parts]
+
+
+def test_sample_of_repeated_pages_is_one_of_each_id(spark):
+    page = f"<article><h1>Title</h1><p>{P}</p></article>"
+    rows = [(1, page)] * 50 + [(1, page.replace("Title", "Other")), (2, page), (None, page), (3, None), (4, "<p>no mark</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    whole, one = (html_text.fit_on(p).weights for p in (pages, pages.filter("page_id <= 2").dropDuplicates(["page_id", "html"]).repartition(3)))
+    assert (whole == one).all()
+    assert (html_text.fit_on(pages.limit(0)).weights == TEMPLATE_MODEL.weights).all()

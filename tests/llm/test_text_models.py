@@ -181,3 +181,29 @@ def test_standard_notices():
         licenses.NOTICES["EPL-2.0"][0]: "EPL-2.0", licenses.SENTENCES["gpl-free"][0]: "GPL-3.0-or-later",
     }
     assert {t: recogniser.licences(recogniser.sentences(t)) for t in texts} == {t: [name] for t, name in texts.items()}
+
+
+def test_codewords_of_many_languages_stay_apart():
+    for n in (5, 16, 60, 300):
+        bits = language_id.bits_for(n)
+        code = language_id.codewords(n, bits)
+        apart = (bits - code @ code.T) / 2 + np.eye(n) * 99
+        assert apart.min() >= 8, n
+    assert language_id.bits_for(0) == language_id.bits_for(16) == language_id.BITS
+
+
+def test_sample_of_repeated_ids_is_the_same_in_any_order(spark):
+    rows = [(i % 7, f"text {i} " * 900, "en" if i % 2 else "de", "src0") for i in range(60)]
+    rows += [(1, None, "en", "src0"), (None, "x", "en", "src0"), (2, "y", None, "src0")]
+    docs = documents(spark, rows)
+    some = [
+        sorted(tuple(r) for r in language_id.sample_of(d, sample=4, chars=50).collect())
+        for d in (docs.repartition(5), docs.orderBy("text", ascending=False).coalesce(1))
+    ]
+    assert some[0] == some[1] and len({(r[0], r[2]) for r in some[0]}) == len(some[0]) <= 8
+    before = language_id.BROADCAST_BYTES
+    try:
+        language_id.BROADCAST_BYTES = -1
+        assert sorted(tuple(r) for r in language_id.sample_of(docs, sample=4, chars=50).collect()) == some[0]
+    finally:
+        language_id.BROADCAST_BYTES = before
