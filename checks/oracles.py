@@ -214,13 +214,40 @@ def _in_county(rows: str, columns: str, how: str = "JOIN", snap: str = "rounded"
       SELECT p.* EXCLUDE (x, y), state, county FROM p {how} c USING (at_lon, at_lat)"""
 
 
-def _in_metro(rows: str, columns: str, snap: str = "rounded") -> str:
+def _normals(sides: int) -> list[tuple[float, float]]:
+    """Outward normals of a regular polygon whose first corner is on the positive x axis."""
+    return [(math.cos(math.pi * (2 * k + 1) / sides), math.sin(math.pi * (2 * k + 1) / sides)) for k in range(sides)]
+
+
+def _in_polygon(dx: str, dy: str, radius: float, sides: int) -> str:
+    """An offset is on the inner side of every side."""
+    limit = radius * math.cos(math.pi / sides)
+    return " AND ".join(f"({dx}) * {c!r} + ({dy}) * {s!r} <= {limit!r}" for c, s in _normals(sides))
+
+
+def _meets_polygon(radius: float, sides: int) -> str:
+    """Two convex outlines meet unless a line along a side of one of them keeps them apart."""
+    limit = radius * math.cos(math.pi / sides)
+    beyond = [
+        f"least({', '.join(f'(x{i} - x) * {c!r} + (y{i} - y) * {s!r}' for i in range(4))}) <= {limit!r}" for c, s in _normals(sides)
+    ]
+    corners = [(radius * math.cos(2 * math.pi * k / sides), radius * math.sin(2 * math.pi * k / sides)) for k in range(sides)]
+    outside = [
+        "greatest(" + ", ".join(
+            f"(x{b} - x{a}) * (y + {v!r} - y{a}) - (x + {u!r} - x{a}) * (y{b} - y{a})" for u, v in corners
+        ) + ") >= 0"
+        for a, b in SIDES
+    ]
+    return " AND ".join(beyond + outside)
+
+
+def _in_metro(rows: str, columns: str, snap: str = "rounded", meets: str = "TRUE") -> str:
     """Rows with the nearest metro area within 80,450 m of their lookup point."""
     points = _looked_up(rows, columns, snap)
     return f"""
       WITH p AS ({points}),
       d AS (SELECT at_lon, at_lat, fid, metro_area, {DISTANCE} AS dist
-            FROM (SELECT DISTINCT at_lon, at_lat, x, y FROM p), ({METROS})),
+            FROM (SELECT DISTINCT at_lon, at_lat, x, y FROM p), ({METROS}) WHERE {meets}),
       c AS (SELECT at_lon, at_lat, metro_area FROM d WHERE dist <= 80450
             QUALIFY row_number() OVER (PARTITION BY at_lon, at_lat ORDER BY dist, fid) = 1)
       SELECT p.* EXCLUDE (x, y), metro_area FROM p JOIN c USING (at_lon, at_lat)"""
@@ -245,6 +272,15 @@ _sx, _sy = _project("cell_lon", "cell_lat")
 SPOTS = f"SELECT {_lon8} AS cell_lon, {_lat8} AS cell_lat, count(*) AS n FROM ({POINTS}) GROUP BY ALL"
 
 
+def _pairs_within(meets: str = "TRUE") -> str:
+    return f"""
+        SELECT cell_lon, cell_lat, n, id, round(dist, 1) AS dist FROM (
+          SELECT *, sqrt(power(s.x - o.x, 2) + power(s.y - o.y, 2)) AS dist
+          FROM (SELECT *, {_sx} AS x, {_sy} AS y FROM ({SPOTS})) s
+          JOIN (SELECT id, {_px} AS x, {_py} AS y FROM ({NODES})) o ON abs(s.y - o.y) <= 101 AND {meets})
+        WHERE dist <= 100"""
+
+
 def _metro_words(snap: str) -> str:
     return f"""
         SELECT metro_area, word, count(*) AS count
@@ -308,12 +344,11 @@ ORACLES = {
     "nearest_metro": f"SELECT event_id, metro_area FROM ({_in_metro(POINTS, 'event_id')})",
     "nearest_metro_shuffled": f"""SELECT metro_area, event_type, count(*) AS n
         FROM ({_in_metro(POINTS, 'event_type')}) GROUP BY ALL""",
-    "poi_within": f"""
-        SELECT cell_lon, cell_lat, n, id, round(dist, 1) AS dist FROM (
-          SELECT *, sqrt(power(s.x - o.x, 2) + power(s.y - o.y, 2)) AS dist
-          FROM (SELECT *, {_sx} AS x, {_sy} AS y FROM ({SPOTS})) s
-          JOIN (SELECT id, {_px} AS x, {_py} AS y FROM ({NODES})) o ON abs(s.y - o.y) <= 101)
-        WHERE dist <= 100""",
+    "poi_within": _pairs_within(),
+    "poi_within_cut": _pairs_within(),
+    "poi_within_polygon": _pairs_within(_in_polygon("o.x - s.x", "o.y - s.y", 100, 8)),
+    "nearest_metro_polygon": f"""SELECT event_id, metro_area
+        FROM ({_in_metro(POINTS, 'event_id', meets=_meets_polygon(80450, 8))})""",
     "state_county_words": f"""
         SELECT word, state, county, count(*) AS count
         FROM ({_words(f"({_in_county(KEPT_POSTS, 'text')})", 'state, county')})

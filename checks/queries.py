@@ -215,7 +215,7 @@ def nearest_metro_shuffled(spark, sf_dir):
     return located.groupBy("metro_area", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def poi_within(spark, sf_dir):
+def _pois_within(spark, sf_dir, **options):
     spots = (
         spatial.with_snapped(inputs.points(spark, sf_dir), precision=8)
         .groupBy("cell_lon", "cell_lat")
@@ -227,10 +227,31 @@ def poi_within(spark, sf_dir):
         spatial.with_projected(others, names=("other_x", "other_y")).select("id", "other_x", "other_y"),
         spread_by=["id"],
         spots_per_tile=spatial.places_per_tile(8, "rounded", 4 * spatial.POI_DISTANCE_M),
+        **options,
     )
     return pairs.select("cell_lon", "cell_lat", "n", "id", F.round("dist", 1).alias("dist"))
 
 
+def poi_within(spark, sf_dir):
+    return _pois_within(spark, sf_dir)
+
+
+def poi_within_cut(spark, sf_dir):
+    """The same pairs from tiles that are cut again and again: a task takes few pairs."""
+    return _pois_within(spark, sf_dir, rows_per_task=1_000)
+
+
+def poi_within_polygon(spark, sf_dir):
+    """Pairs within polygons of eight sides in the place of circles; the corners are on the circle."""
+    return _pois_within(spark, sf_dir, sides=8)
+
+
+def nearest_metro_polygon(spark, sf_dir):
+    """The nearest metro area of those that meet the polygon of eight sides around a point."""
+    located = spatial.join_nearest(inputs.points(spark, sf_dir), inputs.metros(spark, sf_dir), sides=8)
+    return located.select("event_id", "metro_area")
+
+
 def state_county_words(spark, sf_dir):
     return jobs.state_county_words(
         inputs.text_posts(spark, sf_dir), inputs.zones(spark, sf_dir), STOP_WORDS, terms=EXCLUDED
@@ -531,6 +552,7 @@ QUERIES = {
         find_where, find_limited, group_documents,
         geohash_cells, snap_points, project_points, unproject_points, cell_reuse,
         county_join, county_join_fine, county_join_exact, nearest_metro, nearest_metro_shuffled, poi_within,
+        poi_within_cut, poi_within_polygon, nearest_metro_polygon,
         state_county_words, metro_words, poi_nearby,
         state_county_words_shuffled, metro_words_shuffled, poi_nearby_shuffled,
         poi_nodes, named_pois, mixed_split, metro_sort,

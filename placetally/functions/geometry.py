@@ -6,6 +6,8 @@ need no special care: a point is inside when a ray from it crosses an odd
 number of segments.  A lone point is a segment of length zero.
 """
 
+import math
+
 _SEGMENT = "named_struct('x1', get({a}, 0), 'y1', get({a}, 1), 'x2', get({b}, 0), 'y2', get({b}, 1))"
 # Positive when the point lies left of the directed segment e.
 _TURN = "((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
@@ -113,3 +115,38 @@ def distance(x: str, y: str, edges: str, areal: str, within: str | None = None)
 def box_distance(x: str, y: str) -> str:
     """Distance to the envelope ``minx, miny, maxx, maxy``, 0 inside: no point of the geometry is nearer."""
     return f"hypot(greatest(minx - {x}, {x} - maxx, 0D), greatest(miny - {y}, {y} - maxy, 0D))"
+
+
+def _step(sides: int) -> float:
+    if sides < 8 or sides % 4:
+        raise ValueError(f"sides must be a multiple of 4 and 8 at least, not {sides}")
+    return 2 * math.pi / sides
+
+
+def inner_radius(radius: float, sides: int) -> float:
+    """What is nearer than this to the middle of a polygonal circle lies in it."""
+    return radius * math.cos(_step(sides) / 2)
+
+
+def in_polygonal_circle(dx: str, dy: str, radius: float, sides: int) -> str:
+    """Whether an offset lies in the regular polygon with corners on the circle, the first on the positive x axis."""
+    step = _step(sides)
+    off_middle = f"pmod(atan2({dy}, {dx}), {step!r}D) - {step / 2!r}D"
+    return f"hypot({dx}, {dy}) * cos({off_middle}) <= {inner_radius(radius, sides)!r}D"
+
+
+def meets_polygonal_circle(x: str, y: str, edges: str, radius: float, sides: int) -> str:
+    """Whether a segment meets the polygonal circle around (x, y): what all its sides leave of the segment is not empty."""
+    step, inner = _step(sides), f"{inner_radius(radius, sides)!r}D"
+    across, up = (f"{name}((k + 0.5D) * {step!r}D)" for name in ("cos", "sin"))
+    # how far the ends of the segment lie beyond side k
+    ends = [f"(({across}) * (e.x{i} - {x}) + ({up}) * (e.y{i} - {y}) - {inner})" for i in (1, 2)]
+    a, b = ends
+    cut = f"({a} / ({a} - {b}))"
+    low = f"if({a} > 0 and {b} <= 0, greatest(s.low, {cut}), if({a} > 0, 2D, s.low))"
+    high = f"if({b} > 0 and {a} <= 0, least(s.high, {cut}), s.high)"
+    left = (
+        f"aggregate(sequence(0, {sides - 1}), named_struct('low', 0D, 'high', 1D),"
+        f" (s, k) -> named_struct('low', {low}, 'high', {high}), s -> s.low <= s.high)"
+    )
+    return f"exists({edges}, e -> {left})"

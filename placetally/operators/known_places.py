@@ -12,14 +12,15 @@ from placetally.session import materialized, read_if_there
 POINT = ("lon", "lat")
 
 
-def layer_version(features: DataFrame, props: Mapping[str, str], reach_m: float) -> str:
+def layer_version(features: DataFrame, props: Mapping[str, str], reach_m: float, sides: int | None = None) -> str:
     """A name that changes with the features, the properties asked for and the reach, but not with the order of rows."""
     named = [F.col("properties")[key] for key in props.values()]
     # a hash passes over nulls, so each property also tells whether it is one
     told = ["fid", "areal", "edges", *named, *[value.isNull() for value in named]]
     sums = [F.sum(F.xxhash64(*told, F.lit(seed)).cast("decimal(20,0)")) for seed in (1, 2)]
     seen = features.agg(*sums, F.count(F.lit(1))).first()
-    return hashlib.sha256(repr((*map(str, seen), list(props.items()), float(reach_m))).encode()).hexdigest()[:32]
+    shape = () if sides is None else (sides,)
+    return hashlib.sha256(repr((*map(str, seen), list(props.items()), float(reach_m), *shape)).encode()).hexdigest()[:32]
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,10 @@ class KnownPlaces:
     names: tuple[str, ...]
 
     @classmethod
-    def of(cls, folder: str, features: DataFrame, props: Mapping[str, str], reach_m: float) -> "KnownPlaces":
-        return cls(f"{folder.rstrip('/')}/layer-{layer_version(features, props, reach_m)}", tuple(props))
+    def of(
+        cls, folder: str, features: DataFrame, props: Mapping[str, str], reach_m: float, sides: int | None = None
+    ) -> "KnownPlaces":
+        return cls(f"{folder.rstrip('/')}/layer-{layer_version(features, props, reach_m, sides)}", tuple(props))
 
     def answers(self, like: DataFrame) -> DataFrame:
         """(lon, lat, properties) of the points known so far; runs at the same time may both have stored a point."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from placetally.functions import geohash, geometry, projection
 from placetally.operators.known_places import KnownPlaces
+from placetally.operators.quadtree import Quadtree, with_fine
 from placetally.operators.skew import ROWS_PER_TASK, heaviest, split_join
 from placetally.session import materialized
 
@@ -167,14 +168,16 @@ def feature_tiles(features: DataFrame, props: Mapping[str, str], tile_m: float,
 
 
 def measured_pairs(
-    placed: DataFrame, tiles: DataFrame, reach_m: float, keys: Sequence[str], bounded: bool, rows_per_task: int
+    placed: DataFrame, tiles: DataFrame, reach_m: float, keys: Sequence[str], bounded: bool, rows_per_task: int,
+    sides: int | None = None,
 ) -> DataFrame:
     """Pairs of a place and a feature of its tile that an exact test has to decide; a place without one keeps a row.
 
     Without reach these are the features whose envelope has the place.  With it,
     no feature counts whose envelope is farther than the nearest anchor: a first
     pass over places and features without their edges finds that bound, and only
-    the pairs below it meet the edges.  ``keys`` tell places apart.
+    the pairs below it meet the edges.  ``keys`` tell places apart.  Where the
+    reach is a polygon, only an anchor that lies in it for certain is a bound.
     """
 
     def paired(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -190,7 +193,10 @@ def measured_pairs(
         # where a tile is covered there are no edges and no anchor, and the place is inside
         "most": F.expr("if(fid is null, null, nvl(hypot(anchor_x - x, anchor_y - y), 0D))"),
     })
-    bound = F.min("most").over(Window.partitionBy("tx", "ty", *keys))
+    sure = "most"
+    if sides is not None:
+        sure = f"if(most <= {geometry.inner_radius(reach_m, sides) - BOUND_SLACK_M!r}D, most, double('Infinity'))"
+    bound = F.min(F.expr(sure)).over(Window.partitionBy("tx", "ty", *keys))
     kept = near.withColumn("bound", bound).filter(f"fid is null or least <= bound + {BOUND_SLACK_M!r}D").select(
         *placed.columns, F.expr(f"if(least <= {float(reach_m + BOUND_SLACK_M)!r}D, fid, null)").alias("fid")
     )
@@ -206,6 +212,7 @@ def nearest_feature(
     keys: Sequence[str] = CELL_KEYS,
     bounded: bool = True,
     rows_per_task: int = ROWS_PER_TASK,
+    sides: int | None = None,
 ) -> DataFrame:
     """Each place with the properties of the nearest feature within reach, null if there is none.
 
@@ -216,16 +223,24 @@ def nearest_feature(
 
     ``bounded`` says that places lie on a grid, so that a tile holds a fixed
     number of them at most.  Otherwise crowded tiles are split.
+
+    ``sides`` puts a polygon of so many sides in the place of the circle of
+    reach: a feature counts if it meets the polygon.
     """
     reach = f"{float(reach_m)!r}D"
     kept = [c for c in places.columns if c not in ("x", "y")]
     placed = _solid(places, "x", "y").withColumns({"tx": F.expr(_tile("x", tile_m)), "ty": F.expr(_tile("y", tile_m))})
     tiles = feature_tiles(features, props, tile_m, reach_m)
-    pairs = measured_pairs(placed, tiles, reach_m, keys, bounded, rows_per_task)
+    pairs = measured_pairs(placed, tiles, reach_m, keys, bounded, rows_per_task, sides)
     within = geometry.inside_from("x", "y", "edges", *_corner(tile_m), "parity")
     if reach_m > 0:
         measured = geometry.distance("x", "y", "edges", "areal", within)
+        counts = f"dist <= {reach}"
+        if sides is not None:
+            sure = f"dist <= {geometry.inner_radius(reach_m, sides) - BOUND_SLACK_M!r}D"
+            counts = f"{counts} and ({sure} or {geometry.meets_polygonal_circle('x', 'y', 'edges', reach_m, sides)})"
     else:
+        counts = f"dist <= {reach}"
         in_bounds = "x between minx and maxx and y between miny and maxy"
         measured = f"if({in_bounds} and {geometry.covers('x', 'y', 'edges', 'areal', within)}, 0D, null)"
     # tx and ty follow from the keys; naming them lets the grouping reuse the
@@ -233,7 +248,7 @@ def nearest_feature(
     best = (
         pairs.withColumn("dist", F.expr(measured))
         .groupBy("tx", "ty", *kept)
-        .agg(F.expr(f"min(if(dist <= {reach}, struct(dist, fid, props), null))").alias("best"))
+        .agg(F.expr(f"min(if({counts}, struct(dist, fid, props), null))").alias("best"))
     )
     return best.select(*kept, *[F.col(f"best.props.{alias}").alias(alias) for alias in props])
 
@@ -273,6 +288,7 @@ def lookup_places(
     rows_per_task: int = ROWS_PER_TASK,
     precision: int = AREA_PRECISION,
     known: str | None = None,
+    sides: int | None = None,
 ) -> PlaceLookup:
     """Look up every distinct point once and keep the answers for all its records.
 
@@ -292,7 +308,7 @@ def lookup_places(
     def answers(points: DataFrame) -> DataFrame:
         located = nearest_feature(
             with_projected(points, *keys), features, props, reach_m, tile_m, keys,
-            bounded=places_per_tile(precision, snap, tile_m) <= rows_per_task, rows_per_task=rows_per_task,
+            bounded=places_per_tile(precision, snap, tile_m) <= rows_per_task, rows_per_task=rows_per_task, sides=sides,
         )
         complete = " and ".join(f"{name} != ''" for name in props)
         rest = [c for c in points.columns if c not in keys]
@@ -302,7 +318,7 @@ def lookup_places(
     if known is None:
         frame = answers(counted)
     else:
-        frame, misses = KnownPlaces.of(known, features, props, reach_m).completed(materialized(counted, "points"), keys, answers)
+        frame, misses = KnownPlaces.of(known, features, props, reach_m, sides).completed(materialized(counted, "points"), keys, answers)
     size = sum((F.octet_length(name) for name in props), F.lit(ROW_BYTES))
     placed = F.col(next(iter(props))).isNotNull()
     # The last step before the write, so that a task that runs twice counts once.
@@ -342,10 +358,10 @@ def attach_places(
     return split_join(df, lookup.places(), keys, spread_by or df.columns, how, rows_per_task, hot)
 
 
-def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known):
+def _join_places(points, features, props, reach_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known, sides=None):
     snapped = with_snapped(points, lon, lat, precision, snap, LOOKUP_KEYS)
     valid = snapped.filter(" and ".join(f"{key} is not null" for key in LOOKUP_KEYS))
-    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap, rows_per_task, precision, known)
+    lookup = lookup_places(valid, features, props, reach_m, tile_m, LOOKUP_KEYS, snap, rows_per_task, precision, known, sides)
     records = snapped if how == "left" else valid
     joined = attach_places(records, lookup, how, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     return joined.drop(*LOOKUP_KEYS)
@@ -383,10 +399,15 @@ def join_nearest(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     known: str | None = None,
+    sides: int | None = None,
 ) -> DataFrame:
-    """Add properties of the nearest feature within ``max_distance_m`` of each point."""
+    """Add properties of the nearest feature within ``max_distance_m`` of each point.
+
+    ``sides`` puts a polygon of so many sides in the place of the search circle.
+    """
     return _join_places(
-        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task, known
+        points, features, props, max_distance_m, tile_m, lon, lat, precision, snap, how, broadcast_bytes, rows_per_task,
+        known, sides,
     )
 
 
@@ -398,27 +419,25 @@ def join_within(
     spread_by: Sequence[str] = ("other_x", "other_y"),
     rows_per_task: int = ROWS_PER_TASK,
     spots_per_tile: float = 1.0,
+    sides: int | None = None,
 ) -> DataFrame:
-    """All ``others`` (``other_x, other_y``) within ``radius_m`` of each spot (``x, y``).
+    """All ``others`` (``other_x, other_y``) within ``radius_m`` of each spot (``x, y``), with ``dist``.
 
     Both sides are in metres; ``on`` names columns that must be equal as well.
-    Spots are copied to the one to four tiles their search circle touches, tiles
-    being two radii wide.  Spots should be distinct grid points: then a tile
-    holds a fixed number of them, and the result grows with ``others`` only.
-    Tiles crowded with ``others`` are split; ``spots_per_tile`` is the number of
-    spots that a search tile can hold, so that a part is measured by its pairs.
+    ``sides`` puts a polygon of so many sides in the place of the circle.
+    Pairs are found by tiles that are cut where ``others`` crowd (``quadtree``);
+    their counts are taken at once, by a Spark job.  Spots should be distinct
+    grid points: then a tile holds a fixed number of them, and the result grows
+    with ``others`` only.  ``spots_per_tile`` is the number that a square of four
+    radii can hold, so that a tile is measured by its pairs.
     """
-    tile_m, reach = 2.0 * radius_m, f"{float(radius_m)!r}D"
-    searched = _solid(spots, "x", "y").withColumn(
-        "tx", F.expr(_tiles_between(f"(x - {reach})", f"(x + {reach})", tile_m))
-    ).withColumn("ty", F.expr(_tiles_between(f"(y - {reach})", f"(y + {reach})", tile_m)))
-    placed = _solid(others, "other_x", "other_y").withColumns(
-        {"tx": F.expr(_tile("other_x", tile_m)), "ty": F.expr(_tile("other_y", tile_m))}
-    )
-    part = max(1, int(rows_per_task // max(1.0, spots_per_tile)))
-    pairs = split_join(placed, searched, [*on, "tx", "ty"], spread_by, rows_per_task=part)
-    measured = pairs.withColumn("dist", F.expr("hypot(other_x - x, other_y - y)"))
-    return measured.filter(f"dist <= {reach}").drop("tx", "ty")
+    placed = with_fine(_solid(others, "other_x", "other_y"), "other_x", "other_y", radius_m)
+    tree = Quadtree.of(placed, radius_m, on, rows_per_task, spots_per_tile)
+    pairs = tree.joined(placed, _solid(spots, "x", "y"), spread_by)
+    found = pairs.withColumn("dist", F.expr("hypot(other_x - x, other_y - y)")).filter(f"dist <= {float(radius_m)!r}D")
+    if sides is not None:
+        found = found.filter(geometry.in_polygonal_circle("other_x - x", "other_y - y", radius_m, sides))
+    return found
 
 
 def cell_reuse_stats(df: DataFrame, lon: str = "lon", lat: str = "lat", precision: int = AREA_PRECISION) -> DataFrame:

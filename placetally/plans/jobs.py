@@ -1,6 +1,8 @@
 """Word counts by county and by metro area, and points of interest near posts.
 
 ``known`` is a folder where the answers of lookups are kept for later runs.
+``sides`` puts polygons of so many sides in the place of search circles (64 is
+what a buffer of 16 segments a quadrant gives).
 """
 
 from collections.abc import Iterable, Mapping, Sequence
@@ -54,6 +56,7 @@ def words_by_place(
     broadcast_bytes: int,
     rows_per_task: int,
     known: str | None = None,
+    sides: int | None = None,
 ) -> DataFrame:
     """Counts ``n`` by place and word of texts that carry their lookup point.
 
@@ -69,11 +72,12 @@ def words_by_place(
         counted = materialized(counted, "words")
         lookup = lookup_places(
             counted, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision,
-            known=known,
+            known=known, sides=sides,
         )
         return attach_places(counted, lookup, spread_by=["word"], broadcast_bytes=0, rows_per_task=rows_per_task)
     lookup = lookup_places(
-        texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision, known=known
+        texts, features, props, reach_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=precision, known=known,
+        sides=sides,
     )
     if lookup.fits_broadcast(broadcast_bytes):
         placed = attach_places(texts, lookup, broadcast_bytes=broadcast_bytes)
@@ -130,12 +134,13 @@ def metro_words(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     known: str | None = None,
+    sides: int | None = None,
 ) -> DataFrame:
     """``(metro_area, word, count)`` of posts within reach of a metro area."""
     texts = located_texts(posts, terms, precision, snap)
     words = words_by_place(
         texts, metros, METRO_PROPS, max_distance_m, tile_m, stopwords, precision, snap, broadcast_bytes, rows_per_task,
-        known,
+        known, sides,
     )
     return metro_word_count(words, min_count=min_count, weight="n")
 
@@ -156,6 +161,7 @@ def poi_nearby(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     known: str | None = None,
+    sides: int | None = None,
 ) -> DataFrame:
     """``(metro_area, poi, count)``: posts within ``radius_m`` of a named point, same metro only.
 
@@ -176,7 +182,7 @@ def poi_nearby(
     lookup = lookup_places(
         spots.select(*CELL_KEYS).unionByName(places.select(*CELL_KEYS)),
         metros, METRO_PROPS, max_distance_m, tile_m, snap=snap, rows_per_task=rows_per_task, precision=metro_precision,
-        known=known,
+        known=known, sides=sides,
     )
     spots = attach_places(spots, lookup, broadcast_bytes=broadcast_bytes, rows_per_task=rows_per_task)
     spots = with_projected(spots, *SPOT_KEYS)
@@ -187,7 +193,7 @@ def poi_nearby(
     pairs = join_within(
         spots, places, radius_m, on=["metro_area"],
         spread_by=["name", "other_x", "other_y"], rows_per_task=rows_per_task,
-        spots_per_tile=places_per_tile(poi_precision, snap, 4 * radius_m),
+        spots_per_tile=places_per_tile(poi_precision, snap, 4 * radius_m), sides=sides,
     )
     return poi_tweet_count(pairs, [*CELL_KEYS, *SPOT_KEYS])
 
