@@ -288,6 +288,8 @@ def _metro_words(snap: str) -> str:
         GROUP BY ALL HAVING count(*) >= 2"""
 
 
+NEAR_POINTS = f"""SELECT event_id, round(d, 1) AS distance_m
+    FROM (SELECT event_id, {_haversine(*CITY)} AS d FROM ({POINTS})) WHERE d <= 400000"""
 STATUS_TIME = """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'soon'
     ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END"""
 STATUS_SLOT = """CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'unknown'
@@ -375,8 +377,10 @@ ORACLES = {
     "metro_sort": f"""SELECT metro_area, type_tag, record FROM ({_in_metro(
         f"SELECT 1 AS type_tag, id AS record, lon, lat FROM ({NODES}) UNION ALL "
         f"SELECT 2, event_id, lon, lat FROM ({POINTS})", 'type_tag, record')})""",
-    "near_points": f"""SELECT event_id, round(d, 1) AS distance_m
-        FROM (SELECT event_id, {_haversine(*CITY)} AS d FROM ({POINTS})) WHERE d <= 400000""",
+    "near_points": NEAR_POINTS,
+    "near_by_cell": NEAR_POINTS,
+    "nearest_by_cell": f"""SELECT event_id, round(d, 1) AS distance_m
+        FROM (SELECT event_id, {_haversine(*CITY)} AS d FROM ({POINTS})) ORDER BY d, event_id LIMIT 300""",
     "near_areas": f"""SELECT fid, round(d, 2) AS distance_m FROM (SELECT fid, {DISTANCE} AS d
         FROM (SELECT *, {_city_x} AS x, {_city_y} AS y FROM ({AREAS}))) WHERE d <= 150000""",
     "intersecting_areas": f"""SELECT fid, name

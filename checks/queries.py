@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from checks import inputs
 from placetally import schemas
-from placetally.operators import counts, filters, results, spatial, words
+from placetally.operators import cell_tables, counts, filters, results, spatial, words
 from placetally.plans import jobs, running
 from placetally.session import materialized, scratch_path
 from placetally.sources import boundaries, records, sinks, split_collections
@@ -345,6 +345,24 @@ def near_points(spark, sf_dir):
     return found.select("event_id", F.round("distance_m", 1).alias("distance_m"))
 
 
+def _points_by_cell(spark, sf_dir):
+    path = scratch_path(spark, "cells")
+    cell_tables.write_by_cell(inputs.points(spark, sf_dir), path, spread_by=["event_id"])
+    return spark.read.parquet(path)
+
+
+def near_by_cell(spark, sf_dir):
+    """The same points from a table laid out by cell."""
+    found = cell_tables.near(_points_by_cell(spark, sf_dir), *CITY, max_m=400_000)
+    return found.select("event_id", F.round("distance_m", 1).alias("distance_m"))
+
+
+def nearest_by_cell(spark, sf_dir):
+    """The 300 points nearest to the city; equally near ones by id."""
+    found = cell_tables.nearest(_points_by_cell(spark, sf_dir), *CITY, k=300, order=["event_id"])
+    return found.select("event_id", F.round("distance_m", 1).alias("distance_m"))
+
+
 def near_areas(spark, sf_dir):
     found = results.near_features(inputs.areas(spark, sf_dir), *CITY, max_m=150_000)
     return found.select("fid", F.round("distance_m", 2).alias("distance_m"))
@@ -556,7 +574,7 @@ QUERIES = {
         state_county_words, metro_words, poi_nearby,
         state_county_words_shuffled, metro_words_shuffled, poi_nearby_shuffled,
         poi_nodes, named_pois, mixed_split, metro_sort,
-        near_points, near_areas, intersecting_areas, insert_ignore,
+        near_points, near_by_cell, nearest_by_cell, near_areas, intersecting_areas, insert_ignore,
         tsv_roundtrip, result_sink_roundtrip, stopword_roundtrip, feature_roundtrip, feature_lines_roundtrip,
         feature_split_roundtrip,
         metro_words_from_logs, poi_nearby_from_logs,

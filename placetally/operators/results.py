@@ -1,13 +1,12 @@
 """Queries on result tables and on points."""
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placetally.functions import geometry, projection
-from placetally.functions.sphere import EARTH_RADIUS_M, great_circle_m
+from placetally.functions.sphere import great_circle_m, search_boxes
 
 
 def distinct_metros(results: DataFrame, metro: str = "metro_area") -> DataFrame:
@@ -39,12 +38,23 @@ def near(
 ) -> DataFrame:
     """Points by rising great-circle distance from a coordinate, optionally only up to ``max_m``.
 
-    The latitude band of the search is a plain range on the column, which
-    reaches the scan.
+    Points without a coordinate are near nothing and left out.
+
+    The box of the search is made of plain ranges on both columns, which reach
+    the scan.  ``cell_tables`` has the same search, and one for the nearest, on
+    tables that are laid out for it.
     """
     if max_m:
-        band = math.degrees(max_m / EARTH_RADIUS_M) * (1 + 1e-9)
-        df = df.filter(F.col(lat_column).between(lat - band, lat + band))
+        boxes = search_boxes(lon, lat, max_m)
+        df = df.filter(F.col(lat_column).between(boxes[0][1], boxes[0][3]))
+        if boxes[0][::2] != (-180.0, 180.0):
+            # the distance takes longitudes of any turn, so does the box
+            across = (F.col(lon_column) < -180.0) | (F.col(lon_column) > 180.0)
+            for west, _, east, _ in boxes:
+                across = across | F.col(lon_column).between(west, east)
+            df = df.filter(across)
+    else:
+        df = df.filter(F.col(lon_column).isNotNull() & F.col(lat_column).isNotNull())
     apart = great_circle_m(f"{float(lon)!r}D", f"{float(lat)!r}D", lon_column, lat_column)
     measured = df.withColumn(distance, F.expr(apart))
     if max_m:
